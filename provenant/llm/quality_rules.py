@@ -117,21 +117,21 @@ def quality_rules(docs: DataFrame, text: str = "text", min_words: int = 20, max_
             repeat_words(words).alias("n_repeat_words"),
         )
 
-    out = docs.drop(*RESULTS, "_words", "_kept")
-    out = out.withColumn("_words", let(words_of(whole), measured))
+    out = docs.drop(*RESULTS, "__quality_words", "__quality_kept")
+    out = out.withColumn("__quality_words", let(words_of(whole), measured))
     out = out.withColumn("n_symbols", (F.length(whole) - F.length(F.regexp_replace(whole, SYMBOL, ""))).cast("long"))
-    suspect = may_fail(whole, F.col("n_symbols"), F.col("_words.n_repeats"))
-    out = out.withColumn("_kept", F.when(suspect, F.filter(F.split(whole, "\n"), lambda x: ~line_fails(x))))
+    suspect = may_fail(whole, F.col("n_symbols"), F.col("__quality_words.n_repeats"))
+    out = out.withColumn("__quality_kept", F.when(suspect, F.filter(F.split(whole, "\n"), lambda x: ~line_fails(x))))
     n_dup = let(F.filter(F.split(whole, "\n"), lambda x: x.rlike(has_word)), lambda x: F.size(x) - F.size(F.array_distinct(x)))
     out = out.select(
-        *[c for c in out.columns if not c.startswith("_") and c != "n_symbols"],
-        F.col("_words.n_words").alias("n_words"),
-        F.col("_words.word_chars").alias("word_chars"),
+        *[c for c in out.columns if not c.startswith("__quality_") and c != "n_symbols"],
+        F.col("__quality_words.n_words").alias("n_words"),
+        F.col("__quality_words.word_chars").alias("word_chars"),
         "n_symbols",
         n_dup.cast("long").alias("n_dup_lines"),
-        F.col("_words.n_repeat_words").alias("n_repeat_words"),
-        F.when(F.col("_kept").isNull(), 0).otherwise(F.size(F.split(whole, "\n")) - F.size("_kept")).cast("long").alias("n_lines_removed"),
-        F.coalesce(F.array_join("_kept", "\n"), whole).alias("clean_text"),
+        F.col("__quality_words.n_repeat_words").alias("n_repeat_words"),
+        F.when(F.col("__quality_kept").isNull(), 0).otherwise(F.size(F.split(whole, "\n")) - F.size("__quality_kept")).cast("long").alias("n_lines_removed"),
+        F.coalesce(F.array_join("__quality_kept", "\n"), whole).alias("clean_text"),
     )
     clean_chars = F.length(F.regexp_replace("clean_text", BLANK, ""))
     out = out.withColumn("chars_removed", F.when(F.col("n_lines_removed") == 0, 0).otherwise(F.col("word_chars") - clean_chars).cast("long"))

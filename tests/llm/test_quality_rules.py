@@ -33,7 +33,7 @@ def test_base_columns_equal_brute_force(spark):
 
 
 def test_lines_are_removed_and_losing_documents_rejected(spark):
-    clean = "\n".join(f"This is sentence number {i} of a calm and ordinary text." for i in range(6))
+    clean = "\n".join(f"Line {i} tells of thing{i} and then of place{i} calmly." for i in range(6))
     nav = "Home | News | Sports | Contact"
     junk = "\n".join(f"part{i}### token{i}&&& other{i}%%% more{i}***" for i in range(9))
     rows = [
@@ -51,6 +51,7 @@ def test_rows_and_clashing_columns(spark):
     rows = [(1, "a b", "x", True), (1, "a b", "x", True), (None, None, None, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, _words string, kept boolean")
     out = quality_rules(docs)
+    assert out.columns[:3] == ["doc_id", "text", "_words"]
     assert out.count() == 3 and out.columns.count("kept") == 1 and out.filter("kept").count() == 0
     assert quality_rules(docs.limit(0)).count() == 0
 
