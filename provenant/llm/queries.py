@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from provenant.llm.byte_bpe import op5_byte_bpe
 from provenant.llm.quality_rules import op4_quality_rules
 from provenant.llm.token_counts import op10_token_counts
 
@@ -15,6 +16,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     return {
         "op4_quality_rules": op4_quality_rules,
+        "op5_byte_bpe": op5_byte_bpe,
         "op10_token_counts": op10_token_counts,
     }
 
