@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from provenant.llm.byte_bpe import op5_byte_bpe
 from provenant.llm.quality_rules import op4_quality_rules
+from provenant.llm.sharding import op9_sharding
 from provenant.llm.token_counts import op10_token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +18,7 @@ def queries() -> dict[str, Query]:
     return {
         "op4_quality_rules": op4_quality_rules,
         "op5_byte_bpe": op5_byte_bpe,
+        "op9_sharding": op9_sharding,
         "op10_token_counts": op10_token_counts,
     }
 
