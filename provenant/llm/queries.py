@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from provenant.llm.byte_bpe import op5_byte_bpe
+from provenant.llm.decontaminate import op8_decontaminate
 from provenant.llm.minhash import op7_minhash
 from provenant.llm.pii import op6_pii
 from provenant.llm.quality_rules import op4_quality_rules
@@ -22,6 +23,7 @@ def queries() -> dict[str, Query]:
         "op5_byte_bpe": op5_byte_bpe,
         "op6_pii": op6_pii,
         "op7_minhash": op7_minhash,
+        "op8_decontaminate": op8_decontaminate,
         "op9_sharding": op9_sharding,
         "op10_token_counts": op10_token_counts,
     }
