@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from provenant.llm.byte_bpe import op5_byte_bpe
 from provenant.llm.decontaminate import op8_decontaminate
+from provenant.llm.license_scan import op3_license_scan
 from provenant.llm.minhash import op7_minhash
 from provenant.llm.pii import op6_pii
 from provenant.llm.quality_rules import op4_quality_rules
@@ -19,6 +20,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def queries() -> dict[str, Query]:
     return {
+        "op3_license_scan": op3_license_scan,
         "op4_quality_rules": op4_quality_rules,
         "op5_byte_bpe": op5_byte_bpe,
         "op6_pii": op6_pii,
