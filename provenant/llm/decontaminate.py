@@ -15,6 +15,7 @@ import re
 from collections import defaultdict
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -134,17 +135,11 @@ def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, sha
     null doc_id gives rows with a null doc_id; further columns are not read; an empty table on either side gives
     an empty table; a text is searched whole.
     """
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).filter("text is not null")
-    total = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    parts = max(1, -(-total // PART_CHARS))
-    docs, out = docs.select("doc_id", "text"), None
-    for k in range(parts):
-        part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == k)
-        rows = sorted((r["item_id"] if r["item_id"] is not None else -1, r["text"]) for r in part.toLocalIterator())  # some PART_CHARS
-        shared = spark.sparkContext.broadcast(rows)
+    out = None
+    for shared in parts_of(spark, benchmark):
 
         def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher(shared.value, share)
+            matcher = matcher_for(shared.value, share)
             for batch in batches:
                 ids, found = batch.column(0).to_pylist(), []
                 for doc, text in zip(ids, batch.column(1), strict=True):
@@ -153,10 +148,51 @@ def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, sha
                 kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["doc_id", "item_id", "distance", "start", "end"])
 
-        hits = docs.mapInArrow(search, HIT_SCHEMA)
+        hits = docs.select("doc_id", "text").mapInArrow(search, HIT_SCHEMA)
         out = hits if out is None else out.unionByName(hits)
     return out
 
 
+def without_contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, share: float = EDIT_SHARE, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text holds no item of the benchmark; the same matches as :func:`contaminated`, no shuffle."""
+    for shared in parts_of(spark, benchmark):
+        docs = docs.filter(~holds_item(shared, share)(F.col(text)))
+    return docs
+
+
+def holds_item(shared, share: float):
+    """Whether a text holds an item of a broadcast part, as a column function."""
+
+    @F.pandas_udf("boolean")
+    def test(texts: pd.Series) -> pd.Series:
+        matcher = matcher_for(shared.value, share)
+        return pd.Series([bool(matcher.hits(normal(t or ""))) for t in texts], dtype=bool)
+
+    return test
+
+
+_latest: list = [None, None, None]
+
+
+def matcher_for(items: list[tuple[int, str]], share: float) -> Matcher:
+    """The matcher of a list of items, made once per worker for the list in use."""
+    if _latest[0] is not items or _latest[1] != share:
+        _latest[:] = items, share, Matcher(items, share)
+    return _latest[2]
+
+
+def parts_of(spark: SparkSession, benchmark: DataFrame) -> list:
+    """The benchmark as broadcast lists of (item_id, text), each of some ``PART_CHARS`` characters."""
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).filter("text is not null")
+    total = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+    parts = max(1, -(-total // PART_CHARS))
+    out = []
+    for k in range(parts):
+        part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == k)
+        rows = sorted((r["item_id"] if r["item_id"] is not None else -1, r["text"]) for r in part.toLocalIterator())  # some PART_CHARS
+        out.append(spark.sparkContext.broadcast(rows))
+    return out
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(spark, documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
