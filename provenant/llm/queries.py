@@ -13,6 +13,7 @@ from provenant.llm.minhash import op7_minhash
 from provenant.llm.pii import op6_pii
 from provenant.llm.quality_rules import op4_quality_rules
 from provenant.llm.sharding import op9_sharding
+from provenant.llm.suffix_dedup import op2_suffix_dedup
 from provenant.llm.token_counts import op10_token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +21,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def queries() -> dict[str, Query]:
     return {
+        "op2_suffix_dedup": op2_suffix_dedup,
         "op3_license_scan": op3_license_scan,
         "op4_quality_rules": op4_quality_rules,
         "op5_byte_bpe": op5_byte_bpe,
