@@ -10,6 +10,7 @@ from provenant.llm.byte_bpe import op5_byte_bpe
 from provenant.llm.decontaminate import op8_decontaminate
 from provenant.llm.license_scan import op3_license_scan
 from provenant.llm.minhash import op7_minhash
+from provenant.llm.passages import op1_passages
 from provenant.llm.pii import op6_pii
 from provenant.llm.quality_rules import op4_quality_rules
 from provenant.llm.sharding import op9_sharding
@@ -21,6 +22,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_passages": op1_passages,
         "op2_suffix_dedup": op2_suffix_dedup,
         "op3_license_scan": op3_license_scan,
         "op4_quality_rules": op4_quality_rules,
