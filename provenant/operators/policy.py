@@ -143,7 +143,7 @@ def neutralised(value: Column, max_length: int, secrets: list[str] | None = None
         if secret:
             value = F.replace(value, F.lit(secret), F.lit("[REDACTED]"))
     code = lambda c: F.when(F.ascii(c) < 256, F.concat(F.lit("\\x"), F.lpad(F.lower(F.hex(F.ascii(c))), 2, "0"))).otherwise(F.concat(F.lit("\\u"), F.lower(F.hex(F.ascii(c)))))
-    risky = "[\\x00-\\x1f\\x7f-\\x9f  ]"
+    risky = r"[\x00-\x1f\x7f-\x9f\u2028\u2029]"
     escaped = F.array_join(F.transform(F.split(value, ""), lambda c: F.when(c.rlike(risky), code(c)).otherwise(c)), "")
     out = F.when(value.rlike(risky), escaped).otherwise(value)
     return F.when(F.length(out) <= max_length, out).otherwise(F.concat(F.substring(out, 1, max_length - 1), F.lit("…")))

@@ -101,7 +101,7 @@ def trigram_similarity(a: Column, b: Column) -> Column:
 
 def visible(text: Column) -> Column:
     """A derived view without control and zero-width characters; the raw column keeps its offsets."""
-    return F.regexp_replace(text, "[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\x7f-\\x9f​-‏‪-‮⁠-⁤﻿]", "")
+    return F.regexp_replace(text, r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x9f\u200b-\u200f\u202a-\u202e\u2060-\u2064\ufeff]", "")
 
 
 @F.pandas_udf(T.StringType())
