@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from provenant.operators import constraints, discovery, graph, jobs, metrics, planning, policy, responses, retrieval, temporal, versions
+from provenant.operators import constraints, discovery, graph, ingest, jobs, metrics, planning, policy, responses, retrieval, temporal, verification, versions
 
 Query = Callable[[SparkSession, str], DataFrame]
 _queries: dict[str, Query] = {}
@@ -297,13 +297,15 @@ def page_references(spark, sf_dir):
     return discovery.page_references(table(spark, sf_dir, "pages")).select("page_id", "pos", "raw")
 
 
-@query()
+@query(f"WITH {REFS} SELECT page_id, resolved, min(pos) AS first_pos, count(*) AS n_refs, string_agg(raw, ' ' ORDER BY pos) AS raws FROM full_refs GROUP BY page_id, resolved")
 def reference_groups(spark, sf_dir):
     refs = discovery.page_references(table(spark, sf_dir, "pages"))
     return discovery.reference_groups(refs).select("page_id", "resolved", "first_pos", "n_refs", F.array_join(F.transform("raws", lambda r: r["raw"]), " ").alias("raws"))
 
 
-@query()
+@query(f"""WITH {REFS}, ok AS (SELECT page_id, count(DISTINCT resolved) AS n FROM full_refs WHERE regexp_matches(resolved, '^https://({'|'.join(HOSTS)})(/|$)') AND length(resolved) <= 200 AND NOT regexp_matches(resolved, '[\\x00-\\x20\\x7f-\\x9f\\\\]')
+ AND NOT regexp_matches(resolved, '\\?[^#]') AND NOT regexp_matches(substr(resolved, 9), '//') AND NOT regexp_matches(regexp_replace(resolved, '[?#].*$', ''), '[^\\x00-\\x7f]') GROUP BY page_id)
+ SELECT p.page_id, coalesce(n, 0) AS n_candidates, CASE WHEN n IS NULL THEN 'UNRESOLVED' WHEN n = 1 THEN 'DISCOVERED' ELSE 'AMBIGUOUS' END AS status FROM pages p LEFT JOIN ok ON p.page_id = ok.page_id""")
 def discovery_status(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
     ok = F.col("resolved").startswith("https://") & (policy.url_reason(F.col("resolved"), HOSTS, ["/"], 200).isNull())
@@ -437,6 +439,64 @@ def queue_head(spark, sf_dir):
     return jobs.queue_head(o, F.lit("1996-06-01").cast("timestamp_ntz"), 20).select("job_id")
 
 
+# --- a whole run ----------------------------------------------------------------------------------------------
+
+CANDIDATE_ROWS = """c AS (SELECT doc_id, source, lang, n_chars, text, CASE WHEN lang = 'es' THEN 'DOCUMENT_TYPE_NOT_IN_SCOPE' END AS scope_reason, CASE WHEN n_chars % 7 <> 0 THEN 'https://docs.example/' || lang END AS document_url,
+ CASE WHEN source = 'src3' THEN 'HOST_NOT_ALLOWED' END AS url_reason, CASE n_chars % 11 WHEN 0 THEN 304 WHEN 1 THEN 503 WHEN 2 THEN 404 ELSE 200 END AS status, CASE WHEN n_chars % 13 = 0 THEN 'PDF_SANITY_FAILED' END AS rejected FROM documents),
+ pre AS (SELECT *, CASE WHEN scope_reason IS NOT NULL THEN 'OUT_OF_SCOPE' WHEN document_url IS NULL THEN 'UNRESOLVED' WHEN url_reason IS NOT NULL THEN 'QUARANTINED' END AS pre,
+ CASE WHEN scope_reason IS NOT NULL THEN scope_reason WHEN document_url IS NULL THEN 'NO_ATTACHMENT_URL_IN_MANIFEST' ELSE url_reason END AS pre_reason FROM c),
+ res AS (SELECT doc_id AS document_key, CASE WHEN pre IS NOT NULL THEN pre WHEN status = 503 THEN 'FAILED_TRANSIENT' WHEN status = 404 THEN 'FAILED_PERMANENT' WHEN rejected IS NOT NULL THEN 'QUARANTINED' WHEN status = 304 THEN 'FAILED_PERMANENT' ELSE 'NEW_VERSION' END AS outcome,
+ CASE WHEN pre IS NOT NULL THEN pre_reason WHEN status = 503 THEN 'HTTP_TRANSIENT' WHEN status = 404 THEN 'HTTP_PERMANENT' WHEN rejected IS NOT NULL THEN rejected WHEN status = 304 THEN 'HTTP_PERMANENT' END AS reason,
+ CASE WHEN pre IS NOT NULL OR status IN (503, 404) THEN 'DISCOVERED' WHEN rejected IS NOT NULL OR status = 304 THEN 'FETCHED' ELSE 'VERSIONED' END AS stage, CASE WHEN pre IS NULL THEN 1 ELSE 0 END AS attempts FROM pre)"""
+
+
+def run_results(spark, sf_dir):
+    """Every document is a candidate of one first run, with one captured attempt."""
+    d = table(spark, sf_dir, "documents")
+    candidates = d.select(
+        F.col("doc_id").alias("document_key"), F.when(F.col("lang") == "es", "DOCUMENT_TYPE_NOT_IN_SCOPE").alias("scope_reason"), F.when(F.col("n_chars") % 7 != 0, F.concat(F.lit("https://docs.example/"), "lang")).alias("document_url"),
+        F.when(F.col("source") == "src3", "HOST_NOT_ALLOWED").alias("url_reason"), F.col("lang").alias("ref"),
+    )
+    k, none = F.col("n_chars") % 11, F.lit(None).cast("string")
+    status = F.when(k == 0, 304).when(k == 1, 503).when(k == 2, 404).otherwise(200)
+    captured = d.select(
+        F.col("doc_id").alias("document_key"), F.col("doc_id").alias("seq"), status.alias("status"), none.alias("failure"), none.alias("quarantine"),
+        F.when(F.col("n_chars") % 13 == 0, "PDF_SANITY_FAILED").alias("rejected"), F.sha2("text", 256).alias("hash"), F.col("n_chars").alias("size"),
+    )
+    earlier = observations(spark, sf_dir).limit(0).withColumn("doc", F.lit(0).cast("long"))
+    return ingest.ingest(candidates, captured, earlier)
+
+
+@query(f"WITH {CANDIDATE_ROWS} SELECT document_key, outcome, reason, stage, attempts FROM res")
+def ingest_results(spark, sf_dir):
+    return run_results(spark, sf_dir)
+
+
+@query(f"WITH {CANDIDATE_ROWS}, g AS (SELECT outcome, count(*) AS n FROM res GROUP BY outcome) SELECT sum(n)::BIGINT AS processed, string_agg(outcome || '=' || n, ',' ORDER BY outcome) AS outcomes FROM g")
+def ingest_stats(spark, sf_dir):
+    return ingest.run_stats(run_results(spark, sf_dir))
+
+
+@query(f"WITH {CANDIDATE_ROWS} SELECT outcome || ': ' || count(*) AS line FROM res GROUP BY outcome UNION ALL SELECT document_key || ' ' || outcome || ' ' || reason FROM res WHERE outcome IN ('FAILED_TRANSIENT', 'FAILED_PERMANENT', 'QUARANTINED')")
+def ingest_report(spark, sf_dir):
+    return ingest.report_lines(run_results(spark, sf_dir))
+
+
+@query("""WITH q AS (SELECT d.doc_id, d.source, CASE l.quality WHEN 1 THEN 'SUPPORTS' ELSE 'CONTRADICTS' END AS stance, d.n_chars > 300 AS quoted, d.lang <> 'fr' AS dated, d.lang = 'en' AS in_force FROM documents d JOIN labels l ON d.doc_id = l.doc_id),
+ v AS (SELECT source, count(*) FILTER (WHERE quoted AND in_force AND stance = 'CONTRADICTS') AS c, count(*) FILTER (WHERE quoted AND in_force AND stance = 'SUPPORTS') AS s, count(*) FILTER (WHERE quoted AND NOT dated) AS u FROM q GROUP BY source)
+ SELECT k.source AS claim_id, CASE WHEN c > 0 THEN 'CONTRADICTED' WHEN s > 0 THEN 'SUPPORTED' WHEN u > 0 THEN 'TEMPORALLY_AMBIGUOUS' ELSE 'INSUFFICIENT_EVIDENCE' END AS state FROM (SELECT DISTINCT source FROM documents) k LEFT JOIN v ON k.source = v.source""")
+def claim_states(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    claims = d.select(F.col("source").alias("claim_id")).distinct()
+    labels = table(spark, sf_dir, "labels")
+    citations = d.join(labels, "doc_id").select(F.col("source").alias("claim_id"), F.col("doc_id").alias("evidence_id"), F.lit(10).alias("as_of"), F.when(F.col("quality") == 1, "SUPPORTS").otherwise("CONTRADICTS").alias("stance"))
+    quote = F.when(F.col("n_chars") > 300, F.sha2(F.substring("text", 6, 20), 256)).otherwise("none")
+    start = F.when(F.col("lang") == "en", 1).when(F.col("lang") != "fr", 50)
+    evidence = d.select(F.col("doc_id").alias("evidence_id"), F.col("doc_id").alias("layer_id"), F.lit(5).alias("start"), F.lit(25).alias("end"), quote.alias("quote_hash"), start.alias("valid_from"), F.lit(None).cast("int").alias("valid_to"))
+    checked = verification.checked_citations(citations, evidence, d.select(F.col("doc_id").alias("layer_id"), "text"))
+    return verification.claim_states(claims, checked)
+
+
 # --- as-of, graph ---------------------------------------------------------------------------------------------
 
 
