@@ -29,7 +29,9 @@ from pyspark.sql import functions as F
 from provenant.llm.blocks import NO_ID, block_ids, blocks_of, bucket_count, by_bucket, exchange, raw_bytes, squeeze, unsqueeze
 from provenant.llm.common import documents, segments, written
 
-BLOCK_BYTES = 8 << 20
+#: Larger blocks hold fewer distinct words in all: less to shuffle.
+BLOCK_BYTES = 16 << 20
+LEVEL = 9
 
 
 @lru_cache(maxsize=4)
@@ -100,9 +102,22 @@ class Numbers(dict):
         return n
 
 
-def small(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Codes as two planes of 16 bits; the upper one compresses to nothing in most blocks."""
-    return codes.astype("<u4").astype("<u2"), (codes >> 16).astype("<u2")
+def planes(codes: np.ndarray) -> list[np.ndarray]:
+    """Numbers as four planes of bytes: frequent words have small numbers, so the upper planes compress to little."""
+    return list(codes.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+
+
+def unplaned(parts: list[np.ndarray]) -> np.ndarray:
+    return np.stack(parts, 1).reshape(-1).view("<u4").astype(np.int64)
+
+
+def packed_words(words: list[bytes]) -> list[np.ndarray | bytes]:
+    return [np.fromiter(map(len, words), "<u4", len(words)), b"".join(words)]
+
+
+def cut_words(lengths: np.ndarray, data: bytes) -> list[bytes]:
+    ends = np.cumsum(lengths, dtype=np.int64)
+    return [data[b - n : b] for b, n in zip(ends.tolist(), lengths.tolist(), strict=True)]
 
 
 def packed_blocks(spark: SparkSession, docs: DataFrame, pattern: str) -> DataFrame:
@@ -127,26 +142,22 @@ def packed_blocks(spark: SparkSession, docs: DataFrame, pattern: str) -> DataFra
             renumber[order] = np.arange(len(order), dtype=np.uint32)
             listed = list(numbers)
             encoded = [listed[i].encode() for i in order]
-            words = squeeze(np.array(list(map(len, encoded)), "<u4"), b"".join(encoded))
-            payload = squeeze(block.ids, np.array(counts, "<u4"), *small(renumber[codes]))
+            words = squeeze(*packed_words(encoded), level=LEVEL)
+            payload = squeeze(block.ids, np.array(counts, "<u4"), *planes(renumber[codes]), level=LEVEL)
             yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (next(ids), len(block.data), payload, words)], ["block", "raw_bytes", "payload", "words"])
 
     return written(spark, docs.select("doc_id", "text").mapInArrow(pack, "block long, raw_bytes long, payload binary, words binary"))
 
 
-def unpack_words(blob: bytes) -> list[bytes]:
-    lengths, data = unsqueeze(blob, "<u4", "b")
-    ends = np.cumsum(lengths, dtype=np.int64)
-    return [data[b - n : b] for b, n in zip(ends.tolist(), lengths.tolist(), strict=True)]
-
-
 def bucket_numbers(words: list[bytes], n_buckets: int) -> np.ndarray:
     return np.fromiter((zlib.crc32(w) % n_buckets for w in words), np.int64, len(words))
 
 
-def encode(spark: SparkSession, docs: DataFrame, rank_file: str, pattern: str) -> DataFrame:
+def encode(spark: SparkSession, docs: DataFrame, rank_file: str, pattern: str, with_decoded: bool = False) -> DataFrame:
     """(doc_id, n_tokens, ids) for each row of ``docs`` (doc_id, text): ids as little-endian unsigned 32-bit integers.
 
+    ``with_decoded`` adds the bytes that the ids decode to, as :func:`decode` would, without another Python step.
+
     Defined results: a null or empty text has no ids; a null doc_id stays null; repeated rows come back each;
     further columns of ``docs`` are not read; an empty table gives an empty table; a long text is cut into
     pre-tokens in segments but encoded whole.
@@ -157,58 +168,69 @@ def encode(spark: SparkSession, docs: DataFrame, rank_file: str, pattern: str) -
     def ask(batches):
         for batch in batches:
             for block, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                words = unpack_words(blob)
+                words = cut_words(*unsqueeze(blob, "<u4", "b"))
                 order, starts = by_bucket(bucket_numbers(words, n_buckets), n_buckets)
                 rows = []
                 for k in range(n_buckets):
                     if starts[k] < starts[k + 1]:
-                        own = [words[i] for i in order[starts[k] : starts[k + 1]]]
-                        rows.append((k, block, squeeze(np.array(list(map(len, own)), "<u4"), b"".join(own))))
+                        numbers = order[starts[k] : starts[k + 1]]
+                        own = packed_words([words[i] for i in numbers])
+                        rows.append((k, block, squeeze(np.diff(numbers, prepend=0).astype("<u4"), *own, level=LEVEL)))
                 yield pa.RecordBatch.from_pylist([dict(zip(("bucket", "block", "request"), r, strict=True)) for r in rows], schema=pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("request", pa.binary())]))
 
     def answer(requests: list[bytes]) -> list[bytes]:
         encode_word, known, replies = library(rank_file, pattern)._encode_single_piece, {}, []
         for request in requests:
             found = []
-            for word in unpack_words(request):
+            steps, *own = unsqueeze(request, "<u4", "<u4", "b")
+            for word in cut_words(*own):
                 ids = known.get(word)
                 if ids is None:
                     ids = known[word] = np.array(encode_word(word), "<u4").tobytes()
                 found.append(ids)
-            replies.append(squeeze(np.fromiter((len(x) // 4 for x in found), "<u4", len(found)), b"".join(found)))
+            lengths = np.fromiter((len(x) // 4 for x in found), "<u4", len(found))
+            replies.append(squeeze(steps, lengths, *planes(np.frombuffer(b"".join(found), "<u4")), level=LEVEL))
         return replies
 
     def assemble(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        out_ids, out_n, out = [], [], []
-        replies = dict(zip(right.column("bucket").to_pylist(), right.column("reply").to_pylist(), strict=True))
-        for payload, blob in zip(left.column("payload").to_pylist(), left.column("words").to_pylist(), strict=True):
-            doc_ids, counts, low, high = unsqueeze(payload, "<i8", "<u4", "<u2", "<u2")
-            words = unpack_words(blob)
-            order, starts = by_bucket(bucket_numbers(words, n_buckets), n_buckets)
-            lengths, parts = np.zeros(len(words), np.int64), []
-            for k in range(n_buckets):
-                if starts[k] < starts[k + 1]:
-                    n, ids = unsqueeze(replies[k], "<u4", "<u4")
-                    lengths[order[starts[k] : starts[k + 1]]] = n
-                    parts.append(ids)
-            table = np.concatenate(parts) if parts else np.zeros(0, "<u4")
-            begin = np.zeros(len(words), np.int64)
-            begin[order] = np.cumsum(lengths[order]) - lengths[order]
-            codes, at = low.astype(np.int64) | high.astype(np.int64) << 16, 0
+        out_ids, out_n, out, plain = [], [], [], []
+        words, parts = [], []
+        for reply in right.column("reply").to_pylist():
+            steps, lengths, *ids = unsqueeze(reply, *["<u4"] * 2, *["u1"] * 4)
+            words.append((np.cumsum(steps, dtype=np.int64), lengths.astype(np.int64)))
+            parts.append(unplaned(ids).astype("<u4"))
+        table = np.concatenate(parts) if parts else np.zeros(0, "<u4")
+        numbers = np.concatenate([n for n, _ in words]) if words else np.zeros(0, np.int64)
+        sent = np.concatenate([n for _, n in words]) if words else np.zeros(0, np.int64)
+        lengths, begin = np.zeros(len(numbers), np.int64), np.zeros(len(numbers), np.int64)
+        lengths[numbers], begin[numbers] = sent, np.cumsum(sent) - sent
+        for payload in left.column("payload").to_pylist():
+            doc_ids, counts, *codes = unsqueeze(payload, "<i8", "<u4", *["u1"] * 4)
+            codes, at = unplaned(codes), 0
             for doc, count in zip(doc_ids.tolist(), counts.tolist(), strict=True):
                 own = codes[at : at + count]
                 at += count
                 n = lengths[own]
                 total = int(n.sum())
                 within = np.arange(total) - np.repeat(np.cumsum(n) - n, n)
+                ids = table[np.repeat(begin[own], n) + within].tobytes()
                 out_ids.append(None if doc == NO_ID else doc)
                 out_n.append(total)
-                out.append(table[np.repeat(begin[own], n) + within].tobytes())
-        return pa.table({"doc_id": pa.array(out_ids, pa.int64()), "n_tokens": pa.array(out_n, pa.int64()), "ids": pa.array(out, pa.binary())})
+                out.append(ids)
+                if with_decoded:
+                    plain.append(decoded_bytes(ids, rank_file))
+        found = {"doc_id": pa.array(out_ids, pa.int64()), "n_tokens": pa.array(out_n, pa.int64()), "ids": pa.array(out, pa.binary())}
+        return pa.table(found | ({"decoded": pa.array(plain, pa.binary())} if with_decoded else {}))
 
     requests = blocks.select("block", "words").mapInArrow(ask, "bucket int, block long, request binary")
     replies = exchange(requests, n_buckets, answer)
-    return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(assemble, "doc_id long, n_tokens long, ids binary")
+    positions = blocks.select("block", "payload")
+    schema = "doc_id long, n_tokens long, ids binary" + (", decoded binary" if with_decoded else "")
+    return positions.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(assemble, schema)
+
+
+def decoded_bytes(ids: bytes, rank_file: str) -> bytes:
+    return b"".join(map(token_bytes(rank_file).__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
 def decode(encoded: DataFrame, rank_file: str) -> DataFrame:
@@ -216,8 +238,7 @@ def decode(encoded: DataFrame, rank_file: str) -> DataFrame:
 
     @F.pandas_udf("binary")
     def bytes_of(ids: pd.Series) -> pd.Series:
-        table = token_bytes(rank_file)
-        return pd.Series([b"".join(map(table.__getitem__, np.frombuffer(x, "<u4").tolist())) for x in ids], dtype=object)
+        return pd.Series([decoded_bytes(x, rank_file) for x in ids], dtype=object)
 
     return encoded.withColumn("decoded", bytes_of("ids"))
 
@@ -231,5 +252,5 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    encoded = encode(spark, documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
-    return decode(encoded, ranks).select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    encoded = encode(spark, documents(spark, sf_dir), ranks, public_tokenizers.PATTERN, with_decoded=True)
+    return encoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
