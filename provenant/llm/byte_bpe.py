@@ -136,14 +136,15 @@ def packed_blocks(spark: SparkSession, docs: DataFrame, pattern: str) -> DataFra
                     n += len(found)
                 counts.append(n)
             codes = np.concatenate(codes) if codes else np.zeros(0, np.uint32)
-            # Frequent words get small numbers, so that the positions compress.
-            order = np.argsort(-np.bincount(codes, minlength=len(numbers)), kind="stable")
-            renumber = np.empty(len(order), np.uint32)
-            renumber[order] = np.arange(len(order), dtype=np.uint32)
+            # Frequent words get small numbers, and a word of one use is only marked (0): those come in order, last.
+            uses = np.bincount(codes, minlength=len(numbers))
+            order, repeated = np.argsort(-uses, kind="stable"), int((uses > 1).sum())
+            renumber = np.zeros(len(order), np.uint32)
+            renumber[order[:repeated]] = np.arange(1, repeated + 1, dtype=np.uint32)
             listed = list(numbers)
             encoded = [listed[i].encode() for i in order]
             words = squeeze(*packed_words(encoded), level=LEVEL)
-            payload = squeeze(block.ids, np.array(counts, "<u4"), *planes(renumber[codes]), level=LEVEL)
+            payload = squeeze(block.ids, np.array(counts, "<u4"), np.array([repeated], "<i8"), *planes(renumber[codes]), level=LEVEL)
             yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (next(ids), len(block.data), payload, words)], ["block", "raw_bytes", "payload", "words"])
 
     return written(spark, docs.select("doc_id", "text").mapInArrow(pack, "block long, raw_bytes long, payload binary, words binary"))
@@ -205,8 +206,10 @@ def encode(spark: SparkSession, docs: DataFrame, rank_file: str, pattern: str, w
         lengths, begin = np.zeros(len(numbers), np.int64), np.zeros(len(numbers), np.int64)
         lengths[numbers], begin[numbers] = sent, np.cumsum(sent) - sent
         for payload in left.column("payload").to_pylist():
-            doc_ids, counts, *codes = unsqueeze(payload, "<i8", "<u4", *["u1"] * 4)
-            codes, at = unplaned(codes), 0
+            doc_ids, counts, repeated, *codes = unsqueeze(payload, "<i8", "<u4", "<i8", *["u1"] * 4)
+            codes, at = unplaned(codes) - 1, 0
+            once = codes < 0
+            codes[once] = repeated[0] + np.arange(int(once.sum()))
             for doc, count in zip(doc_ids.tolist(), counts.tolist(), strict=True):
                 own = codes[at : at + count]
                 at += count
