@@ -4,9 +4,10 @@
    packed signature (64 bytes). Equal sets are one class, for which its smallest doc_id stands.
 2. Candidates: in every band, a class is paired with the smallest class of its key (a star, not all pairs). The
    signatures' equal nibbles, corrected for chance collisions, estimate the similarity. Pairs of at least
-   ``NEAR`` join a candidate group; members below ``FAR`` meet again under the next smallest class, until no key
-   has members left. By the triangle inequality of the Jaccard distance, two classes that share a band and link
-   then lie in one group (NEAR and FAR leave five standard errors or more on either side).
+   ``NEAR`` join a candidate group; members below ``FAR`` meet again under the next smallest class, ``LEVELS``
+   times; what a key still holds then joins the group of its smallest class whatever the estimate. By the
+   triangle inequality of the Jaccard distance, two classes that share a band and link then lie in one group
+   (NEAR and FAR leave five standard errors or more on either side).
 3. Links are confirmed on full sets inside a group, block by block: first inside each block and against a few
    members of the whole group, then only between blocks whose members are not all connected yet. A task returns a
    spanning forest of its links, never all pairs.
@@ -31,7 +32,7 @@ from provenant.llm.shingles import common, mixed, shingle_set
 
 BANDS, ROWS, BITS = 32, 4, 4
 HASHES = BANDS * ROWS
-NEAR, FAR = 0.35, 0.6
+NEAR, FAR, LEVELS = 0.35, 0.6, 3
 #: Classes in a block of exact comparisons, and members of the whole group that each block is compared with first.
 BLOCK, PIVOTS = 512, 32
 _seeds = np.random.default_rng(20_240_101).integers(1, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -98,20 +99,22 @@ def candidate_groups(spark: SparkSession, classes: DataFrame) -> DataFrame:
     """(node, label): candidate groups of ``classes`` (node, signature, bands)."""
     members = classes.select("node", F.explode("bands").alias("key"))
     sigs = classes.select("node", "signature")
-    near, level = [], 0
-    while True:
+    near = []
+    for level in range(LEVELS + 1):
         hubs = members.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("n")).filter("n > 1").drop("n")
         pairs = written(spark, members.join(hubs, "key").filter("node <> hub"))
         if not pairs.limit(1).count():
             drop_written(spark, pairs)
             break
+        if level == LEVELS:
+            near.append(pairs.select(F.col("node").alias("a"), F.col("hub").alias("b")))
+            break
         measured = pairs.select("node", "hub").distinct().join(sigs, "node")
         measured = measured.join(sigs.select(F.col("node").alias("hub"), F.col("signature").alias("other")), "hub")
         measured = written(spark, measured.select("node", "hub", estimate("signature", "other").alias("similar")))
         near.append(measured.filter(F.col("similar") >= NEAR).select(F.col("node").alias("a"), F.col("hub").alias("b")))
         members = written(spark, pairs.join(measured.filter(F.col("similar") < FAR).select("node", "hub"), ["node", "hub"], "left_semi").select("node", "key"))
         drop_written(spark, pairs)
-        level += 1
     if not near:
         return spark.createDataFrame([], "node long, label long")
     edges = near[0]
