@@ -111,6 +111,17 @@ def unplaned(parts: list[np.ndarray]) -> np.ndarray:
     return np.stack(parts, 1).reshape(-1).view("<u4").astype(np.int64)
 
 
+def escaped(codes: np.ndarray) -> list[np.ndarray]:
+    """A byte for each position, and planes of what does not fit in it: frequent words take a byte and no more."""
+    return [np.minimum(codes, 255).astype(np.uint8), *planes(codes[codes >= 255] - 255)]
+
+
+def unescaped(first: np.ndarray, *rest: np.ndarray) -> np.ndarray:
+    codes = first.astype(np.int64)
+    codes[first == 255] += unplaned(list(rest))
+    return codes
+
+
 def packed_words(words: list[bytes]) -> list[np.ndarray | bytes]:
     return [np.fromiter(map(len, words), "<u4", len(words)), b"".join(words)]
 
@@ -144,7 +155,7 @@ def packed_blocks(spark: SparkSession, docs: DataFrame, pattern: str) -> DataFra
             listed = list(numbers)
             encoded = [listed[i].encode() for i in order]
             words = squeeze(*packed_words(encoded), level=LEVEL)
-            payload = squeeze(block.ids, np.array(counts, "<u4"), np.array([repeated], "<i8"), *planes(renumber[codes]), level=LEVEL)
+            payload = squeeze(block.ids, np.array(counts, "<u4"), np.array([repeated], "<i8"), *escaped(renumber[codes]), level=LEVEL)
             yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (next(ids), len(block.data), payload, words)], ["block", "raw_bytes", "payload", "words"])
 
     return written(spark, docs.select("doc_id", "text").mapInArrow(pack, "block long, raw_bytes long, payload binary, words binary"))
@@ -206,8 +217,8 @@ def encode(spark: SparkSession, docs: DataFrame, rank_file: str, pattern: str, w
         lengths, begin = np.zeros(len(numbers), np.int64), np.zeros(len(numbers), np.int64)
         lengths[numbers], begin[numbers] = sent, np.cumsum(sent) - sent
         for payload in left.column("payload").to_pylist():
-            doc_ids, counts, repeated, *codes = unsqueeze(payload, "<i8", "<u4", "<i8", *["u1"] * 4)
-            codes, at = unplaned(codes) - 1, 0
+            doc_ids, counts, repeated, *codes = unsqueeze(payload, "<i8", "<u4", "<i8", *["u1"] * 5)
+            codes, at = unescaped(*codes) - 1, 0
             once = codes < 0
             codes[once] = repeated[0] + np.arange(int(once.sum()))
             for doc, count in zip(doc_ids.tolist(), counts.tolist(), strict=True):
