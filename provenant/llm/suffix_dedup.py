@@ -8,8 +8,8 @@ Suffix structures over a whole corpus do not distribute, so the corpus is first
 2. The block sends the stretches of those, each distinct string once with the smallest doc_id in the block. In its
    bucket, the stretches of one set of blocks are a shard with a Burrows-Wheeler transform of its own. The shards
    are merged by refining their interleave one symbol at a time (:func:`merge`): after ``h`` rounds the suffixes
-   are ordered by their first ``h`` bytes, the round in which two neighbours part is their common prefix, and after
-   50 rounds each interval holds the places of one 50-byte string. No suffix is sorted again.
+   are ordered by their first ``h`` bytes, the round in which a suffix parts from all others is its common prefix,
+   and after 50 rounds each interval holds the places of one 50-byte string. No suffix is sorted again.
 3. The smallest doc_id of each interval goes back to the blocks, which mark and cut their texts.
 
 A stretch that all blocks hold in the same form (most copies) has one distinct string and needs no rounds.
@@ -34,7 +34,8 @@ BLOCK_BYTES = 4 << 20
 SHARDS = 4
 _bytes = np.random.default_rng(50).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _base = 0x9E3779B97F4A7C15
-CHUNK = 1 << 20
+#: Bytes hashed at a time: their arrays stay in a core's cache.
+CHUNK = 1 << 16
 
 
 def powers(base: int, n: int) -> np.ndarray:
@@ -69,8 +70,13 @@ def stretches(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
             have += by
         at = (small & np.uint64(CHUNK - 1)).astype(np.int64)
         window = np.arange(len(at), dtype=np.int64) + lo
-        starts = offsets[np.searchsorted(offsets, window, "right") - 1]
-        doc_end = offsets[np.minimum(np.searchsorted(offsets, window, "right"), len(offsets) - 1)]
+        begin = np.searchsorted(offsets, [lo, lo + len(at)], "right")
+        inner = offsets[begin[0] : begin[1]]  # documents that start inside this part
+        number = np.zeros(len(at) + 1, np.int64)
+        np.add.at(number, inner[inner <= lo + len(at)] - lo, 1)
+        number = np.cumsum(number[:-1]) + begin[0] - 1
+        starts = offsets[number]
+        doc_end = offsets[np.minimum(number + 1, len(offsets) - 1)]
         whole = window + LENGTH <= doc_end
         new = np.ones(len(at), bool)
         new[1:] = (at[1:] != at[:-1]) | (starts[1:] != starts[:-1]) | (whole[1:] != whole[:-1])
@@ -125,47 +131,51 @@ class Shard:
         order[rank] = np.arange(len(rank))
         before = np.where(offset == 0, 0, text[np.maximum(np.arange(len(text)) - 1, 0)])
         self.symbols, self.string, self.offset = before[order].astype(np.uint16), string[order], offset[order]
+        self.last = np.empty(len(order), np.int64)  # row of the suffix that is one symbol longer
+        self.last[np.argsort(self.symbols, kind="stable")] = np.arange(len(order))
 
 
 def merge(shards: list[Shard], depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Interleave of the shards' rows ordered by the first ``depth`` symbols, interval of each row, common prefixes.
+    """Repeated intervals of the merged shards: (rows, interval of each row, common prefix of every row).
 
-    A round places the shard numbers stably by the symbols before the rows, which orders the rows by one symbol
-    more. A boundary between neighbours that appears in round ``h`` means a common prefix of ``h - 1`` symbols.
+    Rows are numbered shard after shard. The interleave holds the rows in order of their first ``h`` symbols; a round
+    places them stably by the symbols before them, which orders the longer suffixes by one symbol more. An interval
+    is split where the symbol or the interval that a row came from changes. A row that is alone in its interval at
+    ``h`` shares fewer than ``h`` symbols with any other row and leaves the interleave: what precedes it is alone too.
     """
-    sizes = [len(s.symbols) for s in shards]
-    source = np.repeat(np.arange(len(shards), dtype=np.uint8), sizes)
-    prefix = np.full(sum(sizes), depth, np.int16)
-    interval = np.zeros(len(source), np.int64)
-    symbols = np.empty(len(source), np.uint16)
+    starts = np.cumsum([0, *(len(s.symbols) for s in shards)])
+    symbols = np.concatenate([s.symbols for s in shards])
+    longer = np.concatenate([s.last + at for s, at in zip(shards, starts, strict=False)])
+    prefix = np.zeros(len(symbols), np.int16)
+    rows, interval = np.arange(len(symbols)), np.zeros(len(symbols), np.int64)
     for h in range(1, depth + 1):
-        for k, s in enumerate(shards):
-            symbols[source == k] = s.symbols
-        order = np.argsort(symbols, kind="stable")
-        source, came, marks = source[order], interval[order], symbols[order]
-        new = np.ones(len(source), bool)
+        marks = symbols[rows]
+        order = np.argsort(marks, kind="stable")
+        marks, came = marks[order], interval[order]
+        new = np.ones(len(rows), bool)
         new[1:] = (marks[1:] != marks[:-1]) | (came[1:] != came[:-1]) | (marks[1:] == 0)
-        interval = np.cumsum(new) - 1
-        prefix[new & (prefix == depth)] = h - 1
-    return source, interval, prefix
+        rows = longer[rows[order]]
+        alone = new.copy()
+        alone[:-1] &= new[1:]
+        interval, rows = np.cumsum(new)[~alone] - 1, rows[~alone]
+        prefix[rows] = h
+    return rows, interval, prefix
 
 
 def repeated_windows(strings: list[bytes], shard_of: np.ndarray, values: np.ndarray, depth: int = LENGTH) -> list[np.ndarray]:
     """For each string the smallest value of a string that holds the same ``depth`` bytes, window by window."""
     numbers = [np.nonzero(shard_of == k)[0] for k in np.unique(shard_of)]
     shards = [Shard([strings[i] for i in own]) for own in numbers]
-    source, interval, _ = merge(shards, depth)
-    string, offset = np.empty(len(source), np.int64), np.empty(len(source), np.int64)
-    for k, (own, s) in enumerate(zip(numbers, shards, strict=True)):
-        at = source == k
-        string[at], offset[at] = own[s.string], s.offset
-    least = np.full(int(interval[-1]) + 1, NO_ID, np.int64)
-    np.minimum.at(least, interval, values[string])
+    string = np.concatenate([own[s.string] for own, s in zip(numbers, shards, strict=True)])
+    offset = np.concatenate([s.offset for s in shards])
+    rows, interval, _ = merge(shards, depth)
     windows = np.fromiter((max(0, len(s) - depth + 1) for s in strings), np.int64, len(strings))
     begin = np.cumsum(windows) - windows
-    out = np.empty(int(windows.sum()), np.int64)
-    real = offset < windows[string]
-    out[begin[string[real]] + offset[real]] = least[interval[real]]
+    out = np.repeat(values, windows)
+    if len(rows):
+        least = np.full(int(interval[-1]) + 1, NO_ID, np.int64)
+        np.minimum.at(least, interval, values[string[rows]])
+        out[begin[string[rows]] + offset[rows]] = least[interval]
     return np.split(out, begin[1:])
 
 
@@ -231,16 +241,26 @@ def sources(requests: list[bytes]) -> list[bytes | None]:
     return replies
 
 
+def ranked(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes in order, and the place of each hash among them, by one sort."""
+    order = np.argsort(hashes)
+    new = np.ones(len(hashes), bool)
+    new[1:] = hashes[order[1:]] != hashes[order[:-1]]
+    inverse = np.empty(len(hashes), np.int64)
+    inverse[order] = np.cumsum(new) - 1
+    return hashes[order[new]], inverse
+
+
 def shared_stretches(block: Docs, replies: dict[int, bytes], n_buckets: int):
     """The stretches of a block whose anchors are shared: (firsts, ends, hashes, document numbers)."""
     firsts, ends, hashes = stretches(block.data, block.offsets)
-    distinct = np.unique(hashes)
+    distinct, inverse = ranked(hashes)
     order, starts = by_bucket((distinct % np.uint64(n_buckets)).astype(np.int64), n_buckets)
     flag = np.zeros(len(distinct), bool)
     for k, reply in replies.items():
         own = order[starts[k] : starts[k + 1]]
         flag[own] = np.unpackbits(unsqueeze(reply, "u1")[0], count=len(own)).astype(bool)
-    keep = flag[np.searchsorted(distinct, hashes)]
+    keep = flag[inverse]
     firsts, ends, hashes = firsts[keep], ends[keep], hashes[keep]
     return firsts, ends, hashes, np.searchsorted(block.offsets, firsts, "right") - 1
 
@@ -289,7 +309,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, with_text: bool = False
                 block = unpacked_block(payload)
                 firsts, _, hashes = stretches(block.data, block.offsets)
                 owner = block.ids[np.searchsorted(block.offsets, firsts, "right") - 1]
-                distinct, inverse = np.unique(hashes, return_inverse=True)
+                distinct, inverse = ranked(hashes)
                 least, most = np.full(len(distinct), NO_ID, np.int64), np.full(len(distinct), np.iinfo(np.int64).min, np.int64)
                 np.minimum.at(least, inverse, owner)
                 np.maximum.at(most, inverse, owner)

@@ -31,23 +31,29 @@ def result(df):
     return sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in df.collect())
 
 
-def test_merge_orders_suffixes_and_gives_common_prefixes():
+def test_merge_gives_repeated_intervals_and_common_prefixes():
     rng = random.Random(3)
-    for depth in (3, 8):
+    for depth in (1, 3, 8):
         strings = [bytes(rng.choices(b"ab\x00", k=rng.randrange(1, 12))) for _ in range(12)]
         shards = [Shard(strings[:5]), Shard(strings[5:6]), Shard(strings[6:])]
-        source, interval, prefix = merge(shards, depth)
-        base, at, rows = [0, 5, 6], [0, 0, 0], []
-        for k in source:
-            s = shards[k]
-            rows.append(strings[base[k] + s.string[at[k]]][s.offset[at[k]] :])
-            at[k] += 1
-        cut = [bytes(x[:depth]) for x in rows]
-        # An end mark is smaller than every byte, which the order of Python's byte strings agrees with.
-        assert cut == sorted(cut)
-        for i in range(1, len(rows)):
-            same = next((j for j in range(depth) if rows[i][j : j + 1] != rows[i - 1][j : j + 1] or not rows[i][j : j + 1]), depth)
-            assert prefix[i] == same and (interval[i] == interval[i - 1]) == (same == depth)
+        suffixes = [strings[base + i][o:] for base, s in zip((0, 5, 6), shards, strict=True) for i, o in zip(s.string, s.offset, strict=True)]
+        for s, base in zip(shards, (0, 5, 6), strict=True):  # each shard's own order
+            own = [strings[base + i][o:] for i, o in zip(s.string, s.offset, strict=True)]
+            assert own == sorted(own)
+        rows, interval, prefix = merge(shards, depth)
+        groups = {}
+        for i, x in enumerate(suffixes):
+            if len(x) >= depth:
+                groups.setdefault(x[:depth], set()).add(i)
+        found = {}
+        for r, k in zip(rows, interval, strict=True):
+            found.setdefault(k, set()).add(r)
+        assert sorted(map(sorted, found.values())) == sorted(sorted(g) for g in groups.values() if len(g) > 1)
+        ordered = [suffixes[next(iter(found[k]))][:depth] for k in sorted(found)]
+        assert ordered == sorted(ordered)
+        for i, x in enumerate(suffixes):
+            most = max(next((j for j in range(depth) if x[j : j + 1] != y[j : j + 1] or not x[j : j + 1]), depth) for k, y in enumerate(suffixes) if k != i)
+            assert prefix[i] == most
 
 
 @pytest.mark.parametrize(("block_bytes", "seed"), [(700, 1), (1 << 20, 2)])
