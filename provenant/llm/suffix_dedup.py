@@ -283,6 +283,15 @@ def listed(block: Docs, firsts, ends, hashes, docs, n_buckets: int):
     return rows, place
 
 
+def bounds(sizes: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, list[int], list[int], list[int]]:
+    """A reply's values, where each string's begin, and the smallest and largest of each; without values, NO_ID."""
+    starts = np.cumsum(np.append(0, sizes.astype(np.int64)))
+    least, most, full = np.full(len(sizes), NO_ID), np.full(len(sizes), NO_ID), sizes > 0
+    least[full] = np.minimum.reduceat(values, starts[:-1][full])
+    most[full] = np.maximum.reduceat(values, starts[:-1][full])
+    return values, starts.tolist(), least.tolist(), most.tolist()
+
+
 REQUEST = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("request", pa.binary())])
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
@@ -335,8 +344,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, with_text: bool = False
         anchors, windows = {}, {}
         for k, kind, reply in zip(right.column("bucket").to_pylist(), right.column("kind").to_pylist(), right.column("reply").to_pylist(), strict=True):
             if kind:
-                sizes, values = unsqueeze(reply, "<u4", "<i8")
-                windows[k] = np.split(values, np.cumsum(sizes)[:-1])
+                windows[k] = bounds(*unsqueeze(reply, "<u4", "<i8"))
             else:
                 anchors[k] = reply
         out = {c: [] for c in ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["kept_bytes"] if with_text else []))}
@@ -345,10 +353,18 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, with_text: bool = False
             found = shared_stretches(block, anchors, n_buckets)
             change = np.zeros(len(block.data) + 1, np.int32)
             for first, doc, (k, at) in zip(found[0].tolist(), block.ids[found[3]].tolist(), listed(block, *found, n_buckets)[1], strict=True):
-                if k in windows and len(w := windows[k][at]):
-                    marked = np.nonzero(w < doc)[0] + first
-                    np.add.at(change, marked, 1)
-                    np.add.at(change, marked + LENGTH, -1)
+                if k not in windows:
+                    continue
+                values, starts, least, most = windows[k]
+                if least[at] >= doc:
+                    continue
+                if most[at] < doc:  # every window of the stretch
+                    change[first] += 1
+                    change[first + starts[at + 1] - starts[at] - 1 + LENGTH] -= 1
+                    continue
+                for window in np.nonzero(values[starts[at] : starts[at + 1]] < doc)[0].tolist():
+                    change[first + window] += 1
+                    change[first + window + LENGTH] -= 1
             gone = np.cumsum(change[:-1]) > 0
             for i, doc in enumerate(block.ids.tolist()):
                 a, b = block.offsets[i], block.offsets[i + 1]
