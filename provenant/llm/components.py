@@ -8,6 +8,18 @@ from pyspark.sql import functions as F
 from provenant.llm.common import drop_written, written
 
 
+def contracted(edges: DataFrame) -> DataFrame:
+    """Edges with the same components, mostly far fewer: a node's smaller neighbours are tied to the smallest of them.
+
+    Nodes that share neighbours thus lead to the same few edges between those.
+    """
+    low = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    least = low.groupBy("a").agg(F.min("b").alias("m"))
+    own = least.select("a", F.col("m").alias("b"))
+    rest = low.filter("a <> b").join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return own.unionByName(rest).distinct()
+
+
 def connected(spark: SparkSession, edges: DataFrame, rounds: int = 100) -> DataFrame:
     """(node, label) for every node of ``edges`` (a long, b long): label is the smallest node reachable.
 
@@ -15,7 +27,9 @@ def connected(spark: SparkSession, edges: DataFrame, rounds: int = 100) -> DataF
     key) and then the label of the label. Rounds grow with the logarithm of the diameter, and each one's result is
     a written table. An edge from a node to itself makes the node known.
     """
-    both = written(spark, edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    edges = written(spark, contracted(contracted(edges.select("a", "b"))))
+    both = written(spark, edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    drop_written(spark, edges)
     labels = written(spark, both.groupBy(F.col("a").alias("node")).agg(F.min(F.least("a", "b")).alias("label")))
     for _ in range(rounds):
         near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
