@@ -18,7 +18,10 @@ RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules, without the lines that failed."""
-    judged = quality_rules(docs).filter("kept")
+    judged = quality_rules(docs)
+    # A filter would be pushed below the rules' projection and evaluate them a second time; a generator is not.
+    row = F.struct(*(F.col(c) for c in judged.columns))
+    judged = judged.select(F.inline(F.filter(F.array(row), lambda r: r["kept"])))
     changed = F.col("n_lines_removed") > 0
     text = F.when(changed, F.col("clean_text")).otherwise(F.col("text"))
     n_chars = F.when(changed, F.length("clean_text").cast("long")).otherwise(F.col("n_chars"))
