@@ -1,5 +1,6 @@
 import random
 
+from provenant.llm import components
 from provenant.llm.components import connected
 
 
@@ -14,3 +15,14 @@ def test_equals_search(spark):
         got = connected(spark, spark.createDataFrame(edges, "a long, b long")).collect()
         assert {r.node: r.label for r in got} == label and len(got) == len(label)
     assert connected(spark, spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_long_path_in_any_order(spark, monkeypatch):
+    rounds, one = [], components.contracted
+    monkeypatch.setattr(components, "contracted", lambda edges: rounds.append(1) or one(edges))
+    rng = random.Random(11)
+    nodes = rng.sample(range(10**6), 3000)
+    edges = [rng.sample(pair, 2) for pair in zip(nodes, nodes[1:])]
+    got = connected(spark, spark.createDataFrame(edges, "a long, b long")).collect()
+    assert {r.node: r.label for r in got} == dict.fromkeys(nodes, min(nodes)) and len(got) == len(nodes)
+    assert len(rounds) < 30
