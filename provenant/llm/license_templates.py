@@ -1,4 +1,12 @@
-"""Public licence texts and notices, by SPDX name. Several templates may have one name."""
+"""Public licence texts and notices, by SPDX name. Several templates may have one name.
+
+The full texts are the files of ``licenses``. AGPL-3.0, CC-BY-4.0 and CC-BY-NC-4.0 had no copy at hand and are
+assembled from the texts of GPL-3.0 and CC-BY-SA-4.0 with the passages in which they differ.
+"""
+
+from importlib.resources import files
+
+FULL = ["AGPL-3.0", "Apache-2.0", "CC-BY-4.0", "CC-BY-NC-4.0", "CC-BY-SA-4.0", "CC0-1.0", "GPL-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.0", "LGPL-2.1", "LGPL-3.0", "MPL-1.1", "MPL-2.0"]
 
 MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation
 files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge,
@@ -36,16 +44,40 @@ License. You may obtain a copy of the License at http://www.apache.org/licenses/
 writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either
 express or implied. See the License for the specific language governing permissions and limitations under the License."""
 
-GPL3_NOTICE = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License
-as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is
-distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR
-A PARTICULAR PURPOSE. See the GNU General Public License for more details. You should have received a copy of the GNU General Public License
-along with this program. If not, see <https://www.gnu.org/licenses/>."""
-
 UNLICENSE = """This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile,
 sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by
 any means."""
 
+#: Name, kind and versions of the GNU licences, and what their notices call the work and the full text.
+GNU = [("GPL", "", ("1", "2"), "program"), ("LGPL", "Library ", ("2",), "library"), ("LGPL", "Lesser ", ("2.1", "3"), "library"), ("AGPL", "Affero ", ("3",), "program"), ("GPL", "", ("3",), "program")]
+OFFICES = ["51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA", "59 Temple Place, Suite 330, Boston, MA 02111-1307 USA", "675 Mass Ave, Cambridge, MA 02139, USA"]
+
+
+def spdx(family: str, version: str) -> str:
+    return f"{family}-{version}" + ".0" * ("." not in version)
+
+
+def gnu_notices() -> list[tuple[str, str]]:
+    """The standard headers and one-line statements of the GNU licences, each version's own."""
+    out = []
+    for family, kind, versions, work in GNU:
+        for version in versions:
+            name, title = spdx(family, version), f"GNU {kind}General Public License"
+            ends = ["If not, see <https://www.gnu.org/licenses/>."]
+            if version != "3":
+                ends += [f"if not, write to the Free Software Foundation, Inc., {office}." for office in OFFICES]
+            for choice in (f"either version {version} of the License, or (at your option) any later version", f"version {version} of the License"):
+                for end in ends:
+                    out.append((name, f"""This {work} is free software: you can redistribute it and/or modify it under the terms of the {title} as published by
+the Free Software Foundation, {choice}. This {work} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even
+the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the {title} for more details. You should have received a
+copy of the {title} along with this {work}. {end}"""))
+            for what in ("work", "program", "library", "software", "project", "file"):
+                out.append((name, f"This {what} is licensed under the {title}, version {version}."))
+            out.append((name, f"Licensed under the {title}, version {version}."))
+    return out
+
+
 TEMPLATES = [
     ("MIT", MIT),
     ("MIT", "Released under the MIT License."),
@@ -56,15 +88,15 @@ TEMPLATES = [
     ("BSD-3-Clause", "Licensed under the BSD 3-Clause License."),
     ("Apache-2.0", APACHE_NOTICE),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("GPL-3.0", GPL3_NOTICE),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-2.0", "This program is licensed under the GNU General Public License, version 2."),
-    ("LGPL-3.0", "This library is licensed under the GNU Lesser General Public License, version 3."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
     ("Unlicense", UNLICENSE),
+    *gnu_notices(),
+    *((name, files("provenant.llm").joinpath("licenses", f"{name}.txt").read_text("utf-8")) for name in FULL),
 ]

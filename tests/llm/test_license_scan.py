@@ -1,6 +1,7 @@
 import random
 from collections import Counter
 
+from provenant.llm import license_scan as scans
 from provenant.llm.license_scan import WORD, compiled, license_scan, op3_license_scan
 from provenant.llm.license_templates import MIT, TEMPLATES
 
@@ -50,6 +51,32 @@ def test_every_template_finds_itself():
         assert [(n, d) for n, d, _, _ in scan(f"Before it. {text} After it.")] == [(name, 1.0)]
 
 
+def test_sibling_versions_are_told_apart():
+    scan = compiled(tuple(TEMPLATES), 0.85).scan
+    head = "This {0} is free software; you can redistribute it and/or modify it under the terms of the GNU {1}General Public License as published by the Free Software Foundation; either version {2} of the License, or (at your option) any later version. This {0} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {1}General Public License for more details. You should have received a copy of the GNU {1}General Public License along with this {0}; if not, see <http://www.gnu.org/licenses/>."
+    for name, *parts in [("GPL-2.0", "program", "", "2"), ("GPL-3.0", "program", "", "3"), ("AGPL-3.0", "program", "Affero ", "3"), ("LGPL-2.1", "library", "Lesser ", "2.1"), ("LGPL-3.0", "library", "Lesser ", "3"), ("LGPL-2.0", "library", "Library ", "2")]:
+        assert [n for n, *_ in scan(f"Foo. {head.format(*parts)} Bar.")] == [name]
+        assert [n for n, *_ in scan(f"Foo. This {parts[0]} is licensed under the GNU {parts[1]}General Public License, version {parts[2]}. Bar.")] == [name]
+    rng = random.Random(3)
+    for name, text in TEMPLATES[-14:]:  # full texts with some words changed
+        words = [w if rng.random() < 0.98 else "x" for w in text.split()]
+        (found, d, a, b), = scan("Foo. " + " ".join(words) + " Bar.")
+        assert found == name and d > 0.9 and b - a > 0.9 * len(words)
+
+
+def test_long_runs_equal_short_ones(monkeypatch):
+    rng = random.Random(9)
+    for _ in range(150):
+        words = [rng.choice("abcdef") for _ in range(rng.randrange(4, 40))]
+        text = " ".join(rng.choice("abcdefgh") if rng.random() < 0.2 else w for w in (words + words[:5]) * 3)
+        scan = compiled(((str(rng.random()), " ".join(words)),), 0.7).scan
+        got = []
+        for wide in (0, 10**6):
+            monkeypatch.setattr(scans, "WIDE", wide)
+            got.append(scan(text))
+        assert got[0] == got[1]
+
+
 def test_query(spark):
     texts = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
     marks = ("Released under the MIT License.", "Licensed under CC BY-NC 4.0.", "Licensed under the Apache License, Version 2.0.", "GNU General Public License, version 3.")
