@@ -65,9 +65,9 @@ def estimate(a: str, b: str):
     return ((1 - differing / HASHES) - chance) / (1 - chance)
 
 
-def signatures(docs: DataFrame, shingle_words: int) -> DataFrame:
-    """(doc_id, n_shingles, digest, signature, bands) of each row."""
-    schema = "doc_id long, n_shingles long, digest binary, signature array<long>, bands array<long>"
+def signatures(docs: DataFrame, shingle_words: int, with_text_digest: bool = False) -> DataFrame:
+    """(doc_id, n_shingles, digest, signature, bands) of each row, and the MD5 of its text where asked for."""
+    schema = "doc_id long, n_shingles long, digest binary, signature array<long>, bands array<long>" + ", text_digest string" * with_text_digest
     band_number = np.arange(BANDS, dtype=np.uint64)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -88,11 +88,11 @@ def signatures(docs: DataFrame, shingle_words: int) -> DataFrame:
                 sigs.append(packed(low))
                 bands.append(keys.view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(digests, pa.binary()), pa.array(sigs, pa.list_(pa.int64())), pa.array(bands, pa.list_(pa.int64()))],
-                ["doc_id", "n_shingles", "digest", "signature", "bands"],
+                [batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(digests, pa.binary()), pa.array(sigs, pa.list_(pa.int64())), pa.array(bands, pa.list_(pa.int64())), *batch.columns[2:]],
+                ["doc_id", "n_shingles", "digest", "signature", "bands", *batch.schema.names[2:]],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(sign, schema)
+    return docs.select("doc_id", "text", *[F.md5("text").alias("text_digest")] * with_text_digest).mapInArrow(sign, schema)
 
 
 def candidate_groups(spark: SparkSession, classes: DataFrame) -> DataFrame:
@@ -233,15 +233,16 @@ def confirmed_components(spark: SparkSession, sets: DataFrame, percent: int) ->
     return connected(spark, more)
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, shingle_words: int = 2, percent: int = 80) -> DataFrame:
+def near_duplicates(spark: SparkSession, docs: DataFrame, shingle_words: int = 2, percent: int = 80, with_text_digest: bool = False) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row of ``docs`` (doc_id, text).
 
     Defined results: a null, empty or blank text has an empty set and links to nothing, so it is kept; a null
     doc_id has no component and is kept; rows that share a doc_id are one document in the links and one row each
     in the result; the smallest doc_id of a component is kept, so ties cannot arise; further columns are not read;
-    an empty table gives an empty table; a text's set is made of the whole text.
+    an empty table gives an empty table; a text's set is made of the whole text. ``with_text_digest`` adds the MD5 of
+    each row's text, which tells the rows of a repeated doc_id apart.
     """
-    signed = written(spark, signatures(docs, shingle_words))
+    signed = written(spark, signatures(docs, shingle_words, with_text_digest))
     real = signed.filter("n_shingles > 0 and doc_id is not null")
     ids = real.groupBy("digest", "n_shingles").agg(F.min("doc_id").alias("node"))
     ids = written(spark, ids)
@@ -262,9 +263,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, shingle_words: int = 2
     labels = confirmed_components(spark, sets, percent)
     drop_written(spark, sets, classes)
     found = ids.join(labels, "node", "left").select("digest", "n_shingles", F.coalesce("label", "node").alias("component_id"))
-    out = signed.select("doc_id", "n_shingles", "digest").join(found, ["digest", "n_shingles"], "left")
+    more = ["text_digest"] * with_text_digest
+    out = signed.select("doc_id", "n_shingles", "digest", *more).join(found, ["digest", "n_shingles"], "left")
     component = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), *more).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -54,3 +54,11 @@ def test_stages_take_nulls_and_empty_tables(spark):
             out = stage(spark, table, DIR)
             assert k == 4 or out.columns == docs.columns
             out.collect()
+
+
+def test_near_dedup_judges_rows_not_ids(spark):
+    a, b = (" ".join(f"{x}{i}" for i in range(50)) for x in "ab")
+    rows = [(1, b), (2, b), (2, a), (None, b), (3, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r) for r in corpus_pipeline.near_dedup(spark, docs, DIR).collect()]
+    assert sorted(got, key=str) == sorted([(1, b), (2, a), (None, b), (3, None)], key=str)
