@@ -1,4 +1,4 @@
-"""The corpus pipeline: documents in, token ids out, each stage one operator of ``provenant.llm``."""
+"""The corpus pipeline: documents in, token ids and what they decode to out, each stage one operator of ``provenant.llm``."""
 
 from __future__ import annotations
 
@@ -51,8 +51,8 @@ def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids (little-endian unsigned 32-bit integers) of each document."""
-    return encode(spark, docs, RANKS, public_tokenizers.PATTERN)
+    """Token ids (little-endian unsigned 32-bit integers) of each document, and the text that they decode to."""
+    return encode(spark, docs, RANKS, public_tokenizers.PATTERN, with_decoded=True).withColumn("decoded", F.col("decoded").cast("string"))
 
 
 STAGES = [("quality_rules", quality), ("near_dedup", near_dedup), ("decontaminate", decontaminate), ("pii", pii), ("byte_bpe", byte_bpe)]

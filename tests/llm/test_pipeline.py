@@ -62,3 +62,11 @@ def test_near_dedup_judges_rows_not_ids(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = [tuple(r) for r in corpus_pipeline.near_dedup(spark, docs, DIR).collect()]
     assert sorted(got, key=str) == sorted([(1, b), (2, a), (None, b), (3, None)], key=str)
+
+
+def test_last_stage_decodes_its_ids(spark):
+    texts = {1: "Don't  stop!\n\u00e9 \u65e5", 2: "", 3: "a b " * 500}
+    out = corpus_pipeline.byte_bpe(spark, spark.createDataFrame(list(texts.items()), "doc_id long, text string"), DIR).collect()
+    enc = library(corpus_pipeline.RANKS, public_tokenizers.PATTERN)
+    assert {r.doc_id: r.decoded for r in out} == texts
+    assert all(enc.decode(np.frombuffer(r.ids, "<u4").tolist()) == r.decoded for r in out)
