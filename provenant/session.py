@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -27,16 +26,29 @@ def local_session(app: str = "provenant", cores: int | str = "*", **conf: str) -
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for cut lineage: ``spark.checkpoint.dir``.
+    """The shared folder for cut lineage: ``spark.checkpoint.dir``, as the cluster's file systems resolve it.
 
-    Where the setting is absent (tests, a laptop) a fresh temporary folder is made and registered, so
-    that a local run needs no configuration. A cluster must set it to a store all executors share.
+    A path without a scheme belongs to the default file system. Where the setting is absent, a local session (tests, a
+    laptop) gets a fresh temporary folder; on a cluster that is an error, as executors share no such folder.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         java = spark.sparkContext._jsc.sc().getCheckpointDir()
         found = java.get() if java.isDefined() else None
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="provenant-")
         spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/") if not os.path.isabs(found) else "file://" + found.rstrip("/")
+    path = spark._jvm.org.apache.hadoop.fs.Path(found)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString().rstrip("/")
+
+
+def run_dir(spark: SparkSession) -> str:
+    """The folder of this application inside :func:`checkpoint_dir`; it is deleted when the driver's JVM ends, also after a failure."""
+    found = f"{checkpoint_dir(spark)}/provenant-{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(found)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return found
