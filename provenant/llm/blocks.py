@@ -21,20 +21,27 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Stands for a null doc_id inside a block: after every other document.
+from provenant.llm.common import written
+from provenant.llm.shingles import text_bytes
+
+#: Stands for a null doc_id where documents are ordered: it counts as the largest id there is. ``Docs.valid`` tells them apart.
 NO_ID = np.iinfo(np.int64).max
 
 
 @dataclass
 class Docs:
-    """The documents of a block: ids, and their UTF-8 texts end to end."""
+    """The documents of a block: ids, their UTF-8 texts end to end, and which ids are not null."""
 
     ids: np.ndarray
     data: np.ndarray
     offsets: np.ndarray
+    valid: np.ndarray
+
+    def doc_ids(self) -> list[int | None]:
+        return [i if v else None for i, v in zip(self.ids.tolist(), self.valid.tolist(), strict=True)]
 
     def texts(self) -> Iterator[bytes]:
         raw = self.data.tobytes()
@@ -64,17 +71,41 @@ def unsqueeze(blob: bytes, *types: str) -> list:
 def blocks_of(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[Docs]:
     """Arrow batches of (doc_id, text) cut into blocks of about ``block_bytes``, one document at least."""
     for batch in batches:
-        ids = batch.column(0).cast(pa.int64()).fill_null(NO_ID).to_numpy(zero_copy_only=False)
-        text = batch.column(1).cast(pa.large_binary()).fill_null(b"")
-        offsets = np.frombuffer(text.buffers()[1], np.int64)[text.offset : text.offset + len(text) + 1]
-        data = np.frombuffer(text.buffers()[2], np.uint8) if text.buffers()[2] else np.zeros(0, np.uint8)
+        ids = batch.column(0).cast(pa.int64())
+        valid = ids.is_valid().to_numpy(zero_copy_only=False)
+        ids = ids.fill_null(NO_ID).to_numpy(zero_copy_only=False)
+        data, offsets = text_bytes(batch.column(1))
         start = 0
         while start < len(ids):
             end = max(start + 1, int(np.searchsorted(offsets, offsets[start] + block_bytes, "right")) - 1)
-            yield Docs(ids[start:end], data[offsets[start] : offsets[end]], offsets[start : end + 1] - offsets[start])
+            yield Docs(ids[start:end], data[offsets[start] : offsets[end]], offsets[start : end + 1] - offsets[start], valid[start:end])
             start = end
 
 
+def packed_block(block: Docs) -> bytes:
+    return squeeze(block.ids, block.offsets, block.data, block.valid.astype("u1"))
+
+
+def unpacked_block(payload: bytes) -> Docs:
+    ids, offsets, data, valid = unsqueeze(payload, "<i8", "<i8", "u1", "u1")
+    return Docs(ids, data, offsets, valid.astype(bool))
+
+
+def written_blocks(spark: SparkSession, docs: DataFrame, block_bytes: int) -> DataFrame:
+    """Table (block, raw_bytes, payload) of the rows of ``docs`` (doc_id, text)."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids = block_ids()
+        for block in blocks_of(batches, block_bytes):
+            yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (next(ids), len(block.data), packed_block(block))], ["block", "raw_bytes", "payload"])
+
+    return written(spark, docs.select("doc_id", "text").mapInArrow(pack, "block long, raw_bytes long, payload binary"))
+
+
+#: What a block asks a bucket.
+REQUEST = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("request", pa.binary())])
+
+
 def block_ids() -> Iterator[int]:
     """Ids that no other task of the same scan gives, the same in each attempt of a task."""
     first = TaskContext.get().partitionId() << 32
@@ -113,3 +144,13 @@ def exchange(requests: DataFrame, n_buckets: int, answer) -> DataFrame:
 def raw_bytes(blocks: DataFrame) -> int:
     """Text bytes of a table of blocks (one number, from a column of their table)."""
     return blocks.agg(F.coalesce(F.sum("raw_bytes"), F.lit(0))).first()[0]
+
+
+def planes(values: np.ndarray, width: int = 4) -> list[np.ndarray]:
+    """Unsigned numbers as planes of bytes: where most are small, the upper planes compress to little."""
+    return list(values.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T)
+
+
+def unplaned(parts: list[np.ndarray]) -> np.ndarray:
+    width = len(parts)
+    return np.stack(parts, 1).reshape(-1).view(f"<u{width}").astype(np.int64 if width < 8 else np.uint64)

@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from provenant.llm.blocks import NO_ID, block_ids, blocks_of, bucket_count, by_bucket, exchange, raw_bytes, squeeze, unsqueeze
+from provenant.llm.blocks import REQUEST, block_ids, blocks_of, bucket_count, by_bucket, exchange, planes, raw_bytes, squeeze, unplaned, unsqueeze
 from provenant.llm.common import documents, segments, written
 
 #: Larger blocks hold fewer distinct words in all: less to shuffle.
@@ -102,15 +102,6 @@ class Numbers(dict):
         return n
 
 
-def planes(codes: np.ndarray) -> list[np.ndarray]:
-    """Numbers as four planes of bytes: frequent words have small numbers, so the upper planes compress to little."""
-    return list(codes.astype("<u4").view(np.uint8).reshape(-1, 4).T)
-
-
-def unplaned(parts: list[np.ndarray]) -> np.ndarray:
-    return np.stack(parts, 1).reshape(-1).view("<u4").astype(np.int64)
-
-
 def escaped(codes: np.ndarray) -> list[np.ndarray]:
     """A byte for each position, and planes of what does not fit in it: frequent words take a byte and no more."""
     return [np.minimum(codes, 255).astype(np.uint8), *planes(codes[codes >= 255] - 255)]
@@ -155,7 +146,7 @@ def packed_blocks(spark: SparkSession, docs: DataFrame, pattern: str) -> DataFra
             listed = list(numbers)
             encoded = [listed[i].encode() for i in order]
             words = squeeze(*packed_words(encoded), level=LEVEL)
-            payload = squeeze(block.ids, np.array(counts, "<u4"), np.array([repeated], "<i8"), *escaped(renumber[codes]), level=LEVEL)
+            payload = squeeze(block.ids, block.valid.astype("u1"), np.array(counts, "<u4"), np.array([repeated], "<i8"), *escaped(renumber[codes]), level=LEVEL)
             yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (next(ids), len(block.data), payload, words)], ["block", "raw_bytes", "payload", "words"])
 
     return written(spark, docs.select("doc_id", "text").mapInArrow(pack, "block long, raw_bytes long, payload binary, words binary"))
@@ -188,7 +179,7 @@ def encode(spark: SparkSession, docs: DataFrame, rank_file: str, pattern: str, w
                         numbers = order[starts[k] : starts[k + 1]]
                         own = packed_words([words[i] for i in numbers])
                         rows.append((k, block, squeeze(np.diff(numbers, prepend=0).astype("<u4"), *own, level=LEVEL)))
-                yield pa.RecordBatch.from_pylist([dict(zip(("bucket", "block", "request"), r, strict=True)) for r in rows], schema=pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("request", pa.binary())]))
+                yield pa.RecordBatch.from_pylist([dict(zip(("bucket", "block", "request"), r, strict=True)) for r in rows], schema=REQUEST)
 
     def answer(requests: list[bytes]) -> list[bytes]:
         encode_word, known, replies = library(rank_file, pattern)._encode_single_piece, {}, []
@@ -217,18 +208,18 @@ def encode(spark: SparkSession, docs: DataFrame, rank_file: str, pattern: str, w
         lengths, begin = np.zeros(len(numbers), np.int64), np.zeros(len(numbers), np.int64)
         lengths[numbers], begin[numbers] = sent, np.cumsum(sent) - sent
         for payload in left.column("payload").to_pylist():
-            doc_ids, counts, repeated, *codes = unsqueeze(payload, "<i8", "<u4", "<i8", *["u1"] * 5)
+            doc_ids, valid, counts, repeated, *codes = unsqueeze(payload, "<i8", "u1", "<u4", "<i8", *["u1"] * 5)
             codes, at = unescaped(*codes) - 1, 0
             once = codes < 0
             codes[once] = repeated[0] + np.arange(int(once.sum()))
-            for doc, count in zip(doc_ids.tolist(), counts.tolist(), strict=True):
+            for doc, known, count in zip(doc_ids.tolist(), valid.tolist(), counts.tolist(), strict=True):
                 own = codes[at : at + count]
                 at += count
                 n = lengths[own]
                 total = int(n.sum())
                 within = np.arange(total) - np.repeat(np.cumsum(n) - n, n)
                 ids = table[np.repeat(begin[own], n) + within].tobytes()
-                out_ids.append(None if doc == NO_ID else doc)
+                out_ids.append(doc if known else None)
                 out_n.append(total)
                 out.append(ids)
                 if with_decoded:

@@ -9,7 +9,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from provenant.session import checkpoint_dir
+from provenant.session import run_dir
 
 #: A text is handled in pieces of about this many characters where a whole copy of its tokens would not fit.
 SEGMENT_CHARS = 1 << 20
@@ -23,9 +23,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def written(spark: SparkSession, df: DataFrame) -> DataFrame:
     """``df`` written as a table in the shared checkpoint folder and read again: its lineage ends there.
 
-    A lost executor then costs a re-read, not a recomputation, and each consumer sees the same rows.
+    A lost executor then costs a re-read, not a recomputation, and each consumer sees the same rows. What the caller does
+    not drop itself goes with the application's folder.
     """
-    path = f"{checkpoint_dir(spark)}/provenant-{uuid.uuid4().hex}"
+    path = f"{run_dir(spark)}/{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._provenant_path = path

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from provenant.llm.common import documents, drop_written, written
 from provenant.llm.components import connected
-from provenant.llm.shingles import common, mixed, shingle_set
+from provenant.llm.shingles import mixed, shingle_sets
 
 BANDS, ROWS, BITS = 32, 4, 4
 HASHES = BANDS * ROWS
@@ -73,8 +73,7 @@ def signatures(docs: DataFrame, shingle_words: int, with_text_digest: bool = Fal
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, digests, sigs, bands = [], [], [], []
-            for text in batch.column(1):
-                s = shingle_set(text.as_py() or "", shingle_words)
+            for s in shingle_sets(batch.column(1), shingle_words):
                 n.append(len(s))
                 digests.append(xxhash.xxh3_128_digest(s.tobytes()))
                 if not len(s):
@@ -255,7 +254,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, shingle_words: int = 2
 
     def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingle_set(t.as_py() or "", shingle_words).tobytes() for t in batch.column(2)]
+            sets = [s.tobytes() for s in shingle_sets(batch.column(2), shingle_words)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sets, pa.binary())], ["node", "label", "shingles"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(groups, "node").select("node", "label", "text")

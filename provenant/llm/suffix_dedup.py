@@ -25,25 +25,15 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
-from provenant.llm.blocks import NO_ID, Docs, block_ids, blocks_of, bucket_count, by_bucket, exchange, raw_bytes, squeeze, unsqueeze
+from provenant.llm.blocks import NO_ID, REQUEST, Docs, bucket_count, by_bucket, exchange, raw_bytes, squeeze, unpacked_block, unsqueeze, written_blocks
 from provenant.llm.common import documents, drop_written, written
-from provenant.llm.shingles import mixed
+from provenant.llm.shingles import CHUNK, mixed, powers
 
 LENGTH, ANCHOR = 50, 20
 BLOCK_BYTES = 4 << 20
 SHARDS = 4
 _bytes = np.random.default_rng(50).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _base = 0x9E3779B97F4A7C15
-#: Bytes hashed at a time: their arrays stay in a core's cache.
-CHUNK = 1 << 16
-
-
-def powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
-
-
 _up, _down = powers(_base, CHUNK + 1), powers(pow(_base, -1, 1 << 64), CHUNK + 1)
 
 
@@ -90,15 +80,6 @@ def stretches(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return np.concatenate(firsts), np.concatenate(ends), np.concatenate(hashes)
 
 
-def packed_block(block: Docs) -> bytes:
-    return squeeze(block.ids, block.offsets, block.data)
-
-
-def unpacked_block(payload: bytes) -> Docs:
-    ids, offsets, data = unsqueeze(payload, "<i8", "<i8", "u1")
-    return Docs(ids, data, offsets)
-
-
 # --- Burrows-Wheeler transforms -------------------------------------------------------------------------------
 
 
@@ -292,7 +273,6 @@ def bounds(sizes: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, list[int]
     return values, starts.tolist(), least.tolist(), most.tolist()
 
 
-REQUEST = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("request", pa.binary())])
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
@@ -304,12 +284,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, with_text: bool = False
     gives an empty table; a long text is handled whole, in a block of its own if need be.
     """
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = block_ids()
-        for block in blocks_of(batches, BLOCK_BYTES):
-            yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (next(ids), len(block.data), packed_block(block))], ["block", "raw_bytes", "payload"])
-
-    blocks = written(spark, docs.select("doc_id", "text").mapInArrow(pack, "block long, raw_bytes long, payload binary"))
+    blocks = written_blocks(spark, docs, BLOCK_BYTES)
     n_buckets = bucket_count(raw_bytes(blocks))
 
     def ask_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -366,12 +341,12 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, with_text: bool = False
                     change[first + window] += 1
                     change[first + window + LENGTH] -= 1
             gone = np.cumsum(change[:-1]) > 0
-            for i, doc in enumerate(block.ids.tolist()):
+            for i, doc in enumerate(block.doc_ids()):
                 a, b = block.offsets[i], block.offsets[i + 1]
                 lost = gone[a:b]
                 kept = block.data[a:b][~lost].tobytes()
                 spans = int(lost[:1].sum() + (lost[1:] & ~lost[:-1]).sum())
-                values = (None if doc == NO_ID else doc, int(b - a), int(lost.sum()), spans, hashlib.sha256(kept).hexdigest(), kept)
+                values = (doc, int(b - a), int(lost.sum()), spans, hashlib.sha256(kept).hexdigest(), kept)
                 for c, v in zip(out, values, strict=False):
                     out[c].append(v)
         kinds = (pa.int64(),) * 4 + (pa.string(), pa.binary())
