@@ -54,3 +54,9 @@ def segments(text: str, cut: re.Pattern[str], size: int = SEGMENT_CHARS) -> Iter
 
 def text_or_empty(name: str = "text"):
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
+
+
+def free_name(df: DataFrame, stem: str = "__provenant") -> str:
+    """A column name that ``df`` does not use, in any case."""
+    taken = {c.lower() for c in df.columns}
+    return next(name for name in (f"{stem}{n}" for n in range(len(taken) + 1)) if name not in taken)

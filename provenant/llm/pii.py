@@ -1,31 +1,34 @@
 """Personal data: fixed patterns, and a linear-chain CRF over word shapes that adds what they miss.
 
 The base spans (email, ip, card, phone) come from fixed patterns with checks. The conditional random field is
-trained here, by gradient descent on the exact likelihood, from the small labelled table of :func:`labelled`
-(a bounded set of generated sentences; ``n_sentences`` is its size), and finds forms the patterns do not know:
-phone numbers without a country code, addresses spelled with "at" and "dot". Its spans are added; base spans stay.
+trained here, by gradient descent on the exact likelihood, from the small labelled table in ``pii_labels.txt``, and
+finds forms the patterns do not know: phone numbers without a country code, addresses spelled with "at" and "dot".
+Its spans are added where they hold what their kind needs (:func:`plausible`); base spans stay.
 
 In the model only a token with a digit or ``@``, or one of the five words of "name at host dot end", can have a
 label other than O. A text thus falls apart at all other tokens into short chains, which are decoded exactly by
-Viterbi, many at a time in numpy arrays.
+Viterbi, many at a time in numpy arrays, each chain whole. Every step is linear in the length of a text.
 """
 
 from __future__ import annotations
 
-import random
 import re
+from bisect import bisect_left
+from collections.abc import Iterator
 from functools import lru_cache
+from importlib import resources
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from provenant.llm.common import documents
+from provenant.llm.common import documents, free_name
 
 KINDS = ("email", "ip", "card", "phone")
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+#: A match starts where a run of digits does; elsewhere in a run it would fail in the same way.
+IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 NOT_DIGIT = re.compile(r"[^0-9]")
@@ -57,11 +60,17 @@ def emails(text: str) -> list[tuple[int, int]]:
     return found
 
 
+def address_parts(found: str) -> bool:
+    """Whether four runs of digits are at most 255 each, with any number of zeros before."""
+    parts = [p.lstrip("0") for p in found.split(".")]
+    return len(parts) == 4 and all(len(p) <= 3 and int(p or "0") <= 255 for p in parts)
+
+
 def base_spans(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of the fixed patterns, by start and then kind."""
     out = [(a, b, 0) for a, b in emails(text)] if "@" in text else []
     for m in IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+        if address_parts(m[0]):
             out.append((m.start(), m.end(), 1))
     for m in CARD.finditer(text):
         digits = NOT_DIGIT.sub("", m[0])
@@ -79,49 +88,17 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 LABELS = ("O", "B-email", "I-email", "B-ip", "I-ip", "B-card", "I-card", "B-phone", "I-phone")
 CUES = frozenset(["at", "dot", "(at)", "[at]", "(dot)", "[dot]", "ext", "ext."])
-WORDS = "the a and call mail me write to under or from is was his her number phone order page year in of on version chapter item total price weeks euros table see figure room looked met".split()
-NAMES = "anna ben carla dimitri elena farid grace hugo ines jonas kim lena marco nina omar paula".split()
-HOSTS = "mail post example company school".split()
-
-
-def labelled(n_sentences: int = 800, seed: int = 7) -> list[list[tuple[str, str]]]:
-    """Sentences of (token, label), made by rule: each kind of personal data in several forms, and near misses."""
-    rng = random.Random(seed)
-    d = lambda n: "".join(rng.choices("0123456789", k=n))
-
-    def mark(kind: str, text: str) -> list[tuple[str, str]]:
-        return [(w, f"{'I' if i else 'B'}-{kind}") for i, w in enumerate(text.split())]
-
-    def entity() -> list[tuple[str, str]]:
-        name, host, end = rng.choice(NAMES), rng.choice(HOSTS), rng.choice(["com", "org", "net"])
-        at, dot = rng.choice([("at", "dot"), ("(at)", "(dot)"), ("[at]", "[dot]")])
-        return rng.choice([
-            lambda: mark("email", f"{name}{d(rng.choice([0, 1, 2]))}@{host}.{end}"),
-            lambda: mark("email", f"{name}{d(2)} {at} {host}{d(1)} {dot} {end}"),
-            lambda: mark("ip", ".".join(str(rng.randrange(256)) for _ in range(4))),
-            lambda: mark("card", " ".join(d(4) for _ in range(4))),
-            lambda: mark("card", d(16)),
-            lambda: mark("phone", f"({d(3)}) {d(3)}-{d(4)}"),
-            lambda: mark("phone", f"{d(3)}-{d(3)}-{d(4)}"),
-            lambda: mark("phone", f"+{d(2)} {d(3)} {d(7)}"),
-            lambda: mark("phone", f"+1 ({d(3)}) {d(3)}-{d(4)}"),
-        ])()
-
-    def other() -> list[tuple[str, str]]:
-        text = rng.choice([
-            d(1), d(2), d(3), d(4), d(5), d(6), f"{d(1)}.{d(1)}", f"{d(1)}.{d(1)}.{d(1)}", f"{d(2)}%", f"{d(2)}:{d(2)}", f"{d(3)},{d(3)}", f"{d(4)}-{d(2)}-{d(2)}",
-            f"({d(4)})", f"v{d(1)}.{d(2)}", f"{d(2)}-{d(2)}", f"{d(3)} {d(3)}", f"{d(4)} {d(2)} {d(1)}", "at", "at dot", f"at {d(2)}", f"{d(2)} at {d(1)}", "ext", f"#{d(5)}",
-            f"@{rng.choice(NAMES)}", "".join(rng.choices("0123456789abcdef", k=rng.choice([8, 24, 40]))), f"{d(9)}", f"{d(20)}",
-        ])
-        return [(w, "O") for w in text.split()]
+MARK = re.compile(r"\{(\w+) ([^}]*)\}|(\S+)")
+
 
+def labelled() -> list[list[tuple[str, str]]]:
+    """The stored sentences as lists of (token, label): each kind of personal data in several forms, and near misses."""
     out = []
-    for _ in range(n_sentences):
-        sentence: list[tuple[str, str]] = []
-        for _ in range(rng.randrange(1, 4)):
-            sentence += [(w, "O") for w in rng.choices(WORDS, k=rng.randrange(1, 5))]
-            sentence += entity() if rng.random() < 0.5 else other()
-        out.append(sentence + [(w, "O") for w in rng.choices(WORDS, k=rng.randrange(3))])
+    for line in resources.files("provenant.llm").joinpath("pii_labels.txt").read_text("utf-8").splitlines():
+        sentence = []
+        for kind, inside, word in MARK.findall(line):
+            sentence += [(w, f"{'I' if i else 'B'}-{kind}") for i, w in enumerate(inside.split())] if kind else [(word, "O")]
+        out.append(sentence)
     return out
 
 
@@ -157,7 +134,7 @@ def free_tokens(text: str) -> list[tuple[int, int]]:
 
 def shape(word: str) -> str:
     """Letters as a, capitals as A, digits as 9; runs of a letter class are cut to one, runs of digits to their length."""
-    word = re.sub(r"[^\W\d_]", lambda m: "A" if m[0].isupper() else "a", word[:60])
+    word = re.sub(r"[^\W\d_]", lambda m: "A" if m[0].isupper() else "a", word)
     word = re.sub(r"a+", "a", re.sub(r"A+", "A", word))
     return re.sub(r"[0-9]+", lambda m: f"9{min(len(m[0]), 20)}", word)
 
@@ -168,14 +145,20 @@ def crc(feature: str) -> int:
     return zlib.crc32(feature.encode()) % N_FEATURES
 
 
-@lru_cache(maxsize=200_000)
+def remembered(features_of):
+    """A cache for words of usual length: long ones are rare and would fill the memory."""
+    cached = lru_cache(maxsize=200_000)(features_of)
+    return lambda word, *side: (cached if len(word) <= 64 else features_of)(word, *side)
+
+
+@remembered
 def own_features(word: str) -> tuple[int, ...]:
     core = word.strip(".,;:!?\"'")
     low, digits = core.lower(), sum(c.isdigit() for c in core)
     return tuple(map(crc, (f"s={shape(core)}", f"c={low if low in CUES else ''}", f"n={min(digits, 20)}", f"dots={core.count('.')}", f"p={core[:1] in '(+['}", f"at={'@' in core}", f"d={core.isdigit()}")))
 
 
-@lru_cache(maxsize=200_000)
+@remembered
 def near_features(word: str, side: str) -> tuple[int, ...]:
     core = word.strip(".,;:!?\"'")
     low = core.lower()
@@ -231,10 +214,10 @@ def padded(rows: list[list[tuple[int, ...]]]) -> tuple[np.ndarray, np.ndarray]:
 
 
 @lru_cache(maxsize=2)
-def trained(n_sentences: int = 800, seed: int = 7, steps: int = 60, rate: float = 0.3, decay: float = 1e-5) -> Crf:
+def trained(steps: int = 60, rate: float = 0.3, decay: float = 1e-5) -> Crf:
     """Gradient ascent (Adam) on the exact log-likelihood of the labelled table; the same on every machine."""
     rows, gold = [], []
-    for sentence in labelled(n_sentences, seed):
+    for sentence in labelled():
         text, starts = " ".join(w for w, _ in sentence), {}
         for i, (w, _) in enumerate(sentence):
             starts[sum(len(x) + 1 for x, _ in sentence[:i])] = i
@@ -291,26 +274,55 @@ def trained(n_sentences: int = 800, seed: int = 7, steps: int = 60, rate: float
 
 # --- decoding -------------------------------------------------------------------------------------------------
 
-#: Longer chains are cut here; personal data are a few tokens.
-MAX_CHAIN = 64
+#: Tokens of chains that are decoded together; a longer chain is decoded alone.
+BATCH = 1 << 15
+
+
+def word_before(text: str, at: int) -> str:
+    """The last word before a place."""
+    size = 64
+    while True:
+        part = text[max(0, at - size) : at]
+        words = part.split()
+        if size >= at or len(words) > 1 or (words and part[0].isspace()):
+            return words[-1] if words else ""
+        size *= 4
+
+
+def word_after(text: str, at: int) -> str:
+    """The first word from a place on."""
+    size = 64
+    while True:
+        part = text[at : at + size]
+        words = part.split()
+        if at + size >= len(text) or len(words) > 1 or (words and part[-1].isspace()):
+            return words[0] if words else ""
+        size *= 4
 
 
 def free_chains(text: str) -> list[tuple[list[str], list[tuple[int, int]]]]:
     """Chains of a text as (words with one neighbour on each side, spans of the inner words)."""
-    out, run = [], []
+    chains, run = [], []
     for a, b in free_tokens(text):
-        if run and (len(run) >= MAX_CHAIN or text[run[-1][1] : a].strip() or "\n" in text[run[-1][1] : a]):
-            out.append(run)
+        if run and (between := text[run[-1][1] : a]) and (not between.isspace() or "\n" in between):
+            chains.append(run)
             run = []
         run.append((a, b))
     if run:
-        out.append(run)
-    chains_out = []
-    for run in out:
-        a, b = run[0][0], run[-1][1]
-        before, after = text[max(0, a - 60) : a].split(), text[b : b + 60].split()
-        chains_out.append(([before[-1] if before else "", *(text[x:y] for x, y in run), after[0] if after else ""], run))
-    return chains_out
+        chains.append(run)
+    return [([word_before(text, run[0][0]), *(text[x:y] for x, y in run), word_after(text, run[-1][1])], run) for run in chains]
+
+
+def batches_of(jobs: list) -> Iterator[list]:
+    """Jobs, by length of their chain, in parts of at most ``BATCH`` tokens when padded, one job at least."""
+    part: list = []
+    for job in sorted(jobs, key=lambda j: len(j[1])):
+        if part and (len(part) + 1) * len(job[1]) > BATCH:
+            yield part
+            part = []
+        part.append(job)
+    if part:
+        yield part
 
 
 def crf_spans(model: Crf, texts: list[str]) -> list[list[tuple[int, int, str]]]:
@@ -320,9 +332,7 @@ def crf_spans(model: Crf, texts: list[str]) -> list[list[tuple[int, int, str]]]:
         for words, spans in free_chains(text):
             jobs.append((i, spans, [features(words, j) for j in range(1, len(words) - 1)]))
     out: list[list[tuple[int, int, str]]] = [[] for _ in texts]
-    jobs.sort(key=lambda j: len(j[1]))  # chains of like length together
-    for at in range(0, len(jobs), 512):
-        part = jobs[at : at + 512]
+    for part in batches_of(jobs):
         labels = model.viterbi(*padded([f for _, _, f in part]))
         for (i, spans, _), row in zip(part, labels, strict=True):
             a = None
@@ -345,16 +355,28 @@ def plausible(kind: str, found: str) -> bool:
     if kind == "phone":
         return 7 <= n <= 15 and not re.search(r"[A-Za-z@]", found)
     if kind == "email":
-        return "@" in found or bool(re.search(r"(?i)\b(at)\b.*\b(dot)\b", found))
+        words = re.findall(r"\w+", found.lower())
+        return "@" in found or ("at" in words and "dot" in words[words.index("at") :])
     if kind == "card":
         return 12 <= n <= 19 and luhn(NOT_DIGIT.sub("", found))
-    return n >= 4 and found.count(".") == 3 and all(p.isdigit() and int(p) <= 255 for p in found.split("."))
+    return bool(re.fullmatch(r"[0-9]+(\.[0-9]+){3}", found)) and address_parts(found)
 
 
 def all_spans(base: list[tuple[int, int, str]], extra: list[tuple[int, int, str]], text: str) -> list[tuple[int, int, str]]:
     """Base spans, and the model's that overlap none of them."""
-    covered = sorted((a, b) for a, b, _ in base)
-    add = [s for s in extra if plausible(s[2], text[s[0] : s[1]]) and not any(a < s[1] and s[0] < b for a, b in covered)]
+    starts, ends = [], []  # the base spans' union
+    for a, b, _ in sorted(base):
+        if ends and a <= ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+
+    def free_place(a: int, b: int) -> bool:
+        i = bisect_left(starts, b) - 1  # the last one that starts before the span's end
+        return i < 0 or ends[i] <= a
+
+    add = [s for s in extra if free_place(s[0], s[1]) and plausible(s[2], text[s[0] : s[1]])]
     return sorted(base + add, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
@@ -376,10 +398,12 @@ def find_pii(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with base_spans, spans (strings) and masked_text.
 
     Defined results: a null text is an empty one, without spans; repeated rows are searched each; columns called
-    like a result are replaced; an empty table gives an empty table; a text is searched whole, however long.
+    like a result are replaced, all others are kept; an empty table gives an empty table; a text is searched whole,
+    however long, and its chains are decoded whole; ties of the model go to the first label.
     """
 
     model = trained()  # a bounded table, a fixed number of steps: some 300 KB, sent with the function
+    column = free_name(docs)
 
     @F.pandas_udf("base_spans string, spans string, masked_text string")
     def search(texts: pd.Series) -> pd.DataFrame:
@@ -394,11 +418,12 @@ def find_pii(docs: DataFrame, text: str = "text") -> DataFrame:
         return pd.DataFrame(rows, columns=["base_spans", "spans", "masked_text"])
 
     out = docs.drop("base_spans", "spans", "masked_text")
-    out = out.withColumn("__pii", search(F.coalesce(F.col(text), F.lit(""))))
-    return out.select(*[c for c in out.columns if c != "__pii"], "__pii.*")
+    out = out.withColumn(column, search(F.coalesce(F.col(text), F.lit(""))))
+    return out.select(*[c for c in out.columns if c != column], f"{column}.*")
 
 
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_pii(documents(spark, sf_dir))
     counts = [F.regexp_count("base_spans", F.lit(f"{k}:")).cast("long").alias(f"n_{k}") for k in KINDS]
-    return found.select("doc_id", *counts, F.sha2("base_spans", 256).alias("base_sha256"), "spans")
+    n_spans = F.regexp_count("spans", F.lit(":[0-9]+:")).cast("long").alias("n_spans")
+    return found.select("doc_id", *counts, F.sha2("base_spans", 256).alias("base_sha256"), "spans", n_spans)
