@@ -5,7 +5,8 @@
 2. Each block sends its distinct words to buckets by hash; a bucket encodes every word once, for all blocks.
 3. The ids come back to the block and are joined to the positions, in order, per document.
 
-Decoding joins ids to the token-byte table. No text is shuffled, only word numbers and distinct words.
+Decoding joins each id, by its position, to the token-byte table, a broadcast one: it is as large as the vocabulary and
+no larger (``MOST_RANK_BYTES``). No text is shuffled, only word numbers and distinct words.
 
 The pre-token pattern is that of the rank file. Newer Unicode versions call some code points letters or digits
 that the tokenizer library treats as other characters; for texts that hold such code points the library's own
@@ -17,7 +18,7 @@ from __future__ import annotations
 import base64
 import unicodedata
 import zlib
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pandas as pd
@@ -34,17 +35,57 @@ BLOCK_BYTES = 16 << 20
 LEVEL = 9
 
 
-@lru_cache(maxsize=4)
-def ranks_of(rank_file: str) -> dict[bytes, int]:
-    with open(rank_file, "rb") as lines:
-        return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+#: A larger rank file is refused: its tokens are broadcast.
+MOST_RANK_BYTES = 64 << 20
+
+
+class Vocabulary:
+    """Tokens and ranks of a rank file, read on the driver; workers build what they need of it once."""
+
+    def __init__(self, rank_file: str):
+        with open(rank_file, "rb") as file:
+            raw = file.read(MOST_RANK_BYTES + 1)
+        if len(raw) > MOST_RANK_BYTES:
+            raise ValueError(f"{rank_file} is larger than {MOST_RANK_BYTES} bytes")
+        self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, raw.splitlines())}
+
+    @cached_property
+    def pieces(self):
+        """The library's encoding of a text that is one pre-token."""
+        import tiktoken
+
+        return tiktoken.Encoding("pieces", pat_str="(?s:.+)", mergeable_ranks=self.ranks, special_tokens={})
+
+    def encode(self, word: bytes) -> list[int]:
+        return self.pieces.encode_ordinary(word.decode())
+
+    @cached_property
+    def table(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The token-byte table: ids in order, where each one's bytes begin, and the bytes end to end."""
+        order = sorted((rank, token) for token, rank in self.ranks.items())
+        sizes = np.fromiter((len(t) for _, t in order), np.int64, len(order))
+        return np.fromiter((r for r, _ in order), np.int64, len(order)), np.append(0, np.cumsum(sizes)), np.frombuffer(b"".join(t for _, t in order), np.uint8)
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        """The bytes of each id by position: a join of (position, id) with the token-byte table; an unknown id is an error."""
+        known, begin, data = self.table
+        at = np.searchsorted(known, ids)
+        if len(ids) and (at.max() >= len(known) or (known[at] != ids).any()):
+            raise ValueError("an id that is not in the vocabulary")
+        out, part = [], 1 << 18
+        for k in range(0, len(at), part):
+            row = at[k : k + part]
+            size = begin[row + 1] - begin[row]
+            out.append(data[np.arange(int(size.sum())) + np.repeat(begin[row] - np.cumsum(size) + size, size)].tobytes())
+        return b"".join(out)
 
 
 @lru_cache(maxsize=4)
 def library(rank_file: str, pattern: str):
+    """The tokenizer library's own encoding, for comparison."""
     import tiktoken
 
-    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks_of(rank_file), special_tokens={})
+    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=Vocabulary(rank_file).ranks, special_tokens={})
 
 
 class Splitter:
@@ -159,12 +200,14 @@ def bucket_numbers(words: list[bytes], n_buckets: int) -> np.ndarray:
 def encode(spark: SparkSession, docs: DataFrame, rank_file: str, pattern: str, with_decoded: bool = False) -> DataFrame:
     """(doc_id, n_tokens, ids) for each row of ``docs`` (doc_id, text): ids as little-endian unsigned 32-bit integers.
 
-    ``with_decoded`` adds the bytes that the ids decode to, as :func:`decode` would, without another Python step.
+    ``with_decoded`` adds the bytes that the ids decode to, as :func:`decode` would, without another Python step. The
+    library's pre-token pattern decides what a word is; a word is encoded as a text of its own.
 
     Defined results: a null or empty text has no ids; a null doc_id stays null; repeated rows come back each;
     further columns of ``docs`` are not read; an empty table gives an empty table; a long text is cut into
     pre-tokens in segments but encoded whole.
     """
+    shared = spark.sparkContext.broadcast(Vocabulary(rank_file))
     blocks = packed_blocks(spark, docs, pattern)
     n_buckets = bucket_count(raw_bytes(blocks))
 
@@ -182,7 +225,7 @@ def encode(spark: SparkSession, docs: DataFrame, rank_file: str, pattern: str, w
                 yield pa.RecordBatch.from_pylist([dict(zip(("bucket", "block", "request"), r, strict=True)) for r in rows], schema=REQUEST)
 
     def answer(requests: list[bytes]) -> list[bytes]:
-        encode_word, known, replies = library(rank_file, pattern)._encode_single_piece, {}, []
+        encode_word, known, replies = shared.value.encode, {}, []
         for request in requests:
             found = []
             steps, *own = unsqueeze(request, "<u4", "<u4", "b")
@@ -218,12 +261,12 @@ def encode(spark: SparkSession, docs: DataFrame, rank_file: str, pattern: str, w
                 n = lengths[own]
                 total = int(n.sum())
                 within = np.arange(total) - np.repeat(np.cumsum(n) - n, n)
-                ids = table[np.repeat(begin[own], n) + within].tobytes()
+                ids = table[np.repeat(begin[own], n) + within]
                 out_ids.append(doc if known else None)
                 out_n.append(total)
-                out.append(ids)
+                out.append(ids.tobytes())
                 if with_decoded:
-                    plain.append(decoded_bytes(ids, rank_file))
+                    plain.append(shared.value.decode(ids))
         found = {"doc_id": pa.array(out_ids, pa.int64()), "n_tokens": pa.array(out_n, pa.int64()), "ids": pa.array(out, pa.binary())}
         return pa.table(found | ({"decoded": pa.array(plain, pa.binary())} if with_decoded else {}))
 
@@ -234,25 +277,17 @@ def encode(spark: SparkSession, docs: DataFrame, rank_file: str, pattern: str, w
     return positions.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(assemble, schema)
 
 
-def decoded_bytes(ids: bytes, rank_file: str) -> bytes:
-    return b"".join(map(token_bytes(rank_file).__getitem__, np.frombuffer(ids, "<u4").tolist()))
-
-
 def decode(encoded: DataFrame, rank_file: str) -> DataFrame:
-    """``encoded`` with a column ``decoded`` (binary): the ids joined to the token-byte table."""
+    """``encoded`` with a column ``decoded`` (binary): the ids joined to the token-byte table, a null for null ids."""
+    shared = encoded.sparkSession.sparkContext.broadcast(Vocabulary(rank_file))
 
     @F.pandas_udf("binary")
     def bytes_of(ids: pd.Series) -> pd.Series:
-        return pd.Series([decoded_bytes(x, rank_file) for x in ids], dtype=object)
+        return pd.Series([None if x is None else shared.value.decode(np.frombuffer(x, "<u4")) for x in ids], dtype=object)
 
     return encoded.withColumn("decoded", bytes_of("ids"))
 
 
-@lru_cache(maxsize=4)
-def token_bytes(rank_file: str) -> dict[int, bytes]:
-    return {rank: token for token, rank in ranks_of(rank_file).items()}
-
-
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 

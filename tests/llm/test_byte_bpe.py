@@ -6,7 +6,7 @@ import public_tokenizers
 import pytest
 
 from provenant.llm import byte_bpe
-from provenant.llm.byte_bpe import decode, encode, library, splitter
+from provenant.llm.byte_bpe import Vocabulary, decode, encode, library, splitter
 
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
 
@@ -51,3 +51,18 @@ def test_query_on_small_table(spark):
         assert out[r.doc_id].n_tokens == len(ids)
         assert out[r.doc_id].ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
         assert out[r.doc_id].decoded_sha256 == hashlib.sha256(r.text.encode()).hexdigest()
+
+
+def test_ids_and_nulls_apart(spark):
+    rows = [(2**63 - 1, "last"), (None, "none"), (0, None)]
+    got = {r.doc_id: bytes(r.decoded) for r in encode(spark, spark.createDataFrame(rows, "doc_id long, text string"), RANKS, PATTERN, with_decoded=True).collect()}
+    assert got == {2**63 - 1: b"last", None: b"none", 0: b""}
+
+
+def test_decoding_refuses_unknown_ids():
+    import numpy as np
+
+    words = Vocabulary(RANKS)
+    assert words.decode(np.zeros(0, "<u4")) == b"" and words.decode(np.array(words.encode(b"hello world"), "<u4")) == b"hello world"
+    with pytest.raises(ValueError):
+        words.decode(np.array([4_000_000_000], "<u4"))

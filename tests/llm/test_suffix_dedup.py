@@ -84,3 +84,9 @@ def test_empty_table_and_kept_bytes(spark):
 def test_query(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
     assert result(op2_suffix_dedup(spark, "/root/testdata/sf0.001")) == brute(rows)
+
+
+def test_largest_id_is_not_null(spark):
+    rows = [(2**63 - 1, "z" * 20 + "a b" * 30), (None, "a b" * 30), (5, "a b" * 30)]
+    got = {r.doc_id: r.n_removed for r in remove_repeats(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {2**63 - 1: 90, None: 90, 5: 0}
