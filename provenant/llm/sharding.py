@@ -5,7 +5,8 @@ Documents with equal texts are linked. Law ``rows``: the shards' row counts are
 * Every document starts in a shard by hash. The documents of one text in one shard are interchangeable, so the
   state of the propagation is (text, shard, count): a text with a third of all rows is a few dozen rows of it.
 * A round joins each (text, shard) with the text's fullest shard that has room, and moves the documents there as
-  far as the shard's free quota goes (the same share of all that want in). It ends when nothing moves.
+  far as the shard's free quota goes (the same share of all that want in). It ends when nothing moves, or after
+  ``rounds`` rounds: a few rounds bring nearly all there is to gain, and any state gives balanced shards.
 * Then documents take their places: a document's rank inside its text falls into a count's interval, which gives
   its shard; ranks inside a shard give slots; what lies beyond a shard's quota (unlinked documents come last and
   go first) fills the free seats of others. Ranks are computed in two levels, by counts of small salted parts and
@@ -26,6 +27,8 @@ from pyspark.sql import functions as F
 
 from provenant.llm.common import documents, drop_written, written
 
+#: Ranks of a text that are joined with their places in one group.
+STRETCH = 256
 #: Parts of a shard for the second level of its ranks: a constant, so the table of counts is bounded.
 PARTS = 256
 RESULT = ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"]
@@ -105,10 +108,10 @@ def balanced_shards(spark: SparkSession, docs: DataFrame, shards: int = 24, roun
 
     upto = F.sum("m").over(W.partitionBy(*key).orderBy("shard"))
     places = state.select(*key, "shard", (upto - F.col("m")).alias("lo"), upto.alias("hi"))
-    a, b = ranked.alias("a"), places.alias("b")
-    inside = (F.col("a.r") >= F.col("b.lo")) & (F.col("a.r") < F.col("b.hi"))
-    same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in key]
-    linked = a.filter("n > 1").join(b, [*same, inside]).select("a.*", "b.shard", F.lit(0).alias("single"))
+    # A text's documents meet their places by stretches of ranks, so that a hot text is many small joins.
+    places = places.withColumn("stretch", F.explode(F.sequence(F.floor(F.col("lo") / STRETCH), F.floor((F.col("hi") - 1) / STRETCH))))
+    ranks = ranked.filter("n > 1").withColumn("stretch", F.floor(F.col("r") / STRETCH))
+    linked = ranks.join(places, [*key, "stretch"]).filter("r >= lo and r < hi").select(*ranked.columns, "shard", F.lit(0).alias("single"))
     single = ranked.filter("n = 1").select("*", first.alias("shard"), F.lit(1).alias("single"))
     placed = linked.unionByName(single).withColumn("part", F.pmod(F.xxhash64("doc_id", "h"), F.lit(PARTS)).cast("int"))
     placed = written(spark, placed)
