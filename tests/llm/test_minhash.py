@@ -7,11 +7,11 @@ from provenant.llm.minhash import near_duplicates, op7_minhash, shared_counts
 from provenant.llm.shingles import WORD, lowered
 
 
-def brute(rows):
+def brute(rows, size=2):
     sets = []
     for _, text in rows:
         w = WORD.findall(lowered(text or ""))
-        sets.append({tuple(w[i : i + 2]) for i in range(max(len(w) - 1, 1))} if w else set())
+        sets.append({tuple(w[i : i + size]) for i in range(max(len(w) - size + 1, 1))} if w else set())
     parent = {i: i for i, _ in rows}
 
     def find(x):
@@ -46,7 +46,7 @@ def sample(seed, n_bases, copies, most):
 
 def test_equals_brute_force(spark):
     rows = sample(4, 40, 12, 14)
-    out = near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    out = near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), shingle_words=2).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in out} == brute(rows)
 
 
@@ -56,16 +56,16 @@ def test_large_group_in_several_blocks(spark, monkeypatch):
     rng = random.Random(8)
     base = [str(rng.randrange(5000)) for _ in range(80)]
     rows = [(i, edited(rng, base, rng.randrange(14))) for i in range(150)]
-    out = near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    out = near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), shingle_words=2).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in out} == brute(rows)
 
 
 def test_rows(spark):
     rows = [(5, "a b c", "x"), (5, "a b c", "y"), (None, "a b c", None), (9, "a b c", "z"), (7, None, "")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, label string")
-    out = sorted(tuple(map(str, r)) for r in near_duplicates(spark, docs).collect())
+    out = sorted(tuple(map(str, r)) for r in near_duplicates(spark, docs, shingle_words=2).collect())
     assert out == sorted([("5", "2", "5", "True")] * 2 + [("None", "2", "None", "True"), ("9", "2", "5", "False"), ("7", "0", "7", "True")])
-    assert near_duplicates(spark, docs.limit(0)).count() == 0
+    assert near_duplicates(spark, docs.limit(0), shingle_words=2).count() == 0
 
 
 def test_shared_counts():
@@ -78,3 +78,17 @@ def test_shared_counts():
 def test_query(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
     assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in op7_minhash(spark, "/root/testdata/sf0.001").collect()} == brute(rows)
+
+
+def test_operator_takes_five_words_by_default(spark):
+    rng = random.Random(11)
+    rows = []
+    for i in range(0, 60, 3):
+        w = [str(rng.randrange(10**6)) for _ in range(80)]
+        near, far = list(w), list(w)
+        near[3] = "x"
+        for k in (10, 30, 50, 70):
+            far[k] = "y"
+        rows += [(i, " ".join(w)), (i + 1, " ".join(near)), (i + 2, " ".join(far))]
+    want, got = brute(rows, 5), {r.doc_id: r.component_id for r in near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: want[i][1] for i, _ in rows} and got[1] == 0 and got[2] == 2

@@ -19,7 +19,7 @@ def test_stages_equal_brute_force(spark):
     judged = {r.doc_id: r for r in quality_rules(spark.read.parquet(f"{DIR}/documents.parquet")).collect()}
     texts = {i: judged[i].clean_text for i in docs if judged[i].kept}
     assert all(not base_rules(docs[i].text)[5] for i in texts)
-    texts = {i: t for i, t in texts.items() if components(sorted(texts.items()))[i][2]} if len(texts) < 5 else dict(kept(texts))
+    texts = {i: t for i, t in texts.items() if components(sorted(texts.items()), 5)[i][2]} if len(texts) < 5 else dict(kept(texts))
     clean = {}
     for i, t in texts.items():
         n = normal(t)
@@ -37,7 +37,7 @@ def test_stages_equal_brute_force(spark):
 
 
 def kept(texts):
-    found = components(sorted(texts.items()))
+    found = components(sorted(texts.items()), 5)
     return [(i, t) for i, t in texts.items() if found[i][2]]
 
 
