@@ -29,11 +29,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one of the smallest doc_id, of each group of near-duplicates.
+    """One document, the one of the smallest doc_id, of each group of near-duplicates: sets of five-word shingles, 0.8 or more.
 
     The verdict is a row's: of rows that share a doc_id, those with another text stay.
     """
-    gone = near_duplicates(spark, docs, with_text_digest=True).filter(~F.col("kept")).select("doc_id", "text_digest")
+    gone = near_duplicates(spark, docs, shingle_words=5, with_text_digest=True).filter(~F.col("kept")).select("doc_id", "text_digest")
     return docs.withColumn("text_digest", F.md5("text")).join(gone, ["doc_id", "text_digest"], "left_anti").select(*docs.columns)
 
 
