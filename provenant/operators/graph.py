@@ -14,6 +14,14 @@ def capped_edges(edges: DataFrame, fan_out: int) -> DataFrame:
     return out.filter(F.col("_n") <= fan_out).drop("_n")
 
 
+def bounded(found: DataFrame, nodes: int) -> DataFrame:
+    """(root, node, depth, truncated): at most ``nodes`` nodes of a root, the nearest first, then by id; ``truncated`` where
+    an edge or a node was cut on the way."""
+    w = W.partitionBy("root")
+    rows = found.withColumn("_n", F.row_number().over(w.orderBy("depth", "node"))).withColumn("_cut", F.bool_or("truncated").over(w) | (F.count("*").over(w) > nodes))
+    return rows.filter(F.col("_n") <= nodes).select("root", "node", "depth", F.col("_cut").alias("truncated"))
+
+
 def reachable(edges: DataFrame, roots: DataFrame, depth: int, fan_out: int, verified_only: bool = True) -> DataFrame:
     """(root, node, depth, truncated): nodes within ``depth`` steps, each with its least depth.
 

@@ -31,26 +31,65 @@ def ratio(rows: DataFrame, by: list[str], hit: str, of: str, name: str) -> DataF
     return rows.groupBy(*by).agg(F.round(F.count_if(F.expr(hit)) / F.nullif(F.count_if(F.expr(of)), F.lit(0)), 6).alias(name))
 
 
-def percentiles(rows: DataFrame, by: str, value: str) -> DataFrame:
-    p = lambda q: F.round(F.percentile(value, q), 6)
+def percentiles(rows: DataFrame, by: str, value: str, accuracy: int | None = None) -> DataFrame:
+    """p50, p95 and p99 by key: exact, from a buffer of the distinct values of a key, or by a sketch of ``accuracy``."""
+    p = lambda q: F.round(F.percentile(value, q) if accuracy is None else F.percentile_approx(value, q, accuracy).cast("double"), 6)
     return rows.groupBy(by).agg(p(0.5).alias("p50"), p(0.95).alias("p95"), p(0.99).alias("p99"), F.count("*").alias("n"))
 
 
+def draw(key: str, sample: int, seed: int) -> str:
+    """A number below 2 ** 31 - 1 that follows from a row's key, a sample's number and the seed (SQL of either engine)."""
+    x = f"(({key} % 1000003) * 48271 + {(sample * 104729 + seed * 7919) % 2147483647}) % 2147483647"
+    for _ in range(3):
+        x = f"(({x}) * 69621 + 12345) % 2147483647"
+    return f"({x})"
+
+
+#: Poisson(1) by its cumulative probabilities, as shares of 2 ** 31 - 1.
+POISSON = tuple(int(p * 2147483647) for p in (0.36787944, 0.73575888, 0.91969860, 0.98101184, 0.99634015, 0.99940582, 0.99991676))
+
+
+def weight(sample: int) -> str:
+    """How often a row is in a sample, from its draw in column ``d<sample>``."""
+    steps = " ".join(f"WHEN d{sample} <= {limit} THEN {n}" for n, limit in enumerate(POISSON))
+    return f"CASE {steps} ELSE {len(POISSON)} END"
+
+
 def bootstrap_mean(rows: DataFrame, key: str, value: str, samples: int, seed: int) -> DataFrame:
-    """Mean with its 95 % interval, by resampling with hash-drawn Poisson weights: one pass, no row is copied to a driver.
+    """(mean, low, high): a mean with its 95 % interval by Poisson weights drawn from each row's key.
 
-    A sample's weight for a row depends on the row's key and the sample's number only, so the result is the same
-    whatever the partitioning. Partial sums per sample are combined, so the shuffle carries ``samples`` rows a task.
+    A row's weights depend on its key and the samples' numbers only, so the result is the same whatever the partitioning.
+    One aggregate with two sums for each sample: no row is copied, and a task sends one row.
     """
-    u = (F.pmod(F.xxhash64(F.col(key), "sample", F.lit(seed)), F.lit(1 << 30)) + 0.5) / (1 << 30)
-    cumulative = [0.36787944, 0.73575888, 0.91969860, 0.98101184, 0.99634015, 0.99940582, 0.99991676]
-    weight = F.lit(0)
-    for c in cumulative:
-        weight = weight + F.when(u > c, 1).otherwise(0)
-    drawn = rows.select(key, value, F.explode(F.sequence(F.lit(1), F.lit(samples))).alias("sample")).withColumn("w", weight)
-    means = drawn.groupBy("sample").agg((F.sum(F.col("w") * F.col(value)) / F.sum("w")).alias("m"))
-    spread = means.agg(F.percentile("m", 0.025).alias("low"), F.percentile("m", 0.975).alias("high"))
-    return rows.agg(F.avg(value).alias("mean")).join(spread)  # one row each
+    drawn = rows.select(F.col(value).cast("double").alias("v"), *(F.expr(draw(key, i, seed)).alias(f"d{i}") for i in range(samples)))
+    sums = [F.expr(f"sum(({weight(i)}) * v) / nullif(sum({weight(i)}), 0)") for i in range(samples)]
+    out = drawn.agg(F.avg("v").alias("mean"), F.array(*sums).alias("means"))
+    ordered = F.array_sort(F.filter("means", lambda m: m.isNotNull()))
+    at = lambda q: F.element_at(ordered, F.greatest(F.ceil(F.size(ordered) * q), F.lit(1)).cast("int"))
+    return out.select("mean", at(0.025).alias("low"), at(0.975).alias("high"))
+
+
+def averages(rows: DataFrame, group: str, value: str) -> DataFrame:
+    """(macro, micro): the mean of the groups' means, and that of all rows."""
+    means = rows.groupBy(group).agg(F.avg(value).alias("m"), F.sum(value).alias("s"), F.count(value).alias("n"))
+    return means.agg(F.round(F.avg("m"), 6).alias("macro"), F.round(F.sum("s") / F.sum("n"), 6).alias("micro"))
+
+
+def paired_difference(a: DataFrame, b: DataFrame, key: str, value: str) -> DataFrame:
+    """(n, difference, wins, losses) over the keys that both sides have."""
+    d = a.select(key, F.col(value).alias("x")).join(b.select(key, F.col(value).alias("y")), key).withColumn("d", F.col("x") - F.col("y"))
+    return d.agg(F.count("*").alias("n"), F.round(F.avg("d"), 6).alias("difference"), F.count_if(F.col("d") > 0).alias("wins"), F.count_if(F.col("d") < 0).alias("losses"))
+
+
+def answer_quality(claims: DataFrame, by: str) -> DataFrame:
+    """Of claims (answer, answerable, answered, supported, cited, valid, relevant, retrieved), by key: citation precision
+    and recall, validity, support, context precision and recall, and how often abstaining was right or missed."""
+    share = lambda hit, of: F.round(F.count_if(F.expr(f"({hit}) and ({of})")) / F.nullif(F.count_if(F.expr(of)), F.lit(0)), 6)
+    return claims.groupBy(by).agg(
+        share("valid and relevant", "cited").alias("citation_precision"), share("cited", "relevant").alias("citation_recall"), share("valid", "cited").alias("citation_validity"),
+        share("supported", "answered").alias("claim_support"), share("relevant", "retrieved").alias("context_precision"), share("retrieved", "relevant").alias("context_recall"),
+        share("not answered", "not answerable").alias("abstention_rate"), share("not answered", "answerable").alias("wrong_abstention_rate"),
+    )
 
 
 def outcome_counts(outcomes: DataFrame) -> DataFrame:

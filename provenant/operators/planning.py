@@ -10,6 +10,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
+# Reviews that keep a source closed.
+BLOCKING_REVIEWS = ("BLOCKED", "AMBIGUOUS", "AMBIGUOUS_REQUIRES_REVIEW")
+
+
 class SelectionError(ValueError):
     """An explicit selection that is refused; ``code`` says why."""
 
@@ -58,12 +62,36 @@ def gate_reasons() -> Column:
     """Why a source may not be fetched, over its manifest row; empty means open."""
     return F.array_compact(F.array(
         F.when(~F.col("ingestion_authorized"), "INGESTION_NOT_AUTHORIZED"),
-        F.when(F.col("review_status").isin("BLOCKED", "AMBIGUOUS"), "ACCESS_REVIEW_BLOCKED"),
+        F.when(F.col("review_status").isin(*BLOCKING_REVIEWS), "ACCESS_REVIEW_BLOCKED"),
         F.when(F.coalesce(F.trim("reviewed_by"), F.lit("")) == "", "NO_REVIEWER"),
         F.when(F.col("reviewed_at").isNull(), "NO_REVIEW_TIME"),
     ))
 
 
+def closed_gate(manifest: dict) -> list[str]:
+    """:func:`gate_reasons` for one manifest on the driver."""
+    found = {
+        "INGESTION_NOT_AUTHORIZED": manifest.get("ingestion_authorized") is not True,
+        "ACCESS_REVIEW_BLOCKED": manifest.get("review_status") in BLOCKING_REVIEWS,
+        "NO_REVIEWER": not str(manifest.get("reviewed_by") or "").strip(),
+        "NO_REVIEW_TIME": manifest.get("reviewed_at") is None,
+    }
+    return [reason for reason, holds in found.items() if holds]
+
+
+def unset_limits(status: str | None, parameters: dict, required: list[str]) -> list[str]:
+    """What keeps a crawl from being configured: its status, then the missing parameters by name."""
+    return ([] if status == "CONFIGURED" else ["crawl.status"]) + sorted(k for k in required if parameters.get(k) is None)
+
+
+def limit_problems(status: Column, parameters: Column, required: list[str]) -> Column:
+    """:func:`unset_limits` as a column over a map of numbers, and parameters that are not positive or contradict each other."""
+    unset = F.array_compact(F.array(F.when(F.coalesce(status, F.lit("")) != "CONFIGURED", "crawl.status")))
+    bad = F.transform(F.filter(F.map_entries(parameters), lambda e: F.isnan(e["value"]) | (e["value"] <= 0) | (e["value"] == float("inf"))), lambda e: e["key"])
+    order = F.array_compact(F.array(F.when(parameters["backoff_max"] < parameters["backoff_base"], "backoff_max < backoff_base")))
+    return F.concat(unset, missing_limits(parameters, required), F.array_sort(bad), order)
+
+
 def missing_limits(parameters: Column, required: list[str]) -> Column:
     return F.array_sort(F.array_except(F.array(*map(F.lit, required)), F.map_keys(parameters)))
 

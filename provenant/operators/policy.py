@@ -20,6 +20,10 @@ BLOCKED_V4 = (
 )
 
 
+# Address ranges of version 6 that are never fetched; an address of version 4 inside one of version 6 is none.
+BLOCKED_V6 = ("::/96", "::ffff:0:0/96", "64:ff9b::/96", "64:ff9b:1::/48", "100::/64", "2001::/23", "2001:db8::/32", "2002::/16", "fc00::/7", "fe80::/10", "fec0::/10", "ff00::/8")
+
+
 def url_parts(url: Column) -> dict[str, Column]:
     """Authority, path and query of an https URL (fragment dropped); empty strings where absent."""
     rest = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^#]*)", 1)
@@ -29,7 +33,7 @@ def url_parts(url: Column) -> dict[str, Column]:
 
 
 def host_of(authority: Column) -> Column:
-    """Lower case, port and trailing dots removed. A host outside ASCII is normalised by :func:`idna_host` first."""
+    """Lower case, port and trailing dots removed."""
     return F.lower(F.regexp_replace(F.regexp_replace(authority, r":[0-9]*$", ""), r"\.+$", ""))
 
 
@@ -46,6 +50,12 @@ def idna_host(hosts: pd.Series) -> pd.Series:
     return hosts.map(one, na_action="ignore")
 
 
+def ascii_host(host: Column) -> Column:
+    """A host in its ASCII form; only one with other characters goes through Python, and one without such a form is empty."""
+    other = host.rlike(r"[^\x00-\x7f]")
+    return F.when(other, F.coalesce(idna_host(F.when(other, host)), F.lit(""))).otherwise(host)
+
+
 def ip_literal(host: Column) -> Column:
     """Any spelling of an address: v6, dotted, decimal, octal, hexadecimal, short."""
     part = r"(0[xX][0-9a-fA-F]*|[0-9]+)"
@@ -66,7 +76,7 @@ def url_reason(url: Column, allowed_hosts: list[str], prefixes: list[str], max_l
     Give ``listing_urls`` for the listing purpose: then the normalised URL must be one of them; otherwise no query.
     """
     p = url_parts(url)
-    host, path, query = host_of(p["authority"]), p["path"], p["query"]
+    host, path, query = ascii_host(host_of(p["authority"])), p["path"], p["query"]
     decoded = F.try_url_decode(F.regexp_replace(path, r"\+", "%2B"))
     port = F.regexp_extract(p["authority"], r":([^:]*)$", 1)
     bad_port = p["authority"].contains(":") & (port != "") & ~F.coalesce(port.rlike("^0*443$"), F.lit(False))
@@ -113,28 +123,29 @@ def public_v4(address: Column) -> Column:
     return F.coalesce(n.isNotNull() & ~blocked, F.lit(False))
 
 
+def is_public(text: str | None) -> bool:
+    """Whether an address of either version is globally routable and outside every blocked range."""
+    try:
+        address = ipaddress.ip_address(text)
+    except ValueError:
+        return False
+    blocked = BLOCKED_V4 if address.version == 4 else BLOCKED_V6
+    return "%" not in text and address.is_global and not any(address in ipaddress.ip_network(n) for n in blocked)
+
+
 @F.pandas_udf(T.BooleanType())
 def public_address(addresses: pd.Series) -> pd.Series:
-    """Both families; v6 is public only where globally routable and without an embedded v4 address."""
+    return addresses.map(is_public, na_action="ignore").fillna(False).astype(bool)
 
-    def one(text):
-        try:
-            a = ipaddress.ip_address(text)
-        except ValueError:
-            return False
-        if "%" in str(text):
-            return False
-        if a.version == 4:
-            return not any(a in ipaddress.ip_network(c) for c in BLOCKED_V4)
-        inside = [ipaddress.ip_network(c) for c in ("2002::/16", "2001::/23", "64:ff9b::/96", "64:ff9b:1::/48", "fec0::/10")]
-        return a.is_global and not a.is_multicast and a.ipv4_mapped is None and not any(a in n for n in inside)
 
-    return addresses.map(one, na_action="ignore").fillna(False).astype(bool)
+@F.pandas_udf(T.BooleanType())
+def all_public(answers: pd.Series) -> pd.Series:
+    return pd.Series([rows is not None and len(rows) > 0 and all(x is not None and is_public(x) for x in rows) for rows in answers], dtype=bool)
 
 
 def answers_public(answers: Column) -> Column:
-    """An answer set passes when it has members and all of them pass."""
-    return (F.size(answers) > 0) & F.forall(F.array_distinct(answers), public_v4)
+    """An answer set, each address once and in order, passes when it has members and all of them pass."""
+    return all_public(F.array_distinct(answers))
 
 
 def neutralised(value: Column, max_length: int, secrets: list[str] | None = None) -> Column:
@@ -158,12 +169,12 @@ def log_url(url: Column) -> Column:
     return F.when(scheme == "", F.lit("[unparseable-url]")).otherwise(F.concat(scheme, F.lit("://"), host, path))
 
 
-def safe_headers(headers: Column) -> Column:
-    """Allowed headers only, with lower-case keys in order. Keys that differ in case only: the first in order stays."""
+def safe_headers(headers: Column, max_length: int = 300, secrets: list[str] | None = None) -> Column:
+    """Allowed headers only, with lower-case keys in order and values safe for a log. Of keys that differ in case the first stays."""
     allowed = [F.lit(h) for h in LOGGED_HEADERS]
-    pairs = F.filter(F.transform(F.map_entries(headers), lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value"))), lambda e: F.array_contains(F.array(*allowed), e["key"]))
-    first = F.filter(F.array_sort(pairs), lambda e: F.lit(True))
-    return F.map_from_entries(F.filter(first, lambda e, i: (i == 0) | (F.get(first, i - 1)["key"] != e["key"])))
+    pairs = F.transform(F.map_entries(headers), lambda e: F.struct(F.lower(e["key"]).alias("key"), neutralised(e["value"], max_length, secrets).alias("value")))
+    ordered = F.array_sort(F.filter(pairs, lambda e: F.array_contains(F.array(*allowed), e["key"])))
+    return F.map_from_entries(F.filter(ordered, lambda e, i: (i == 0) | (F.get(ordered, i - 1)["key"] != e["key"])))
 
 
 # The headers that may be logged.

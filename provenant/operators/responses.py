@@ -79,6 +79,17 @@ def backoff_ceiling(attempt: Column, base: float, cap: float) -> Column:
     return F.least(F.lit(float(cap)), F.lit(float(base)) * F.pow(F.lit(2.0), attempt - 1))
 
 
+def backoff_seconds(attempt: Column, drawn: Column, base: float, cap: float, min_delay: float, retry_after: Column) -> Column:
+    """Seconds to wait before the next attempt: a share ``drawn`` of the ceiling, no less than the delay or Retry-After."""
+    return F.greatest(drawn * backoff_ceiling(attempt, base, cap), F.lit(float(min_delay)), F.coalesce(retry_after, F.lit(0.0)))
+
+
+def within_deadline(attempts: DataFrame, deadline: float) -> DataFrame:
+    """Attempts (run, candidate, attempt, elapsed, wait) that begin before the candidate's deadline has passed."""
+    before = W.partitionBy("run", "candidate").orderBy("attempt").rowsBetween(W.unboundedPreceding, -1)
+    return attempts.withColumn("begins", F.coalesce(F.sum(F.col("elapsed") + F.col("wait")).over(before), F.lit(0.0))).filter(F.col("begins") < deadline)
+
+
 def routed(failure: Column, quarantine: Column) -> Column:
     """Outcome of a failed fetch."""
     return F.when(quarantine.isNotNull(), "QUARANTINED").when(failure.isin(*RETRYABLE), "FAILED_TRANSIENT").when(failure.isNotNull(), "FAILED_PERMANENT")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -67,6 +68,21 @@ def capped(ranks: DataFrame, query: str, group: str, per_group: int, k: int) ->
     return kept.withColumn("position", F.row_number().over(W.partitionBy(query).orderBy("rank")).cast("long")).filter(F.col("position") <= k)
 
 
+def search(docs: DataFrame, vectors: DataFrame, queries: DataFrame, vector: list[float], depth: int = 50, per_group: int = 3, k: int = 8) -> DataFrame:
+    """(item_id, doc_id, source, rank, position): one query (a row of ``queries``, and its vector) over documents that have
+    passed the hard filters: lexical, dense and identifier lists, each ``depth`` deep, fused and diversely selected.
+
+    ``docs``: doc_id, text, source. ``vectors``: doc_id, embedding; those of other documents do not count.
+    """
+    lexical = ranked(bm25(docs, queries).withColumn("score", F.round("score", 6)), "item_id", "doc_id", depth)
+    named = ranked(identifier_hits(docs, queries, identifiers), "item_id", "doc_id", depth)
+    near = dense_topk(vectors.join(docs.select("doc_id"), "doc_id", "left_semi"), vector, depth, "doc_id")
+    near = ranked(queries.select("item_id").join(near), "item_id", "doc_id", depth)  # one query
+    fused = rrf([lexical, near, named], "item_id", "doc_id").withColumn("score", F.round("score", 6))
+    order = ranked(fused, "item_id", "doc_id", 3 * depth).join(docs.select("doc_id", "source"), "doc_id")
+    return capped(order, "item_id", "source", per_group, k).select("item_id", "doc_id", "source", "rank", "position")
+
+
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Distinct texts with their first document and how many have them."""
     return docs.groupBy(F.sha2(text_col, 256).alias("hash")).agg(F.min(id_col).alias("first_doc"), F.count("*").alias("n_docs"))
@@ -90,6 +106,23 @@ def evidence_id(layer: Column, start: Column, end: Column) -> Column:
     return F.sha2(F.concat_ws(":", layer.cast("string"), start.cast("string"), end.cast("string")), 256)
 
 
+def identifiers(text: Column, pattern: str = r"\b[A-Za-z][A-Za-z0-9]*(?:[-/][A-Za-z0-9]+)*[-/][0-9]+\b") -> Column:
+    """Distinct identifiers of a text (letters and figures joined by strokes or hyphens, a number last), in upper case, in order."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.upper))
+
+
+def identifier_hits(docs: DataFrame, queries: DataFrame, pattern_of: Callable[[Column], Column], id_col: str = "doc_id", query_id: str = "item_id") -> DataFrame:
+    """(query, doc, score): how many distinct identifiers of the query a document holds; other rows are not made."""
+    asked = queries.select(query_id, F.explode(F.array_distinct(pattern_of(F.col("text")))).alias("identifier"))
+    held = docs.select(id_col, F.explode(F.array_distinct(pattern_of(F.col("text")))).alias("identifier"))
+    return asked.join(held, "identifier").groupBy(query_id, id_col).agg(F.count("*").alias("score"))
+
+
+def appears_in(docs: DataFrame, by: str, text_col: str = "text") -> DataFrame:
+    """(hash, n, appears_in): the distinct values of ``by`` whose rows have the same text."""
+    return docs.groupBy(F.sha2(text_col, 256).alias("hash")).agg(F.count("*").alias("n"), F.array_sort(F.collect_set(by)).alias("appears_in"))
+
+
 def trigrams(text: Column) -> Column:
     padded = F.concat(F.lit("  "), F.lower(text), F.lit(" "))
     return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(padded) - 2), lambda i: padded.substr(i, F.lit(3))))

@@ -25,6 +25,23 @@ def state_at(x: Column, effective: Column, expiry: Column, withdrawn: Column, su
     )
 
 
+def resolved_state(
+    x: Column, effective: Column, expiry: Column, withdrawn: Column, superseded: Column, partly: Column, amended: Column, conflicting: Column
+) -> Column:
+    """The state of a version on day ``x``, of nine. ``partly``: superseded for a part of it only; ``amended``: the first
+    day of an amendment; ``conflicting``: an overlapping duty without an explicit relation. Order of input decides nothing."""
+    plain = state_at(x, effective, expiry, withdrawn, F.when(~F.coalesce(partly, F.lit(False)), superseded))
+    return (
+        F.when(plain == "UNKNOWN", "UNKNOWN_EFFECTIVE_DATE")
+        .when(plain == "NOT_YET_EFFECTIVE", "ISSUED_NOT_EFFECTIVE")
+        .when(plain != "IN_FORCE", plain)
+        .when(F.coalesce(conflicting, F.lit(False)), "CONFLICTED")
+        .when(F.coalesce(partly & (superseded <= x), F.lit(False)), "PARTIALLY_SUPERSEDED")
+        .when(F.coalesce(amended <= x, F.lit(False)), "IN_FORCE_AMENDED")
+        .otherwise("IN_FORCE")
+    )
+
+
 def applicable(intervals: DataFrame, points: DataFrame, keys: list[str]) -> DataFrame:
     """Intervals (keys, start, end) that hold at points (keys, at): start <= at < end; an open end never ends."""
     return points.join(intervals, keys).filter("start <= at and (end is null or at < end)")

@@ -47,8 +47,9 @@ def dispositions(states: DataFrame) -> DataFrame:
     return states.groupBy("answer_id").agg(F.when(good == F.count("*"), "ANSWERED").when(some > 0, "PARTIALLY_ANSWERED").otherwise("ABSTAINED").alias("disposition"))
 
 
-def hard_filtered(chunks: DataFrame, applicable: DataFrame, **equal: str) -> DataFrame:
-    """Chunks that pass every filter before any ranking: equal columns, and a version that applies on the day."""
+def hard_filtered(chunks: DataFrame, applicable: DataFrame, **equal) -> DataFrame:
+    """Chunks that pass every filter before any ranking: columns equal to a value or, for a pair, between both ends, and a
+    version that applies on the day."""
     for column, value in equal.items():
-        chunks = chunks.filter(F.col(column) == value)
+        chunks = chunks.filter(F.col(column).between(*value) if isinstance(value, tuple) else F.col(column) == value)
     return chunks.join(applicable.select("version_id").distinct(), "version_id", "left_semi")

@@ -2,8 +2,8 @@
 
 Sequential ledger rules in closed form: the first row of (doc, hash) makes a version, the first row of
 (doc, hash, url) a location, every other row changes nothing. "First" is a minimum per key, aggregated before the
-shuffle and joined back, so one hash or document that holds a large share of the log is no hot window; AQE splits
-the skewed side of the joins.
+shuffle and joined back, so one hash that holds a large share of the log is no hot window; AQE splits the skewed side of
+the joins. Only the numbering of versions is a window, over the distinct versions of one document.
 """
 
 from __future__ import annotations
@@ -122,12 +122,21 @@ def upsert_last_seen(existing: DataFrame, new: DataFrame, keys: list[str]) -> Da
 
 
 def snapshot_id(obs: DataFrame, manifest_hash: str) -> DataFrame:
-    """One id of a corpus: a hash over the manifest's hash and each document's latest version, in key order.
+    """One id of a corpus: a hash over the manifest's hash, the number of documents and the sums of four parts of each
+    document's digest (its key and latest version). Sums combine in any order, so no task holds more than four numbers."""
+    digest = F.sha2(F.concat_ws("=", "doc", "hash"), 256)
+    parts = [F.conv(F.substring(digest, k, 15), 16, 10).cast("decimal(20,0)") for k in (1, 16, 31, 46)]
+    sums = latest_versions(obs).agg(F.count("*").cast("string").alias("n"), *(F.coalesce(F.sum(p).cast("string"), F.lit("0")).alias(f"p{i}") for i, p in enumerate(parts)))
+    return sums.select(F.sha2(F.concat_ws(":", F.lit(manifest_hash), "n", "p0", "p1", "p2", "p3"), 256).alias("snapshot_id"))
 
-    Two levels keep it bounded: a digest for each of 256 groups of documents, then one over the groups.
+
+def validators(locations: DataFrame, versions: DataFrame, asked: DataFrame) -> DataFrame:
+    """(doc, url, etag, last_modified) to ask again with, for ``asked`` (doc, url): of the versions located there the one
+    retrieved last, ties by the larger id; none where it has neither.
+
+    ``locations``: version_id, url, http_meta (a map). ``versions``: version_id, doc, retrieved_at.
     """
-    latest = latest_versions(obs).select("doc", "hash", F.pmod(F.xxhash64("doc"), F.lit(256)).alias("part"))
-    line = F.transform(F.sort_array(F.collect_list(F.struct("doc", "hash"))), lambda v: F.concat_ws("=", v["doc"], v["hash"]))
-    parts = latest.groupBy("part").agg(F.sha2(F.array_join(line, "\n"), 256).alias("digest"), F.min("doc").alias("least"))
-    whole = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("least", "digest"))), lambda v: v["digest"]), "\n")
-    return parts.agg(F.sha2(F.concat_ws("\n", F.lit(manifest_hash), whole), 256).alias("snapshot_id"))
+    rows = asked.join(locations, "url").join(versions, ["version_id", "doc"])
+    last = rows.groupBy("doc", "url").agg(F.max_by("http_meta", F.struct("retrieved_at", "version_id")).alias("meta"))
+    last = last.select("doc", "url", F.col("meta")["etag"].alias("etag"), F.col("meta")["last_modified"].alias("last_modified"))
+    return last.filter("coalesce(etag, '') <> '' or coalesce(last_modified, '') <> ''")

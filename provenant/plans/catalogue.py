@@ -141,7 +141,8 @@ def duplicate_bytes_documents(spark, sf_dir):
     return versions.duplicate_documents(observations(spark, sf_dir))
 
 
-@query()
+@query(f"""WITH {VERSIONS}, last AS (SELECT doc, max(seq) AS seq FROM versions GROUP BY doc), dg AS (SELECT sha256(l.doc || '=' || v.hash) AS h FROM last l JOIN versions v ON l.doc = v.doc AND l.seq = v.seq)
+ SELECT sha256('{"0" * 64}:' || count(*) || ':' || {" || ':' || ".join(f"sum(('0x' || substr(h, {k}, 15))::BIGINT)" for k in (1, 16, 31, 46))}) AS snapshot_id FROM dg""")
 def snapshot_id(spark, sf_dir):
     return versions.snapshot_id(observations(spark, sf_dir), "0" * 64)
 
@@ -541,7 +542,7 @@ def bounded_traversal(spark, sf_dir):
 QUERY_VECTOR = [1.0 if i % 3 == 0 else -0.5 for i in range(64)]
 
 
-@query()
+@query(f"SELECT vec_id, score FROM (SELECT vec_id, round(list_cosine_similarity(embedding::DOUBLE[], {QUERY_VECTOR}::DOUBLE[]), 6) AS score FROM embeddings) t ORDER BY score DESC, vec_id LIMIT 50")
 def dense_topk(spark, sf_dir):
     return retrieval.dense_topk(table(spark, sf_dir, "embeddings"), QUERY_VECTOR, 50)
 
@@ -558,7 +559,7 @@ def lexical(spark, sf_dir):
     return scores.withColumn("score", F.round("score", 6))
 
 
-@query()
+@query(f"WITH {BM25} SELECT item_id, doc_id, score, rank FROM lex WHERE rank <= 50")
 def lexical_topk(spark, sf_dir):
     return retrieval.ranked(lexical(spark, sf_dir), "item_id", "doc_id", 50)
 
@@ -629,7 +630,11 @@ def cost_by_route(spark, sf_dir):
     return table(spark, sf_dir, "events").groupBy("event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"), F.round(F.avg("value"), 6).alias("mean"))
 
 
-@query()
+WEIGHTED = ", ".join(f"sum(({metrics.weight(i)}) * value) / nullif(sum({metrics.weight(i)}), 0)" for i in range(200))
+DRAWN = ", ".join(f"{metrics.draw('event_id', i, 7)} AS d{i}" for i in range(200))
+
+
+@query(f"WITH d AS (SELECT value, {DRAWN} FROM events), m AS (SELECT avg(value) AS mean, list_sort([{WEIGHTED}]) AS means FROM d) SELECT round(mean, 6) AS mean, round(means[5], 6) AS low, round(means[195], 6) AS high FROM m")
 def bootstrap_value(spark, sf_dir):
     return metrics.bootstrap_mean(table(spark, sf_dir, "events"), "event_id", "value", 200, 7)
 
@@ -657,7 +662,9 @@ def exact_duplicate_groups(spark, sf_dir):
     return retrieval.exact_groups(table(spark, sf_dir, "documents"))
 
 
-@query()
+@query("""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS node FROM documents),
+ o AS (SELECT *, (sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY node))::BIGINT - 1 AS stop FROM l)
+ SELECT doc_id, node, stop - length(line) AS start, stop AS "end", sha256(line) AS quote_hash, sha256(doc_id || ':' || (stop - length(line)) || ':' || stop) AS evidence_id FROM o WHERE line <> ''""")
 def text_chunks(spark, sf_dir):
     return retrieval.chunks(table(spark, sf_dir, "documents"))
 

@@ -40,7 +40,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="provenant-")
         spark.sparkContext.setCheckpointDir(found)
-    path = spark._jvm.org.apache.hadoop.fs.Path(found)
+    return qualified(spark, found)
+
+
+def qualified(spark: SparkSession, folder: str) -> str:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString().rstrip("/")
 
 

@@ -34,8 +34,31 @@ def append(spark: SparkSession, path: str, rows: DataFrame, keys: list[str], bat
     earlier = spark.read.schema(T.StructType([*rows.schema.fields, T.StructField("batch", T.LongType())])).parquet(path).filter(F.col("batch") < batch) if exists(spark, path) else None
     first = rows.groupBy(*keys).agg(F.min_by(F.struct(*rows.columns), F.col(order or keys[0])).alias("row")).select("row.*")
     fresh = first if earlier is None else first.join(earlier.select(*keys), [first[k].eqNullSafe(earlier[k]) for k in keys], "left_anti")
-    fresh.write.mode("overwrite").partitionBy(*partitions).parquet(f"{path}/batch={batch}") if partitions else fresh.write.mode("overwrite").parquet(f"{path}/batch={batch}")
-    return spark.read.schema(rows.schema).parquet(f"{path}/batch={batch}")
+    return published(spark, fresh, path, batch, partitions)
+
+
+def published(spark: SparkSession, rows: DataFrame, path: str, batch: int, partitions: tuple[str, ...] = ()) -> DataFrame:
+    """Write a batch beside the table, where no reader looks, and then move it into place as a whole."""
+    staged, final = f"{path}/_staging/{batch}", f"{path}/batch={batch}"
+    rows.write.mode("overwrite").partitionBy(*partitions).parquet(staged) if partitions else rows.write.mode("overwrite").parquet(staged)
+    source, target = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (staged, final))
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(target, True)
+    if not files.rename(source, target):
+        raise OSError(f"batch {batch} could not be moved to {final}")
+    return spark.read.schema(rows.schema).parquet(final)
+
+
+class ConflictError(ValueError):
+    """Rows that an append-only table refuses."""
+
+
+def append_audit(spark: SparkSession, path: str, rows: DataFrame, keys: list[str], batch: int, violations: DataFrame) -> DataFrame:
+    """Append audit rows, unless some of them break a rule (``violations``) or repeat a key of this batch."""
+    broken = violations.unionByName(rows.groupBy(*keys).agg(F.count("*").alias("_n")).filter("_n > 1").select(*keys), allowMissingColumns=True)
+    if found := broken.limit(1).collect():
+        raise ConflictError(f"audit rows are refused, for example {found[0].asDict()}")
+    return append(spark, path, rows, keys, batch)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -46,9 +69,41 @@ def exists(spark: SparkSession, path: str) -> bool:
 def put_blobs(spark: SparkSession, path: str, bodies: DataFrame, batch: int) -> DataFrame:
     """Store bodies (body) once by their hash, in folders by its first two digits."""
     rows = bodies.select(F.sha2("body", 256).alias("hash"), "body").withColumn("prefix", F.substring("hash", 1, 2))
+    if exists(spark, path):
+        stored = read_table(spark, path, BLOBS).filter(F.sha2("body", 256) != F.col("hash"))
+        if found := stored.join(rows.select("hash"), "hash", "left_semi").select("hash").limit(1).collect():
+            raise ConflictError(f"the stored bytes of {found[0]['hash']} are not those of their hash")
     return append(spark, path, rows, ["hash"], batch, order="hash")
 
 
+def put_quarantined(spark: SparkSession, path: str, quarantine: str, bodies: DataFrame, batch: int) -> DataFrame:
+    """Store bodies that were refused, in a store of their own that neither holds nor lies in the other."""
+    a, b = (p.rstrip("/") + "/" for p in (path, quarantine))
+    if a.startswith(b) or b.startswith(a):
+        raise ConflictError("the stores of admitted and refused bodies must be apart")
+    return put_blobs(spark, quarantine, bodies, batch)
+
+
+def stored(rows: DataFrame, blobs: DataFrame) -> DataFrame:
+    """Rows whose hash the store holds."""
+    return rows.join(blobs.select("hash"), "hash", "left_semi")
+
+
+def schema_drift(applied: DataFrame, files: DataFrame) -> DataFrame:
+    """(version, state) of schema versions (version, checksum): PENDING, MISSING, CHANGED or APPLIED."""
+    a, f = applied.select("version", F.col("checksum").alias("was")), files.select("version", F.col("checksum").alias("is"))
+    state = F.when(F.col("was").isNull(), "PENDING").when(F.col("is").isNull(), "MISSING").when(F.col("was") != F.col("is"), "CHANGED").otherwise("APPLIED")
+    return a.join(f, "version", "full_outer").select("version", state.alias("state"))
+
+
+def time_ordered_id(millis: Column, *columns: str) -> Column:
+    """A UUID of version 7 whose random part follows from the natural key: ordered by time, the same in every run."""
+    h = natural_id(*columns)
+    variant = F.substring(F.lit("89ab"), (F.conv(F.substring(h, 4, 1), 16, 10).cast("int") % 4) + 1, F.lit(1))
+    t = F.lpad(F.lower(F.hex(millis)), 12, "0")
+    return F.concat_ws("-", F.substring(t, 1, 8), F.substring(t, 9, 4), F.concat(F.lit("7"), F.substring(h, 1, 3)), F.concat(variant, F.substring(h, 5, 3)), F.substring(h, 8, 12))
+
+
 def listing_diff(old: DataFrame, new: DataFrame) -> DataFrame:
     """(canonical_url, change) between two listings (canonical_url, hash)."""
     from provenant.operators.temporal import version_diff

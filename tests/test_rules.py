@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from provenant.operators import discovery, planning, policy, responses, retrieval
 from provenant.sources.captures import decoded
-from provenant.sources.manifest import ManifestError, parse_manifest
+from provenant.sources.manifest import ManifestError, load_manifest, parse_manifest
 
 OK, SCOPE, HOST, SCHEME, WRAP = None, policy.SCOPE, policy.HOST, policy.SCHEME, policy.WRAPPER
 H = "https://docs.testreg.example"
@@ -69,12 +69,13 @@ def test_body_decoding():
     assert decoded("br", b"x", 10)[2] == "CONTENT_TYPE_MISMATCH" and decoded("gzip", None, 10) == (None, None, None)
 
 
-def test_references():
+def test_references(spark):
     html = """<a href=" /x ">1</a><!-- <a href="/no"> --><script>'<a href="/no">'</script><img src="/no"><iframe src='f'></iframe><embed src=e><object data="o&amp;p"></object><A HREF="b" href="c"><a href=" "><link href="/no">"""
-    assert discovery.references_of(html) == ["/x", "f", "e", "o&p", "b"]
-    wrap = "https://h/web/?"
-    assert discovery.embedded_url(wrap + "file=https%3A%2F%2Fh%2Fa.pdf") == ("https://h/a.pdf", None)
-    assert [discovery.embedded_url(wrap + q)[1] for q in ("file=a&file=b", "file=", "x=1", "file=%zz", "file=%ff")] == ["VIEWER_FILE_REPEATED", "VIEWER_FILE_MISSING", "VIEWER_FILE_MISSING", "MALFORMED_PERCENT_ENCODING", "MALFORMED_PERCENT_ENCODING"]
+    (row,) = spark.createDataFrame([(html,)], "html string").select(discovery.listed_attributes("html").alias("rows")).select(discovery.references(F.col("rows")).alias("found")).collect()
+    assert row.found == ["/x", "f", "e", "o&p", "b"]
+    tails = ("file=https%3A%2F%2Fh%2Fa.pdf", "file=a&file=b", "file=", "x=1", "file=%zz", "file=%ff", "file=%ef%bf%bd")
+    rows = spark.createDataFrame([(i, f"https://h/web/?{q}") for i, q in enumerate(tails)], "i int, u string").select("i", *discovery.embedded(F.col("u"))).collect()
+    assert [tuple(r)[1:] for r in sorted(rows)] == [("https://h/a.pdf", None), *((None, p) for p in ("VIEWER_FILE_REPEATED", "VIEWER_FILE_MISSING", "VIEWER_FILE_MISSING", "MALFORMED_PERCENT_ENCODING", "MALFORMED_PERCENT_ENCODING")), ("\ufffd", None)]
 
 
 def test_discovery_status(spark):
@@ -123,3 +124,101 @@ def test_text_units(spark):
     assert got == [(1, 0, 0, 2), (1, 2, 4, 7)]
     (r,) = spark.range(1).select(retrieval.trigram_similarity(F.lit("word"), F.lit("words")).alias("s"), retrieval.visible(F.lit("a\u200bb\x00")).alias("v"), retrieval.nfkc_folded(F.lit("ﬁX")).alias("n")).collect()
     assert abs(r.s - 4 / 7) < 1e-9 and r.v == "ab" and r.n == "fix"
+
+
+COMPLETE = """manifest_version: "1"
+source_id: s
+authority: a
+domain: {jurisdiction: X, regulator: Y, corpus: Z}
+access_review: {status: BLOCKED, reviewed_by: null, open_items: [one]}
+ingestion_authorized: false
+allowed_hosts: [docs.testreg.example]
+allowed_url_policy: {schemes: [https], allowed_methods: [GET], path_prefixes: {listing: [/l], detail: [/d/], attachment: [/files/]}}
+listing_urls: [{url: "https://docs.testreg.example/l"}]
+document_types: [circular]
+bounded_date_window: {from: 2026-01-01, to: 2026-12-31}
+crawl: {status: CONFIGURED, user_agent_contact: "env:CONTACT", min_delay_seconds: 1.5, max_redirects: 3, backoff_base_seconds: 1, backoff_max_seconds: 8}
+candidate_documents:
+- {document_key: A-1, tier: primary, title: t, document_type: circular, sampled: true, resolution_status: open, url_status: OBSERVED}
+"""
+
+
+def test_complete_manifest(tmp_path, spark):
+    (tmp_path / "m.yaml").write_text(COMPLETE)
+    m = load_manifest(tmp_path / "m.yaml", complete=True)
+    assert m.parameters == {"min_delay_seconds": 1.5, "max_redirects": 3, "backoff_base_seconds": 1, "backoff_max_seconds": 8} and m.candidate_key("A-1") == "s/A-1"
+    (row,) = m.candidates_frame(spark).collect()
+    assert row.sampled and row.resolution_status == "open" and [tuple(x) for x in row.status_labels] == [("url_status", "OBSERVED")]
+    for old, new in (
+        ("[https]", "[http]"), ("[GET]", "[POST]"), ("[GET]", "[]"), ("attachment: [/files/]", "other: [/files/]"), ("BLOCKED", "FINE"), ("false", '"no"'), ("env:CONTACT", "me@x.example"), ("min_delay_seconds: 1.5", "min_delay: 1"),
+        ("max_redirects: 3", "max_redirects: 2.5"), ("max_redirects: 3", "max_redirects: true"), ("backoff_max_seconds: 8", "backoff_max_seconds: 0.5"), ("sampled: true", "sampled: 1"), ("2026-12-31", "2026-13-31"), ("authority: a\n", ""),
+        ('"https://docs', '"http://docs'), ("domain: {", "domain: {<<: {}, "), ("[circular]", "[*x]"), ("title: t,", "title: t, title: u,"),
+    ):
+        assert old in COMPLETE
+        with pytest.raises(ManifestError):
+            parse_manifest(COMPLETE.replace(old, new, 1).encode(), complete=True)
+    with pytest.raises(ManifestError):
+        load_manifest(tmp_path / "none.yaml")
+
+
+def test_run_is_refused_before_anything_is_sent(spark):
+    from provenant.operators import ingest
+
+    rows = spark.createDataFrame([("A", 1), ("B", 2)], "document_key string, x int")
+    good = {"ingestion_authorized": True, "review_status": "DONE", "reviewed_by": "x", "reviewed_at": "2026", "crawl_status": "CONFIGURED", "parameters": {"p": 1}, "contact": "c"}
+    run = lambda keys, mode="LIVE", ref="r", **change: ingest.admitted_candidates(spark, rows, good | change, keys, mode, ref, ["p"])
+    assert run(None)[1:3] == ("POLICY_VIOLATION", "candidate selection refused: SELECTION_REQUIRED")
+    assert run(["A"], ingestion_authorized=False, reviewed_by=" ")[1:3] == ("GATE_CLOSED", "INGESTION_NOT_AUTHORIZED, NO_REVIEWER")
+    assert run(["A"], parameters={}, crawl_status="DRAFT")[2] == "required safety parameters are unset: crawl.status, p"
+    assert run(["A"], contact=None)[1] == run(["A"], ref=None)[1] == "POLICY_VIOLATION"
+    for mode in ("LIVE", "DRY_RUN"):
+        status, reason, problem, chosen = run(["B", "A"], mode)
+        assert (status, reason, problem) == ("RUNNING", None, None) and [r.document_key for r in chosen.orderBy("position").collect()] == ["B", "A"]
+    assert run(["A"], "DRY_RUN", ref=None, ingestion_authorized=False)[0] == "RUNNING"
+
+
+def test_refused_appends(spark, tmp_path):
+    from provenant.sources import ledger
+
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    with pytest.raises(ledger.ConflictError):
+        ledger.append_audit(spark, f"file://{tmp_path}/t", rows.union(rows), ["k"], 1, rows.limit(0).select("k"))
+    with pytest.raises(ledger.ConflictError):
+        ledger.append_audit(spark, f"file://{tmp_path}/t", rows, ["k"], 1, rows.filter("k = 2").select("k"))
+    assert ledger.append_audit(spark, f"file://{tmp_path}/t", rows, ["k"], 1, rows.limit(0).select("k")).count() == 2
+    bodies = spark.createDataFrame([(bytearray(b"x"),)], "body binary")
+    for a, b in (("/s", "/s/q"), ("/s/q", "/s"), ("/s", "/s/")):
+        with pytest.raises(ledger.ConflictError):
+            ledger.put_quarantined(spark, f"{tmp_path}{a}", f"{tmp_path}{b}", bodies, 1)
+    path = f"file://{tmp_path}/blobs"
+    assert ledger.put_blobs(spark, path, bodies, 1).count() == 1 and ledger.put_blobs(spark, path, bodies, 2).count() == 0
+    stored = ledger.read_table(spark, path, ledger.BLOBS).withColumn("body", F.encode(F.lit("y"), "UTF-8"))
+    ledger.published(spark, stored, path, 3)
+    with pytest.raises(ledger.ConflictError):
+        ledger.put_blobs(spark, path, bodies, 4)
+
+
+def test_scratch_folder_follows_the_file_system(spark, tmp_path):
+    from provenant import session
+
+    conf = spark._jsc.hadoopConfiguration()
+    default = conf.get("fs.defaultFS")
+    try:
+        assert session.qualified(spark, f"{tmp_path}/shared/") == f"file:{tmp_path}/shared"
+        conf.set("fs.defaultFS", "viewfs://cluster/")
+        conf.set("fs.viewfs.mounttable.cluster.link./shared", f"file://{tmp_path}")
+        assert session.qualified(spark, "/shared/a") == "viewfs://cluster/shared/a"
+        assert session.qualified(spark, f"file://{tmp_path}/b") == f"file:{tmp_path}/b"
+    finally:
+        conf.set("fs.defaultFS", default)
+
+
+def test_scratch_folder_is_not_guessed_on_a_cluster():
+    from types import SimpleNamespace as Fake
+
+    from provenant import session
+
+    none = Fake(isDefined=lambda: False)
+    context = Fake(master="yarn", _jsc=Fake(sc=lambda: Fake(getCheckpointDir=lambda: none)))
+    with pytest.raises(ValueError):
+        session.checkpoint_dir(Fake(conf=Fake(get=lambda name, default: default), sparkContext=context))
