@@ -130,9 +130,9 @@ def merged(starts: list[int], e: int, n: int) -> Iterator[tuple[int, int]]:
 def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, share: float = EDIT_SHARE) -> DataFrame:
     """Rows (doc_id, item_id, distance, start, end): the best occurrence of each item in each document that has one.
 
-    ``start`` and ``end`` count characters of the normalised text. Defined results: a null or blank text or item
-    matches nothing; repeated documents give a row each; equal items (ties) each give their row; a document with a
-    null doc_id gives rows with a null doc_id; further columns are not read; an empty table on either side gives
+    ``start`` and ``end`` count characters of the normalised text. An item of fewer than ``SHORT`` characters must occur as
+    it is, without edits. Defined results: a null or blank text or item matches nothing; repeated documents give a row
+    each; equal items (ties) each give their row; a document or an item with a null id gives rows with a null id; further columns are not read; an empty table on either side gives
     an empty table; a text is searched whole.
     """
     out = None
@@ -189,7 +189,8 @@ def parts_of(spark: SparkSession, benchmark: DataFrame) -> list:
     out = []
     for k in range(parts):
         part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == k)
-        rows = sorted((r["item_id"] if r["item_id"] is not None else -1, r["text"]) for r in part.toLocalIterator())  # some PART_CHARS
+        rows = [(r["item_id"], r["text"]) for r in part.toLocalIterator()]  # some PART_CHARS
+        rows.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1]))
         out.append(spark.sparkContext.broadcast(rows))
     return out
 

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from provenant.llm.common import documents
+from provenant.llm.common import documents, free_name
 
 BLANK = r"[\x20\x09-\x0D]+"
 SYMBOL = r"[#*$%&|<>]"
@@ -105,7 +105,12 @@ def may_fail(text: Column, n_symbols: Column, n_repeats: Column) -> Column:
 
 
 def quality_rules(docs: DataFrame, text: str = "text", min_words: int = 20, max_repeat_pct: int = 30, max_lost_pct: int = 50) -> DataFrame:
-    """``docs`` with the columns of ``RESULTS`` added."""
+    """``docs`` with the columns of ``RESULTS`` added.
+
+    Defined results: a null or empty text has no words and fails the base rules; equal lines, ties and repeated rows are
+    judged each; columns called like a result are replaced, all others are kept; an empty table gives an empty table; a
+    text is judged whole, however long.
+    """
     whole = F.coalesce(F.col(text), F.lit(""))
     has_word = r"[^\x20\x09-\x0D]"
 
@@ -117,21 +122,22 @@ def quality_rules(docs: DataFrame, text: str = "text", min_words: int = 20, max_
             repeat_words(words).alias("n_repeat_words"),
         )
 
-    out = docs.drop(*RESULTS, "__quality_words", "__quality_kept")
-    out = out.withColumn("__quality_words", let(words_of(whole), measured))
+    out = docs.drop(*RESULTS)
+    seen, rest = free_name(docs, "__quality_words"), free_name(docs, "__quality_rest")
+    out = out.withColumn(seen, let(words_of(whole), measured))
     out = out.withColumn("n_symbols", (F.length(whole) - F.length(F.regexp_replace(whole, SYMBOL, ""))).cast("long"))
-    suspect = may_fail(whole, F.col("n_symbols"), F.col("__quality_words.n_repeats"))
-    out = out.withColumn("__quality_kept", F.when(suspect, F.filter(F.split(whole, "\n"), lambda x: ~line_fails(x))))
+    suspect = may_fail(whole, F.col("n_symbols"), F.col(f"{seen}.n_repeats"))
+    out = out.withColumn(rest, F.when(suspect, F.filter(F.split(whole, "\n"), lambda x: ~line_fails(x))))
     n_dup = let(F.filter(F.split(whole, "\n"), lambda x: x.rlike(has_word)), lambda x: F.size(x) - F.size(F.array_distinct(x)))
     out = out.select(
-        *[c for c in out.columns if not c.startswith("__quality_") and c != "n_symbols"],
-        F.col("__quality_words.n_words").alias("n_words"),
-        F.col("__quality_words.word_chars").alias("word_chars"),
+        *[c for c in out.columns if c not in (seen, rest, "n_symbols")],
+        F.col(f"{seen}.n_words").alias("n_words"),
+        F.col(f"{seen}.word_chars").alias("word_chars"),
         "n_symbols",
         n_dup.cast("long").alias("n_dup_lines"),
-        F.col("__quality_words.n_repeat_words").alias("n_repeat_words"),
-        F.when(F.col("__quality_kept").isNull(), 0).otherwise(F.size(F.split(whole, "\n")) - F.size("__quality_kept")).cast("long").alias("n_lines_removed"),
-        F.coalesce(F.array_join("__quality_kept", "\n"), whole).alias("clean_text"),
+        F.col(f"{seen}.n_repeat_words").alias("n_repeat_words"),
+        F.when(F.col(rest).isNull(), 0).otherwise(F.size(F.split(whole, "\n")) - F.size(rest)).cast("long").alias("n_lines_removed"),
+        F.coalesce(F.array_join(rest, "\n"), whole).alias("clean_text"),
     )
     clean_chars = F.length(F.regexp_replace("clean_text", BLANK, ""))
     out = out.withColumn("chars_removed", F.when(F.col("n_lines_removed") == 0, 0).otherwise(F.col("word_chars") - clean_chars).cast("long"))

@@ -72,3 +72,28 @@ def docs_item():
     from pyspark.sql import functions as F
 
     return F.lit("x")
+
+
+def test_null_ids(spark):
+    text = "the quick brown fox jumps over the lazy dog again"
+    docs = spark.createDataFrame([(1, text), (None, text)], "doc_id long, text string")
+    items = spark.createDataFrame([(None, text), (-1, text)], "item_id long, text string")
+    got = sorted(((r.doc_id, r.item_id) for r in contaminated(spark, docs, items).collect()), key=str)
+    assert got == sorted([(1, None), (1, -1), (None, None), (None, -1)], key=str)
+
+
+def test_query_equals_brute_force(spark):
+    sf = "/root/testdata/sf0.001"
+    texts = {r.doc_id: normal(r.text or "") for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    items = {r.item_id: normal(r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()}
+    want = {}
+    for i, pattern in items.items():
+        e = budget(len(pattern), decontaminate.EDIT_SHARE)
+        cuts = [len(pattern) * k // (e + 1) for k in range(e + 2)]
+        for d, text in texts.items():
+            # Within the budget a piece is unchanged; texts without any need no table.
+            if any(pattern[a:b] in text for a, b in zip(cuts, cuts[1:], strict=False)) and (n := distance_anywhere(pattern, text)) <= e:
+                want[d, i] = n
+    got = decontaminate.op8_decontaminate(spark, sf).collect()
+    assert want and {(r.doc_id, r.item_id): r.distance for r in got} == want and len(got) == len(want)
+    assert all(distance_anywhere(items[r.item_id], texts[r.doc_id][r.start : r.end]) == r.distance for r in got)

@@ -81,3 +81,25 @@ def test_query(spark):
     texts = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
     marks = ("Released under the MIT License.", "Licensed under CC BY-NC 4.0.", "Licensed under the Apache License, Version 2.0.", "GNU General Public License, version 3.")
     assert {r.doc_id for r in op3_license_scan(spark, "/root/testdata/sf0.01").collect()} == {i for i, t in texts.items() if any(m in t for m in marks)}
+
+
+def test_query_equals_brute_force(spark):
+    """Each row's coefficient is that of its stretch, and no text of the table holds a better one of a one-line template."""
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    grams = lambda words: Counter(zip(words, words[1:], strict=False))
+    by_name = {}
+    for name, text in TEMPLATES:
+        by_name.setdefault(name, []).append(grams(WORD.findall(text.lower())))
+    dice = lambda a, b: 2 * sum((a & b).values()) / max(1, sum(a.values()) + sum(b.values()))
+    rows = op3_license_scan(spark, "/root/testdata/sf0.001").collect()
+    assert rows
+    for r in rows:
+        found = grams(WORD.findall(texts[r.doc_id].lower())[r.start_word : r.end_word])
+        assert abs(max(dice(t, found) for t in by_name[r.license]) - r.dice) < 1e-9 and r.dice >= scans.LEAST
+    hit = {r.doc_id for r in rows}
+    for i, text in texts.items():
+        words = WORD.findall(text.lower())
+        for template in (t for ts in by_name.values() for t in ts if 3 <= sum(t.values()) <= 12):
+            n = sum(template.values())
+            if i not in hit and set(template) & set(zip(words, words[1:], strict=False)):
+                assert all(dice(template, grams(words[a : a + n + 1])) < scans.LEAST for a in range(len(words)))

@@ -70,3 +70,24 @@ def test_last_stage_decodes_its_ids(spark):
     enc = library(corpus_pipeline.RANKS, public_tokenizers.PATTERN)
     assert {r.doc_id: r.decoded for r in out} == texts
     assert all(enc.decode(np.frombuffer(r.ids, "<u4").tolist()) == r.decoded for r in out)
+
+
+def test_stages_take_clashing_names_ties_and_long_texts(spark):
+    import random
+
+    rng = random.Random(1)
+    long = " ".join(str(rng.randrange(10**6)) for _ in range(60_000)) + ". Mail a@b.cc."
+    prose = "\n".join(" ".join(f"w{rng.randrange(500)}" for _ in range(12)) for _ in range(8))
+    schema = "doc_id long, text string, lang string, n_chars long, kept int, n_words string, spans int, text_digest int, component_id int, clean_text string, base_spans int"
+    rows = [(i, t, "en", len(t), 10 + i, "n", 20, 30, 40, "c", 50) for i, t in ((1, long), (2, prose), (2, prose), (3, prose))]
+    docs = spark.createDataFrame(rows, schema)
+    own = lambda r: (r.doc_id, r.kept, r.n_words, r.spans, r.text_digest, r.component_id, r.clean_text, r.base_spans)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, DIR)
+        assert out.columns == docs.columns
+        got = out.collect()
+        want = [own(r) for r in docs.collect() if name != "near_dedup" or r.doc_id != 3]
+        assert sorted(map(own, got)) == sorted(want), name
+        (big,) = [r for r in got if r.doc_id == 1]
+        assert big.text == (long.replace("a@b.cc", "<EMAIL>") if name == "pii" else long) and big.n_chars == len(big.text)
+    assert {r.doc_id: r.decoded for r in corpus_pipeline.byte_bpe(spark, docs, DIR).collect()}[1] == long

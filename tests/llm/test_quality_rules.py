@@ -60,3 +60,20 @@ def test_plan_has_no_python_and_no_shuffle(spark):
     docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
     plan = quality_rules(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan
+
+
+def test_query_equals_brute_force(spark):
+    from provenant.llm.quality_rules import op4_quality_rules
+
+    texts = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    rows = op4_quality_rules(spark, "/root/testdata/sf0.001").collect()
+    assert {r.doc_id for r in rows} == set(texts) and len(rows) == len(texts)
+    for r in rows:
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == brute(texts[r.doc_id])
+        assert not (r.base_failed and r.kept)
+
+
+def test_other_columns_stay(spark):
+    docs = spark.createDataFrame([(1, "a b c", 5, 6, 7)], "doc_id long, text string, __quality_words int, __quality_kept int, kept int")
+    row = quality_rules(docs).first()
+    assert (row["__quality_words"], row["__quality_kept"], row.kept, row.n_words) == (5, 6, False, 3)

@@ -47,3 +47,18 @@ def test_empty_and_tiny(spark):
 def test_native(spark):
     docs = spark.createDataFrame([(1, "a"), (2, "a")], "doc_id long, text string")
     assert "Python" not in balanced_shards(spark, docs)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_query_holds_the_law(spark):
+    from provenant.llm.sharding import op9_sharding
+
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    holds(rows, op9_sharding(spark, "/root/testdata/sf0.001").collect(), 24)
+
+
+def test_long_texts_ties_and_clashing_names(spark):
+    rows = [(i, "x" * 200_000) for i in range(700)] + [(i, f"t{i}") for i in range(300)]
+    docs = spark.createDataFrame([(i, t, 9, "a", 1) for i, t in rows], "doc_id long, text string, shard int, law string, h int")
+    out = balanced_shards(spark, docs, shards=5)
+    assert out.columns == RESULT
+    holds(rows, out.collect(), 5)

@@ -43,3 +43,13 @@ def test_rows(spark, rows):
     assert out.columns == ["doc_id", "text", "lang", "n_bytes", "n_tokens", "over_limit"]
     got = sorted((tuple(r) for r in out.select("doc_id", "n_bytes", "n_tokens", "over_limit").collect()), key=str)
     assert got == sorted([(r[0], len(r[1] or ""), 2 if r[1] else 0, False) for r in rows], key=str)
+
+
+def test_query_equals_the_library(spark):
+    from provenant.llm.token_counts import op10_token_counts
+
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    got = op10_token_counts(spark, "/root/testdata/sf0.001").collect()
+    want = {i: (len(t.encode()), len(library.encode(t)), len(library.encode(t)) > 4096) for i, t in texts.items()}
+    assert {r.doc_id: (r.n_bytes, r.n_tokens, r.over_limit) for r in got} == want and len(got) == len(want)
