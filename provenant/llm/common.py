@@ -40,6 +40,15 @@ def drop_written(spark: SparkSession, *tables: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Rows of a table of counts that is broadcast; a larger one is joined by a shuffle.
+MOST_BROADCAST = 100_000
+
+
+def few(table: DataFrame) -> DataFrame:
+    """A written table marked for broadcasting where it has few rows; else as it is."""
+    return F.broadcast(table) if table.count() <= MOST_BROADCAST else table
+
+
 def segments(text: str, cut: re.Pattern[str], size: int = SEGMENT_CHARS) -> Iterator[str]:
     """``text`` in order as pieces of at least ``size`` characters, each cut where ``cut`` starts to match."""
     start = 0

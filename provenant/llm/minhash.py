@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from provenant.llm.common import documents, drop_written, written
+from provenant.llm.common import documents, drop_written, few, written
 from provenant.llm.components import connected
 from provenant.llm.shingles import mixed, shingle_sets
 
@@ -196,8 +196,10 @@ def exact_links(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
 
 def confirmed_components(spark: SparkSession, sets: DataFrame, percent: int) -> DataFrame:
     """(node, label) of ``sets`` (node, label, shingles), where label is the candidate group at first."""
-    sizes = sets.groupBy("label").agg(F.count("*").alias("m")).withColumn("blocks", F.ceil(F.col("m") / BLOCK))
-    blocked = sets.withColumnRenamed("label", "grp").join(sizes.withColumnRenamed("label", "grp"), "grp")
+    # Only the sizes of groups of several blocks are joined: they are few, and a hot group's sets stay where they are.
+    sizes = sets.groupBy(F.col("label").alias("grp")).agg(F.count("*").alias("m")).filter(F.col("m") > BLOCK)
+    sizes = written(spark, sizes.withColumn("blocks", F.ceil(F.col("m") / BLOCK)))
+    blocked = sets.withColumnRenamed("label", "grp").join(few(sizes), "grp", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     blocked = blocked.withColumn("blk", F.pmod(F.xxhash64("node"), "blocks")).withColumn("label", F.col("node"))
     cols = ["node", "label", "shingles"]
     job = F.xxhash64("grp", "blk").alias("job")
@@ -215,13 +217,13 @@ def confirmed_components(spark: SparkSession, sets: DataFrame, percent: int) ->
         drop_written(spark, edges)
         return labels
     counts = big.groupBy("grp", "label").agg(F.count("*").alias("m"))
-    few = F.col("m") <= BLOCK // 2
-    totals = counts.filter(few).groupBy("grp").agg(F.sum("m").alias("few"))
-    counts = counts.join(totals, "grp", "left").withColumn("few", F.coalesce("few", F.lit(0)))
-    place = F.when(few, F.pmod(F.xxhash64("label"), F.ceil((F.col("few") + 1) / BLOCK))).otherwise(F.lit(-1))
-    counts = counts.select("grp", "label", F.when(few, F.lit(None).cast("long")).otherwise(F.col("label")).alias("large"), place.alias("place"), F.ceil(F.col("m") / BLOCK).alias("parts"))
+    counts = written(spark, counts)
+    large = counts.filter(F.col("m") > BLOCK // 2).select("grp", "label", F.col("label").alias("large"), F.ceil(F.col("m") / BLOCK).alias("parts"))
+    rest = counts.filter(F.col("m") <= BLOCK // 2).groupBy("grp").agg(F.sum("m").alias("rest"))
+    big = big.join(few(written(spark, large)), ["grp", "label"], "left").join(few(written(spark, rest)), "grp", "left")
+    place = F.when(F.col("large").isNull(), F.pmod(F.xxhash64("label"), F.ceil((F.col("rest") + 1) / BLOCK))).otherwise(F.lit(-1))
     part = F.when(F.col("large").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("node", F.lit(2)), "parts"))
-    big = written(spark, big.join(counts, ["grp", "label"]).withColumn("blk", F.xxhash64("large", "place", part)))
+    big = written(spark, big.withColumn("blk", F.xxhash64("large", place, part)).select("grp", "node", "shingles", "label", "large", "blk"))
     blocks = big.select("grp", "blk", "large").distinct()
     other = blocks.select("grp", F.col("blk").alias("blk2"), F.col("large").alias("large2"))
     jobs = blocks.join(other, "grp").filter((F.col("blk") <= F.col("blk2")) & ~F.coalesce(F.col("large") == F.col("large2"), F.lit(False)))
