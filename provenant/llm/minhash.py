@@ -10,8 +10,9 @@
    as their two estimates do not err by more than 0.15 between them (FAR - NEAR - 0.2), three standard errors of one; a
    link of similarity 0.8 shares 13 of the 32 keys on average, and one of them is enough.
 3. Links are confirmed on full sets inside a group, block by block: first inside each block and against a few
-   members of the whole group, then only between blocks whose members are not all connected yet. A task returns a
-   spanning forest of its links, never all pairs.
+   members of the whole group, then only between blocks whose members are not all connected yet. These blocks are cut
+   by set size, and two are compared only where their sizes admit a link. A task returns a spanning forest of its
+   links, never all pairs.
 4. Components of the confirmed links.
 
 With 32 bands of 4, a link of similarity 0.8 shares no band with probability 5e-8.
@@ -19,6 +20,7 @@ With 32 bands of 4, a link of similarity 0.8 shares no band with probability 5e-
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -211,22 +213,26 @@ def confirmed_components(spark: SparkSession, sets: DataFrame, percent: int) ->
     edges = written(spark, edges.unionByName(self_edges))
     labels = connected(spark, edges)
 
-    # Groups of several blocks: compare what is not connected yet. A block holds one large label, or many small ones.
-    big = blocked.filter("blocks > 1").select("grp", "node", "shingles").join(labels, "node")
+    # Groups of several blocks: compare what is not connected yet. A block holds sets of about one size (a band is as
+    # wide as the sizes of a link may differ), of one large label or of many small ones.
+    size = F.expr("octet_length(shingles) div 8")
+    band = F.floor(F.log(size) / max(math.log(100 / percent), 0.05))
+    big = blocked.filter("blocks > 1").select("grp", "node", "shingles", band.alias("band")).join(labels, "node")
     if not big.limit(1).count():
         drop_written(spark, edges)
         return labels
-    counts = big.groupBy("grp", "label").agg(F.count("*").alias("m"))
+    counts = big.groupBy("grp", "band", "label").agg(F.count("*").alias("m"))
     counts = written(spark, counts)
-    large = counts.filter(F.col("m") > BLOCK // 2).select("grp", "label", F.col("label").alias("large"), F.ceil(F.col("m") / BLOCK).alias("parts"))
-    rest = counts.filter(F.col("m") <= BLOCK // 2).groupBy("grp").agg(F.sum("m").alias("rest"))
-    big = big.join(few(written(spark, large)), ["grp", "label"], "left").join(few(written(spark, rest)), "grp", "left")
+    large = counts.filter(F.col("m") > BLOCK // 2).select("grp", "band", "label", F.col("label").alias("large"), F.ceil(F.col("m") / BLOCK).alias("parts"))
+    rest = counts.filter(F.col("m") <= BLOCK // 2).groupBy("grp", "band").agg(F.sum("m").alias("rest"))
+    big = big.join(few(written(spark, large)), ["grp", "band", "label"], "left").join(few(written(spark, rest)), ["grp", "band"], "left")
     place = F.when(F.col("large").isNull(), F.pmod(F.xxhash64("label"), F.ceil((F.col("rest") + 1) / BLOCK))).otherwise(F.lit(-1))
     part = F.when(F.col("large").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("node", F.lit(2)), "parts"))
-    big = written(spark, big.withColumn("blk", F.xxhash64("large", place, part)).select("grp", "node", "shingles", "label", "large", "blk"))
-    blocks = big.select("grp", "blk", "large").distinct()
-    other = blocks.select("grp", F.col("blk").alias("blk2"), F.col("large").alias("large2"))
-    jobs = blocks.join(other, "grp").filter((F.col("blk") <= F.col("blk2")) & ~F.coalesce(F.col("large") == F.col("large2"), F.lit(False)))
+    big = written(spark, big.withColumn("blk", F.xxhash64("large", "band", place, part)).select("grp", "node", "shingles", "label", "large", "blk"))
+    blocks = big.groupBy("grp", "blk", "large").agg(F.min(size).alias("least"), F.max(size).alias("most"))
+    other = blocks.select("grp", *[F.col(c).alias(f"{c}2") for c in ("blk", "large", "least", "most")])
+    can_link = (100 * F.col("most") >= percent * F.col("least2")) & (100 * F.col("most2") >= percent * F.col("least"))
+    jobs = blocks.join(other, "grp").filter((F.col("blk") <= F.col("blk2")) & can_link & ~F.coalesce(F.col("large") == F.col("large2"), F.lit(False)))
     jobs = jobs.select("grp", "blk", "blk2", F.xxhash64("grp", "blk", "blk2").alias("job"))
     left = big.join(jobs.select("grp", "blk", "job"), ["grp", "blk"]).select("job", *cols)
     right = big.join(jobs.select("grp", F.col("blk2").alias("blk"), "job"), ["grp", "blk"]).select("job", *cols)

@@ -60,6 +60,18 @@ def test_large_group_in_several_blocks(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in out} == brute(rows)
 
 
+def test_large_group_of_many_sizes(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK", 16)
+    monkeypatch.setattr(minhash, "PIVOTS", 4)
+    rng = random.Random(9)
+    base = [str(rng.randrange(5000)) for _ in range(220)]
+    rows = [(i, edited(rng, base[: round(40 * 1.12 ** (i % 16))], rng.randrange(9))) for i in range(240)]
+    rows += [(240 + i, " ".join(base[: 51 + i * 64 // 50])) for i in range(14)]  # sizes at the edge of a link: 50 and 62.5
+    out = near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), shingle_words=2).collect()
+    want = brute(rows)
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in out} == want and len({c for _, c, _ in want.values()}) > 1
+
+
 def test_rows(spark):
     rows = [(5, "a b c", "x"), (5, "a b c", "y"), (None, "a b c", None), (9, "a b c", "z"), (7, None, "")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, label string")
