@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from provenant.llm import oracles
 from provenant.llm.byte_bpe import op5_byte_bpe
 from provenant.llm.decontaminate import op8_decontaminate
+from provenant.llm.fingerprints import op12_fingerprints
 from provenant.llm.importance import op11_importance
 from provenant.llm.license_scan import op3_license_scan
 from provenant.llm.minhash import op7_minhash
@@ -36,6 +37,7 @@ def queries() -> dict[str, Query]:
         "op9_sharding": op9_sharding,
         "op10_token_counts": op10_token_counts,
         "op11_importance": op11_importance,
+        "op12_fingerprints": op12_fingerprints,
         "op13_variants": op13_variants,
     }
 
