@@ -31,7 +31,7 @@ SEPARATOR = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"
 CUT = re.compile(f"[{SEPARATOR}]")
 _separators = [*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]
 #: Characters of text that one SQL statement sees; a longer text is seen in several.
-SLICE_CHARS, PIECE_CHARS = 4 << 20, 1 << 20
+SLICE_CHARS, PIECE_CHARS = 2 << 20, 1 << 20
 
 #: Words keep their order by piece and place. The word carried over from the piece before is no feature of its own again.
 FEATURES = """
@@ -78,7 +78,7 @@ class Counter:
         from duckdb import sqltypes
 
         self.buckets, self.sql = buckets, statement(buckets)
-        self.duck = duckdb.connect(config={"threads": 1, "memory_limit": "600MB", "temp_directory": ""})
+        self.duck = duckdb.connect(config={"threads": 1, "memory_limit": "500MB", "temp_directory": ""})
         self.duck.create_function("crc32", crc32, [sqltypes.VARCHAR], sqltypes.BIGINT, type="arrow")
 
     def counts(self, rows: list[tuple[int, int, bool, str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -103,15 +103,23 @@ class Counter:
 
 def counted(batches: Iterator[pa.RecordBatch], buckets: int, min_words: int) -> Iterator[pa.RecordBatch]:
     """(doc_id, enough, n_features, buckets, counts) of each row of (doc_id, text), then the task's sums under ``enough`` null."""
-    counter, sums = Counter(buckets), np.zeros(buckets, np.int64)
+    counter = Counter(buckets)
+    try:
+        yield from counted_by(counter, batches, buckets, min_words)
+    finally:
+        counter.duck.close()  # the worker lives on; DuckDB's memory does not
+
+
+def counted_by(counter: Counter, batches: Iterator[pa.RecordBatch], buckets: int, min_words: int) -> Iterator[pa.RecordBatch]:
+    sums = np.zeros(buckets, np.int64)
     enough_features = max(2 * min_words - 1, 0)  # so many words, and one pair less
-    kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64())]
+    kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.list_(pa.int16()), pa.list_(pa.int32())]
 
     def out(ids: pa.Array, doc: np.ndarray, bucket: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
         at = np.searchsorted(doc, np.arange(len(ids) + 1))
         each = np.concatenate([[0], np.cumsum(n)])[at]
         features, at = np.diff(each), pa.array(at, pa.int32())
-        lists = [pa.ListArray.from_arrays(at, pa.array(v, t)) for v, t in ((bucket, pa.int32()), (n, pa.int64()))]
+        lists = [pa.ListArray.from_arrays(at, pa.array(v, t)) for v, t in ((bucket, pa.int16()), (n, pa.int32()))]
         return pa.RecordBatch.from_arrays([ids, pa.array(features >= enough_features), pa.array(features, pa.int64()), *lists], SPILL)
 
     for batch in batches:
@@ -146,10 +154,13 @@ SPILL = ["doc_id", "enough", "n_features", "buckets", "counts"]
 def bucket_counts(spark: SparkSession, docs: DataFrame, buckets: int, min_words: int) -> DataFrame:
     """The spilled table of ``docs`` (doc_id, text): a row for each document, and one for each task whose ``enough`` is null."""
 
+    if buckets > 1 << 15:
+        raise ValueError("bucket numbers are spilled as 16-bit integers")
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return counted(batches, buckets, min_words)
 
-    return written(spark, docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(count, "doc_id long, enough boolean, n_features long, buckets array<int>, counts array<long>"))
+    return written(spark, docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(count, "doc_id long, enough boolean, n_features long, buckets array<short>, counts array<int>"))
 
 
 def merged(spill: DataFrame, buckets: int) -> np.ndarray:
@@ -177,8 +188,7 @@ def scored(spill: DataFrame, gain: np.ndarray, seed: int) -> DataFrame:
     """(doc_id, enough, n_features, weight, score) of each document of a spilled table."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, enough, n, buckets, counts = batch.columns
+        for ids, enough, n, buckets, counts in (b.slice(k, 500).columns for b in batches for k in range(0, len(b), 500)):
             sums = np.concatenate([[0], np.cumsum(gain[buckets.flatten().to_numpy()] * counts.flatten().to_numpy())])
             size = np.concatenate([[0], np.cumsum(buckets.value_lengths().to_numpy(zero_copy_only=False))])
             features = n.to_numpy()
