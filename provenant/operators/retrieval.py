@@ -37,7 +37,7 @@ def term_counts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def bm25(docs: DataFrame, queries: DataFrame, id_col: str = "doc_id", text_col: str = "text", query_id: str = "item_id", k1: float = 1.2, b: float = 0.75) -> DataFrame:
     """(query, doc, score) for each document that shares a term with a query. Only the queries' terms leave the scan."""
     wanted = queries.select(query_id, F.explode(F.array_distinct(terms(F.col(text_col)))).alias("term"))
-    sized = docs.select(id_col, terms(F.col(text_col)).alias("terms")).withColumn("n", F.size("terms"))
+    sized = docs.select(id_col, terms(F.col(text_col)).alias("terms")).withColumn("n", F.greatest(F.size("terms"), F.lit(0)))  # a null text has no terms
     stats = sized.agg(F.count("*").alias("n_docs"), F.avg("n").alias("avg_n"))
     tf = sized.select(id_col, "n", F.explode("terms").alias("term")).join(wanted.select("term").distinct(), "term", "left_semi").groupBy(id_col, "n", "term").agg(F.count("*").alias("tf"))
     df = tf.groupBy("term").agg(F.count("*").alias("df"))

@@ -1,3 +1,3 @@
 """Importing this package registers every query."""
 
-from provenant.plans import audits, catalogue  # noqa: F401
+from provenant.plans import audits, catalogue, mechanisms  # noqa: F401

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from provenant.operators import constraints, discovery, graph, ingest, jobs, metrics, planning, policy, responses, retrieval, temporal, verification, versions
+from provenant.operators import constraints, discovery, graph, ingest, jobs, lexical_index, metrics, planning, policy, responses, retrieval, temporal, verification, versions
 
 Query = Callable[[SparkSession, str], DataFrame]
 _queries: dict[str, Query] = {}
@@ -554,14 +554,11 @@ BM25 = f"""dt AS (SELECT doc_id, {TERMS} AS term FROM documents), qt AS (SELECT
  lex AS (SELECT item_id, doc_id, round(score, 6) AS score, row_number() OVER (PARTITION BY item_id ORDER BY round(score, 6) DESC, doc_id) AS rank FROM sc)"""
 
 
-def lexical(spark, sf_dir):
-    scores = retrieval.bm25(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return scores.withColumn("score", F.round("score", 6))
-
-
 @query(f"WITH {BM25} SELECT item_id, doc_id, score, rank FROM lex WHERE rank <= 50")
 def lexical_topk(spark, sf_dir):
-    return retrieval.ranked(lexical(spark, sf_dir), "item_id", "doc_id", 50)
+    """The index has blocks of one language each, so that a question passes by those of the others."""
+    index = lexical_index.build(spark, table(spark, sf_dir, "documents"), cluster=("lang",))
+    return lexical_index.topk(spark, index, table(spark, sf_dir, "benchmark"), 50)
 
 
 OVERLAP = f"""dw AS (SELECT DISTINCT doc_id, {TERMS} AS term FROM documents), qw AS (SELECT DISTINCT item_id, {TERMS} AS term FROM benchmark),

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(app: str = "provenant", cores: int | str = "*", **conf: str) -> SparkSession:
@@ -56,3 +57,10 @@ def run_dir(spark: SparkSession) -> str:
     files.mkdirs(path)
     files.deleteOnExit(path)
     return found
+
+
+def written(spark: SparkSession, rows: DataFrame, path: str | None = None) -> DataFrame:
+    """``rows`` as a table in ``path``, or in :func:`run_dir`, read again: later plans share it and a lost executor costs a re-read."""
+    path = path or f"{run_dir(spark)}/{uuid.uuid4().hex}"
+    rows.write.mode("overwrite").parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)

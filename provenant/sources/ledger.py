@@ -1,7 +1,8 @@
 """Ledger tables as append-only Parquet: fixed schemas, deterministic ids, idempotent appends, content-addressed blobs.
 
-A table is a folder with one subfolder for each batch. Writing a batch again replaces that batch's folder, so a
-retried batch adds nothing; rows whose key earlier batches hold are left out. There is one writer for a ledger.
+A table is a commit log (:mod:`provenant.sources.commits`): a batch is visible as a whole or not at all, a batch that is
+written again adds nothing, and of two writers of the same version one is refused. Rows are partitioned by their key, so
+that an append reads the keys of the partitions that it touches and no others.
 """
 
 from __future__ import annotations
@@ -10,6 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from provenant.sources import commits
+from provenant.sources.commits import ConflictError
+
 OBSERVATIONS = T.StructType([T.StructField("seq", T.LongType()), *(T.StructField(n, T.StringType()) for n in ("doc", "url", "ref", "hash")), T.StructField("size", T.LongType())])
 LOCATIONS = T.StructType([*(T.StructField(n, T.StringType()) for n in ("doc", "hash", "url")), *(T.StructField(n, T.LongType()) for n in ("first_seen", "last_seen"))])
 BLOBS = T.StructType([T.StructField("hash", T.StringType()), T.StructField("body", T.BinaryType()), T.StructField("prefix", T.StringType())])
@@ -21,36 +25,27 @@ def natural_id(*columns: str) -> Column:
     return F.sha2(F.to_json(F.struct(*(F.col(c).cast("string").alias(c) for c in columns))), 256)
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The rows of a ledger table; no rows where it does not exist yet."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())])).parquet(path).select(*schema.names)
-
+#: The one table of a folder, and the buckets of keys that it is partitioned by.
+ROWS, BUCKETS = "rows", 64
 
-def append(spark: SparkSession, path: str, rows: DataFrame, keys: list[str], batch: int, order: str | None = None, partitions: tuple[str, ...] = ()) -> DataFrame:
-    """Append the rows whose key is new, the first by ``order`` of equal keys, as batch ``batch``; returns them."""
-    earlier = spark.read.schema(T.StructType([*rows.schema.fields, T.StructField("batch", T.LongType())])).parquet(path).filter(F.col("batch") < batch) if exists(spark, path) else None
-    first = rows.groupBy(*keys).agg(F.min_by(F.struct(*rows.columns), F.col(order or keys[0])).alias("row")).select("row.*")
-    fresh = first if earlier is None else first.join(earlier.select(*keys), [first[k].eqNullSafe(earlier[k]) for k in keys], "left_anti")
-    return published(spark, fresh, path, batch, partitions)
 
+def read_table(spark: SparkSession, path: str, schema: T.StructType, version: int | None = None) -> DataFrame:
+    """The rows of a ledger table; no rows where it does not exist yet."""
+    return commits.read(spark, path, ROWS, version, schema=schema)
 
-def published(spark: SparkSession, rows: DataFrame, path: str, batch: int, partitions: tuple[str, ...] = ()) -> DataFrame:
-    """Write a batch beside the table, where no reader looks, and then move it into place as a whole."""
-    staged, final = f"{path}/_staging/{batch}", f"{path}/batch={batch}"
-    rows.write.mode("overwrite").partitionBy(*partitions).parquet(staged) if partitions else rows.write.mode("overwrite").parquet(staged)
-    source, target = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (staged, final))
-    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    files.delete(target, True)
-    if not files.rename(source, target):
-        raise OSError(f"batch {batch} could not be moved to {final}")
-    return spark.read.schema(rows.schema).parquet(final)
 
+def append(spark: SparkSession, path: str, rows: DataFrame, keys: list[str], batch: int, order: str | None = None, by: str | None = None) -> DataFrame:
+    """Append the rows whose key is new, the first by ``order`` of equal keys, as batch ``batch``; returns them.
 
-class ConflictError(ValueError):
-    """Rows that an append-only table refuses."""
+    ``by`` is a column that follows from the key; without one, rows are partitioned by a hash of the key.
+    """
+    columns, by = rows.columns, by or commits.BUCKET
+    now = commits.state(spark, path)
+    if str(batch) not in now.tokens:
+        rows = rows.withColumn(by, commits.bucket(keys, BUCKETS)) if by == commits.BUCKET else rows
+        fresh = commits.fresh(spark, path, ROWS, rows, keys, by, order)
+        commits.commit(spark, path, str(batch), {ROWS: fresh}, {ROWS: by}, now.version)
+    return commits.added(spark, path, ROWS, str(batch)).select(*columns)
 
 
 def append_audit(spark: SparkSession, path: str, rows: DataFrame, keys: list[str], batch: int, violations: DataFrame) -> DataFrame:
@@ -61,19 +56,17 @@ def append_audit(spark: SparkSession, path: str, rows: DataFrame, keys: list[str
     return append(spark, path, rows, keys, batch)
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
-
-
 def put_blobs(spark: SparkSession, path: str, bodies: DataFrame, batch: int) -> DataFrame:
-    """Store bodies (body) once by their hash, in folders by its first two digits."""
+    """Store bodies (body) once by their hash, in folders by its first two digits.
+
+    Stored bodies of the same hash must have it; those of other hashes, and folders of other digits, are not read.
+    """
     rows = bodies.select(F.sha2("body", 256).alias("hash"), "body").withColumn("prefix", F.substring("hash", 1, 2))
-    if exists(spark, path):
-        stored = read_table(spark, path, BLOBS).filter(F.sha2("body", 256) != F.col("hash"))
-        if found := stored.join(rows.select("hash"), "hash", "left_semi").select("hash").limit(1).collect():
-            raise ConflictError(f"the stored bytes of {found[0]['hash']} are not those of their hash")
-    return append(spark, path, rows, ["hash"], batch, order="hash")
+    touched = [r.prefix for r in rows.select("prefix").distinct().collect()]  # 256 at most
+    again = commits.read(spark, path, ROWS, values=touched, schema=BLOBS).join(rows.select("hash").distinct(), "hash", "left_semi")
+    if found := again.filter(F.sha2("body", 256) != F.col("hash")).select("hash").limit(1).collect():
+        raise ConflictError(f"the stored bytes of {found[0]['hash']} are not those of their hash")
+    return append(spark, path, rows, ["hash"], batch, order="hash", by="prefix")
 
 
 def put_quarantined(spark: SparkSession, path: str, quarantine: str, bodies: DataFrame, batch: int) -> DataFrame:

@@ -178,7 +178,7 @@ def test_run_is_refused_before_anything_is_sent(spark):
 
 
 def test_refused_appends(spark, tmp_path):
-    from provenant.sources import ledger
+    from provenant.sources import commits, ledger
 
     rows = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     with pytest.raises(ledger.ConflictError):
@@ -193,7 +193,7 @@ def test_refused_appends(spark, tmp_path):
     path = f"file://{tmp_path}/blobs"
     assert ledger.put_blobs(spark, path, bodies, 1).count() == 1 and ledger.put_blobs(spark, path, bodies, 2).count() == 0
     stored = ledger.read_table(spark, path, ledger.BLOBS).withColumn("body", F.encode(F.lit("y"), "UTF-8"))
-    ledger.published(spark, stored, path, 3)
+    commits.commit(spark, path, "by another way", {ledger.ROWS: stored}, {ledger.ROWS: "prefix"})
     with pytest.raises(ledger.ConflictError):
         ledger.put_blobs(spark, path, bodies, 4)
 
