@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# Token names that make a PDF active, and media types.
+# Token names that make a PDF active, media types, statuses that refuse and that reset the breaker.
 ACTIVE_TOKENS = ("Encrypt", "JavaScript", "JS", "Launch", "OpenAction", "EmbeddedFile")
 PDF_TYPES, HTML_TYPES = ("application/pdf",), ("text/html", "application/xhtml+xml")
+REFUSALS, RESETS = (401, 403, 429), (200, 304, 301, 302, 303, 307, 308)
 RETRYABLE = ("HTTP_TRANSIENT", "TIMEOUT", "TLS_ERROR")
 FAILURES = ("FAILED_TRANSIENT", "FAILED_PERMANENT", "QUARANTINED")
 
@@ -49,11 +50,11 @@ def status_outcome(status: Column) -> Column:
 
 
 def is_refusal(status: Column) -> Column:
-    return status.isin(401, 403, 429)
+    return status.isin(*REFUSALS)
 
 
 def resets_breaker(status: Column) -> Column:
-    return status.isin(200, 304, 301, 302, 303, 307, 308)
+    return status.isin(*RESETS)
 
 
 def size_problem(declared: Column, body_size: Column, wire_size: Column, max_bytes: int, max_ratio: float) -> Column:

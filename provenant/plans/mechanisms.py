@@ -6,10 +6,16 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from provenant.operators import versions
-from provenant.plans.catalogue import FIRSTS, observations, query
+from provenant.operators import folds, versions
+from provenant.plans.catalogue import FIRSTS, STREAKS, observations, query, table
 from provenant.session import run_dir
 from provenant.sources import commits
+from provenant.streaming import ordered
+
+
+def fresh_folder(spark) -> str:
+    return f"{run_dir(spark)}/{uuid.uuid4().hex}"
+
 
 # --- commit log -----------------------------------------------------------------------------------------------
 
@@ -18,7 +24,7 @@ LANGS = ("en", "de", "fr", "es")
 
 def committed(spark, sf_dir) -> str:
     """A log of the observations by language: versions and locations of a language in one commit, each tried twice."""
-    root = f"{run_dir(spark)}/{uuid.uuid4().hex}"
+    root = fresh_folder(spark)
     for lang in LANGS:
         own = observations(spark, sf_dir).filter(F.col("hash").isNotNull() & F.col("url").endswith(lang))
         tables = {
@@ -45,3 +51,77 @@ def commit_history(spark, sf_dir):
 def versions_at_commit(spark, sf_dir):
     """The versions as the second commit left them, read after the fourth."""
     return commits.read(spark, committed(spark, sf_dir), "versions", version=2)
+
+
+# --- folds, in batches and on streams -------------------------------------------------------------------------
+
+# A stream tells what lies before its watermark: the last time, in milliseconds, less the delay of an hour.
+MARK = "((SELECT max(epoch_us(ts)) FROM events) // 1000 * 1000 - 3600000000)"
+QUEUE_EVENTS = f"""WITH RECURSIVE c AS (SELECT user_id AS job_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i, epoch_us(ts) AS "at", 'w' || event_id % 2 AS worker,
+ CASE event_type WHEN 'signup' THEN 'ENQUEUE' WHEN 'purchase' THEN 'ENQUEUE' WHEN 'click' THEN 'CLAIM' WHEN 'view' THEN 'CLAIM' ELSE CASE WHEN event_id % 5 = 0 THEN 'COMPLETE' ELSE 'FAIL' END END AS kind,
+ CASE WHEN value > 10 THEN epoch_us(ts) + event_id % 7 * 3600000000 END AS retry_at, CASE WHEN event_type = 'purchase' THEN epoch_us(ts) + 7200000000 END AS run_after, event_type AS error FROM events WHERE epoch_us(ts) <= {MARK}),
+ s AS (SELECT job_id, 0 AS i, NULL::VARCHAR AS status, 0 AS attempts, 0::BIGINT AS ready, NULL::VARCHAR AS holder, false AS told, 0 AS n, NULL::BIGINT AS ripe, NULL::VARCHAR AS act, 0::BIGINT AS "at", NULL::VARCHAR AS detail FROM (SELECT DISTINCT job_id FROM c) t
+ UNION ALL SELECT job_id, i, CASE act WHEN 'ENQUEUED' THEN 'QUEUED' WHEN 'CLAIMED' THEN 'RUNNING' WHEN 'RETRY_SCHEDULED' THEN 'QUEUED' WHEN 'SUCCEEDED' THEN 'SUCCEEDED' WHEN 'FAILED' THEN 'FAILED' ELSE status END, CASE WHEN act = 'CLAIMED' THEN attempts + 1 ELSE attempts END,
+ CASE act WHEN 'ENQUEUED' THEN greatest(coalesce(run_after, "at"), "at") WHEN 'RETRY_SCHEDULED' THEN greatest(retry_at, "at") ELSE ready END, CASE WHEN act = 'CLAIMED' THEN worker WHEN act IS NOT NULL THEN NULL ELSE holder END,
+ CASE WHEN act IN ('ENQUEUED', 'RETRY_SCHEDULED') THEN false ELSE told OR ripe IS NOT NULL END, n + CASE WHEN ripe IS NULL THEN 0 ELSE 1 END + CASE WHEN act IS NULL THEN 0 ELSE 1 END, ripe, act, "at", CASE WHEN act = 'CLAIMED' THEN worker WHEN act IN ('RETRY_SCHEDULED', 'FAILED') THEN error END
+ FROM (SELECT s.job_id, c.i, s.status, s.attempts, s.ready, s.holder, s.told, s.n, c."at", c.worker, c.retry_at, c.run_after, c.error, CASE WHEN s.status = 'QUEUED' AND NOT s.told AND s.ready <= c."at" THEN s.ready END AS ripe,
+ CASE WHEN s.status IS NULL AND kind = 'ENQUEUE' THEN 'ENQUEUED' WHEN s.status = 'QUEUED' AND kind = 'CLAIM' AND s.ready <= c."at" THEN 'CLAIMED' WHEN s.status = 'RUNNING' AND s.holder = c.worker AND kind = 'COMPLETE' THEN 'SUCCEEDED'
+ WHEN s.status = 'RUNNING' AND s.holder = c.worker AND kind = 'FAIL' THEN CASE WHEN c.retry_at IS NOT NULL AND s.attempts < 3 THEN 'RETRY_SCHEDULED' ELSE 'FAILED' END END AS act FROM s JOIN c ON s.job_id = c.job_id AND c.i = s.i + 1) t)
+ SELECT job_id, (n - CASE WHEN act IS NULL THEN 1 ELSE 2 END)::BIGINT AS n, ripe AS "at", 'RUNNABLE' AS event, NULL::VARCHAR AS detail FROM s WHERE ripe IS NOT NULL
+ UNION ALL SELECT job_id, n - 1, "at", act, detail FROM s WHERE act IS NOT NULL
+ UNION ALL SELECT job_id, n, ready, 'RUNNABLE', NULL FROM (SELECT *, row_number() OVER (PARTITION BY job_id ORDER BY i DESC) AS last FROM s) t WHERE last = 1 AND status = 'QUEUED' AND NOT told AND ready <= {MARK}"""
+
+
+def commands(events):
+    """Events as commands to a queue: a job for each user, two workers, three attempts."""
+    at, k, hour = F.unix_micros(F.col("ts").cast("timestamp")), F.col("event_id"), 3_600_000_000
+    kind = F.when(F.col("event_type").isin("signup", "purchase"), "ENQUEUE").when(F.col("event_type").isin("click", "view"), "CLAIM").otherwise(F.when(k % 5 == 0, "COMPLETE").otherwise("FAIL"))
+    return events.select(
+        F.col("user_id").alias("job_id"), k.alias("seq"), F.col("ts").cast("timestamp").alias("at"), kind.alias("kind"), F.concat(F.lit("w"), (k % 2).cast("string")).alias("worker"), F.col("event_type").alias("error"),
+        F.when(F.col("event_type") == "purchase", at + 2 * hour).alias("run_after"), F.when(F.col("value") > 10, at + k % 7 * hour).alias("retry_at"), F.lit(3).alias("max_attempts"),
+    )
+
+
+def mark(spark, sf_dir) -> int:
+    last = table(spark, sf_dir, "events").agg(F.max(F.unix_micros(F.col("ts").cast("timestamp")))).first()[0]
+    return last // 1000 * 1000 - 3_600_000_000
+
+
+def streamed(spark, rows, keys, when, fold):
+    out = fresh_folder(spark)
+    ordered.run_to(spark, ordered.folded_stream(rows, keys, when, ["seq"], fold, "1 hour"), out, fresh_folder(spark)).awaitTermination()
+    return spark.read.parquet(out)
+
+
+def event_stream(spark, sf_dir):
+    """The table's files as a stream; a table of a single file is found in its folder."""
+    folder = commits.Files(spark, f"{sf_dir}/events.parquet").names("")
+    rows = spark.readStream.schema(table(spark, sf_dir, "events").schema)
+    return rows.option("pathGlobFilter", "events.parquet").parquet(sf_dir) if folder == ["events.parquet"] else rows.parquet(f"{sf_dir}/events.parquet")
+
+
+@query(QUEUE_EVENTS)
+def queue_events(spark, sf_dir):
+    """Every event that a queue's commands lead to, folded in one pass: the log that the queue appends."""
+    rows, upto = commands(table(spark, sf_dir, "events")), mark(spark, sf_dir)
+    return folds.folded(rows.filter(F.unix_micros("at") <= upto), ["job_id"], "at", ["seq"], folds.QUEUE, upto)
+
+
+@query(QUEUE_EVENTS)
+def queue_events_streamed(spark, sf_dir):
+    """The same from a stream, by state and timers."""
+    return streamed(spark, commands(event_stream(spark, sf_dir)), ["job_id"], "at", folds.QUEUE)
+
+
+@query(f"WITH {STREAKS.replace('FROM events', f'FROM events WHERE epoch_us(ts) <= {MARK}', 1)} SELECT a.run, a.seq, a.seq = t.tripped_at AS tripped FROM attempts a LEFT JOIN trips t ON a.run = t.run WHERE t.tripped_at IS NULL OR a.seq <= t.tripped_at".replace("a.seq = t.tripped_at AS", "coalesce(a.seq = t.tripped_at, false) AS"))
+def breaker_streamed(spark, sf_dir):
+    rows = event_stream(spark, sf_dir).select("*", F.col("ts").cast("timestamp").alias("at"))
+    status = F.when(F.col("event_type") == "view", 200).when(F.col("event_type") == "click", 404).when(F.col("event_type") == "error", 429).when(F.col("event_type") == "signup", 403).otherwise(500)
+    rows = rows.select(F.col("user_id").alias("run"), F.col("event_id").alias("seq"), "at", status.alias("status"))
+    return streamed(spark, rows, ["run"], "at", folds.breaker(4)).select("run", "seq", "tripped")
+
+
+@query(f"WITH a AS (SELECT user_id AS host, event_id AS seq, epoch_us(ts) AS start FROM events WHERE epoch_us(ts) <= {MARK}), w AS (SELECT host, seq, start - lag(start) OVER (PARTITION BY host ORDER BY start, seq) AS since FROM a) SELECT host, seq, since FROM w WHERE since < 3600000000")
+def pacing_streamed(spark, sf_dir):
+    rows = event_stream(spark, sf_dir).select(F.col("user_id").alias("host"), F.col("event_id").alias("seq"), F.col("ts").cast("timestamp").alias("at"))
+    return streamed(spark, rows.withColumn("end", F.lit(None).cast("long")), ["host"], "at", folds.pacing(3_600_000_000))
