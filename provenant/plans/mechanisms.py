@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from provenant.operators import folds, versions
+from provenant.operators import folds, vector_index, versions
 from provenant.plans.catalogue import FIRSTS, STREAKS, observations, query, table
 from provenant.session import run_dir
 from provenant.sources import commits
@@ -125,3 +125,14 @@ def breaker_streamed(spark, sf_dir):
 def pacing_streamed(spark, sf_dir):
     rows = event_stream(spark, sf_dir).select(F.col("user_id").alias("host"), F.col("event_id").alias("seq"), F.col("ts").cast("timestamp").alias("at"))
     return streamed(spark, rows.withColumn("end", F.lit(None).cast("long")), ["host"], "at", folds.pacing(3_600_000_000))
+
+
+# --- vector index ---------------------------------------------------------------------------------------------
+
+
+@query("""WITH s AS (SELECT q.vec_id AS query, e.vec_id AS id, round(list_cosine_similarity(q.embedding::DOUBLE[], e.embedding::DOUBLE[]), 6) AS score FROM embeddings q JOIN embeddings e ON q.vec_id % 50 = 0)
+ SELECT query, id, score, rank FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, id) AS rank FROM s) t WHERE rank <= 10""")
+def dense_topk_many(spark, sf_dir):
+    """Every row whose id 50 divides asks for its ten nearest, exactly."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return vector_index.topk(spark, vector_index.build(spark, vectors), vectors.filter("vec_id % 50 = 0"), 10, exact=True)
