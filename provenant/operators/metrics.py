@@ -37,6 +37,21 @@ def percentiles(rows: DataFrame, by: str, value: str, accuracy: int | None = Non
     return rows.groupBy(by).agg(p(0.5).alias("p50"), p(0.95).alias("p95"), p(0.99).alias("p99"), F.count("*").alias("n"))
 
 
+#: Size of a quantile sketch; ranks are off by less than 1 % of the rows, with odds of 99 in 100.
+SKETCH = 400
+
+
+def sketches(rows: DataFrame, by: list[str], value: str, k: int = SKETCH) -> DataFrame:
+    """(by, sketch, n): a mergeable KLL sketch of each key's values, to be stored for each run or day and merged when read."""
+    return rows.filter(F.col(value).isNotNull()).groupBy(*by).agg(F.kll_sketch_agg_double(F.col(value).cast("double"), k).alias("sketch"), F.count("*").alias("n"))
+
+
+def sketched_percentiles(stored: DataFrame, by: list[str], k: int = SKETCH) -> DataFrame:
+    """(by, p50, p95, p99, n) of stored sketches, however they were split."""
+    merged = stored.groupBy(*by).agg(F.kll_merge_agg_double("sketch", k).alias("sketch"), F.sum("n").alias("n"))
+    return merged.select(*by, *(F.kll_sketch_get_quantile_double("sketch", F.lit(q)).alias(f"p{round(100 * q)}") for q in (0.5, 0.95, 0.99)), "n")
+
+
 def draw(key: str, sample: int, seed: int) -> str:
     """A number below 2 ** 31 - 1 that follows from a row's key, a sample's number and the seed (SQL of either engine)."""
     x = f"(({key} % 1000003) * 48271 + {(sample * 104729 + seed * 7919) % 2147483647}) % 2147483647"

@@ -131,3 +131,26 @@ def redirect_problem(chain: Column, max_redirects: int) -> Column:
     """For a captured chain of URLs: a loop, or too many hops."""
     loop = F.size(F.array_distinct(chain)) < F.size(chain)
     return F.when(loop, "REDIRECT_LOOP").when(F.size(chain) - 1 > max_redirects, "TOO_MANY_REDIRECTS")
+
+
+def redirect_chains(starts: DataFrame, edges: DataFrame, max_redirects: int) -> DataFrame:
+    """(url, final, path, hops, problem): where requests (url) lead along redirects (src, dst), one for each src.
+
+    The walk is a recursive query that carries its path. It ends where no redirect is known; at a URL that it has seen
+    (REDIRECT_LOOP); or with more than ``max_redirects`` hops (TOO_MANY_REDIRECTS), which is told first. So no walk is longer
+    than that, whatever the redirects are.
+    """
+    spark = starts.sparkSession
+    walks = spark.sql(
+        f"""WITH RECURSIVE walk(url, final, path, problem) AS (
+        SELECT url, url, array(url), CAST(NULL AS STRING) FROM {{starts}}
+        UNION ALL
+        SELECT w.url, e.dst, array_append(w.path, e.dst),
+            CASE WHEN size(w.path) > {int(max_redirects)} THEN 'TOO_MANY_REDIRECTS' WHEN array_contains(w.path, e.dst) THEN 'REDIRECT_LOOP' END
+        FROM walk w JOIN {{edges}} e ON w.final = e.src WHERE w.problem IS NULL)
+        SELECT * FROM walk""",
+        starts=starts.filter("url is not null").select("url").distinct(),
+        edges=edges.groupBy("src").agg(F.min("dst").alias("dst")).filter("dst is not null"),
+    )
+    last = walks.groupBy("url").agg(F.max_by(F.struct("final", "path", "problem"), F.size("path")).alias("w"))
+    return last.select("url", "w.final", "w.path", (F.size("w.path") - 1).alias("hops"), "w.problem")

@@ -6,9 +6,9 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from provenant.operators import folds, vector_index, versions
+from provenant.operators import folds, fuzzy, metrics, responses, vector_index, versions
 from provenant.plans.catalogue import FIRSTS, STREAKS, observations, query, table
-from provenant.session import run_dir
+from provenant.session import run_dir, written
 from provenant.sources import commits
 from provenant.streaming import ordered
 
@@ -136,3 +136,43 @@ def dense_topk_many(spark, sf_dir):
     """Every row whose id 50 divides asks for its ten nearest, exactly."""
     vectors = table(spark, sf_dir, "embeddings")
     return vector_index.topk(spark, vector_index.build(spark, vectors), vectors.filter("vec_id % 50 = 0"), 10, exact=True)
+
+
+# --- fuzzy lookup, redirect chains, sketches --------------------------------------------------------------------
+
+GRAMS = "list_distinct(list_transform(range(1, length('  ' || lower({0}) || ' ') - 1), lambda i: substr('  ' || lower({0}) || ' ', i, 3)))"
+
+
+@query(f"""WITH n AS (SELECT p_partkey AS id, p_name || ' ' || p_type || ' ' || p_brand || ' ' || p_partkey AS name FROM part), q AS (SELECT id AS query, substr(name, 1, 3) || substr(name, 5) AS name FROM n WHERE id % 50 = 0),
+ a AS (SELECT id, {GRAMS.format('name')} AS x FROM n), b AS (SELECT query, {GRAMS.format('name')} AS y FROM q), s AS (SELECT query, id, len(list_intersect(x, y)) / (len(x) + len(y) - len(list_intersect(x, y)))::DOUBLE AS similarity FROM a, b)
+ SELECT query, id, round(similarity, 6) AS similarity FROM s WHERE similarity >= 0.7 - 1e-9""")
+def fuzzy_lookup(spark, sf_dir):
+    """Parts by a description that lacks a letter, for every part whose key 50 divides."""
+    name = F.concat_ws(" ", "p_name", "p_type", "p_brand", F.col("p_partkey").cast("string"))
+    names = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), name.alias("name"))
+    asked = names.filter("id % 50 = 0").select(F.col("id").alias("query"), F.concat(F.col("name").substr(1, 3), F.expr("substr(name, 5)")).alias("name"))
+    return fuzzy.lookup(fuzzy.build(spark, names, 0.7), asked).select("query", "id", F.round("similarity", 6).alias("similarity"))
+
+
+@query("""WITH RECURSIVE hop AS (SELECT 'u' || user_id AS src, min('u' || (user_id + event_id % 40)) AS dst FROM events WHERE event_type = 'click' AND event_id % 40 <> 0 GROUP BY user_id),
+ walk AS (SELECT DISTINCT 'u' || user_id AS url, 'u' || user_id AS final, ['u' || user_id] AS path, NULL::VARCHAR AS problem FROM events
+ UNION ALL SELECT w.url, h.dst, list_append(w.path, h.dst), CASE WHEN len(w.path) > 5 THEN 'TOO_MANY_REDIRECTS' WHEN list_contains(w.path, h.dst) THEN 'REDIRECT_LOOP' END FROM walk w JOIN hop h ON w.final = h.src WHERE w.problem IS NULL)
+ SELECT url, final, array_to_string(path, ' ') AS path, (len(path) - 1)::INT AS hops, problem FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY len(path) DESC) AS rn FROM walk) t WHERE rn = 1""")
+def redirect_chains(spark, sf_dir):
+    """Users as URLs, a click as a redirect to another user."""
+    e, name = table(spark, sf_dir, "events"), lambda c: F.concat(F.lit("u"), c.cast("string"))
+    step = F.col("event_id") % 40
+    edges = e.filter((F.col("event_type") == "click") & (step != 0)).select(name(F.col("user_id")).alias("src"), name(F.col("user_id") + step).alias("dst"))
+    out = responses.redirect_chains(e.select(name(F.col("user_id")).alias("url")), edges, 5)
+    return out.select("url", "final", F.array_join("path", " ").alias("path"), "hops", "problem")
+
+
+@query("SELECT event_type, count(*) AS n, true AS p50_near, true AS p95_near, true AS p99_near FROM events GROUP BY event_type")
+def latency_sketches(spark, sf_dir):
+    """A sketch for each day, merged over the days: the rank of each quantile lies within 1.5 % of the rows of the asked one."""
+    e = table(spark, sf_dir, "events").select("event_type", F.to_date("ts").alias("day"), "value")
+    stored = written(spark, metrics.sketches(e, ["event_type", "day"], "value"))
+    found = metrics.sketched_percentiles(stored, ["event_type"])
+    ranks = e.join(F.broadcast(found), "event_type").groupBy("event_type", "n")  # a row for each type
+    near = lambda q: (F.abs(F.count_if(F.col("value") <= F.col(f"p{round(100 * q)}")) / F.col("n") - q) <= 0.015 + 1 / F.col("n")).alias(f"p{round(100 * q)}_near")
+    return ranks.agg(*(near(q) for q in (0.5, 0.95, 0.99))).select("event_type", "n", "p50_near", "p95_near", "p99_near")
