@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -70,15 +74,34 @@ def weight(sample: int) -> str:
     return f"CASE {steps} ELSE {len(POISSON)} END"
 
 
+def weights(keys: np.ndarray, samples: int, seed: int) -> np.ndarray:
+    """:func:`draw` and :func:`weight` of many keys (not negative) for all samples, by key and sample."""
+    x = (keys[:, None] % 1000003 * 48271 + (np.arange(samples, dtype=np.int64) * 104729 + seed * 7919) % 2147483647) % 2147483647
+    for _ in range(3):
+        x = (x * 69621 + 12345) % 2147483647
+    return np.searchsorted(np.array(POISSON), x, "left").astype(float)
+
+
 def bootstrap_mean(rows: DataFrame, key: str, value: str, samples: int, seed: int) -> DataFrame:
     """(mean, low, high): a mean with its 95 % interval by Poisson weights drawn from each row's key.
 
     A row's weights depend on its key and the samples' numbers only, so the result is the same whatever the partitioning.
-    One aggregate with two sums for each sample: no row is copied, and a task sends one row.
+    A task adds up the weights of some thousand rows at a time for all samples and sends a row for each sample.
     """
-    drawn = rows.select(F.col(value).cast("double").alias("v"), *(F.expr(draw(key, i, seed)).alias(f"d{i}") for i in range(samples)))
-    sums = [F.expr(f"sum(({weight(i)}) * v) / nullif(sum({weight(i)}), 0)") for i in range(samples)]
-    out = drawn.agg(F.avg("v").alias("mean"), F.array(*sums).alias("means"))
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, weighted = np.zeros(samples), np.zeros(samples)
+        for batch in batches:
+            keys, values = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for at in range(0, len(keys), 4096):
+                w = weights(keys[at : at + 4096], samples, seed)
+                total += w.sum(0)
+                weighted += values[at : at + 4096] @ w
+        yield pa.RecordBatch.from_arrays([pa.array(range(samples)), pa.array(total), pa.array(weighted)], ["sample", "w", "wv"])
+
+    kept = rows.select(F.col(key).cast("long").alias("key"), F.col(value).cast("double").alias("v")).filter("key is not null and v is not null")
+    each = kept.mapInArrow(weigh, "sample long, w double, wv double").groupBy("sample").agg((F.sum("wv") / F.nullif(F.sum("w"), F.lit(0.0))).alias("m"))
+    out = each.agg(F.collect_list("m").alias("means")).join(F.broadcast(rows.agg(F.avg(F.col(value).cast("double")).alias("mean"))))  # one row each
     ordered = F.array_sort(F.filter("means", lambda m: m.isNotNull()))
     at = lambda q: F.element_at(ordered, F.greatest(F.ceil(F.size(ordered) * q), F.lit(1)).cast("int"))
     return out.select("mean", at(0.025).alias("low"), at(0.975).alias("high"))

@@ -3,15 +3,16 @@
 Sequential ledger rules in closed form: the first row of (doc, hash) makes a version, the first row of
 (doc, hash, url) a location, every other row changes nothing. "First" is a minimum per key, aggregated before the
 shuffle and joined back, so one hash that holds a large share of the log is no hot window; AQE splits the skewed side of
-the joins. Only the numbering of versions is a window, over the distinct versions of one document.
+the joins. What follows an order inside a document or URL goes by stretches of that order (:mod:`provenant.operators.ranks`).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from provenant.operators import ranks
+
 NEW, MOVED, SAME = "NEW_VERSION", "NEW_LOCATION_SAME_VERSION", "UNCHANGED_SKIPPED"
 FAILED = "FAILED_PERMANENT"
 
@@ -21,40 +22,36 @@ def first_seen(obs: DataFrame, keys: list[str], name: str) -> DataFrame:
     return obs.filter("hash is not null").groupBy(*keys).agg(F.min("seq").alias(name))
 
 
-def with_firsts(obs: DataFrame) -> DataFrame:
-    """The log with the first seq of its (doc, hash), (doc, hash, url) and hash."""
-    out = obs
-    for keys, name in ((["doc", "hash"], "first_version"), (["doc", "hash", "url"], "first_location"), (["hash"], "first_hash")):
-        out = out.join(first_seen(obs, keys, name), keys, "left")
-    return out
-
-
 def known_locations(obs: DataFrame) -> DataFrame:
     """First row with a body at each (doc, url): from then on a 304 there has a version to point to."""
     return first_seen(obs, ["doc", "url"], "first_at_url")
 
 
 def outcomes(obs: DataFrame) -> DataFrame:
-    """(seq, doc, url, hash, outcome, reason) of every observation."""
-    out = with_firsts(obs).join(known_locations(obs), ["doc", "url"], "left")
-    is_304 = F.col("hash").isNull()
-    known = F.col("first_at_url") < F.col("seq")
-    outcome = (
-        F.when(is_304 & known, SAME)
-        .when(is_304, FAILED)
-        .when(F.col("seq") == F.col("first_version"), NEW)
-        .when(F.col("seq") == F.col("first_location"), MOVED)
-        .otherwise(SAME)
-    )
-    reason = F.when(is_304 & known, "NOT_MODIFIED").when(is_304, "HTTP_PERMANENT")
-    return out.select("seq", "doc", "url", "hash", outcome.alias("outcome"), reason.alias("reason"))
+    """(seq, doc, url, hash, outcome, reason) of every observation.
+
+    Rows with a body meet the first row of their (doc, hash) and (doc, hash, url), 304 answers the first body at their URL;
+    so a 304 has no part in a join on the hash that it lacks.
+    """
+    body = obs.filter("hash is not null").select("seq", "doc", "url", "hash")
+    for keys, name in ((["doc", "hash"], "first_version"), (["doc", "hash", "url"], "first_location")):
+        body = body.join(first_seen(obs, keys, name), keys, "left")
+    outcome = F.when(F.col("seq") == F.col("first_version"), NEW).when(F.col("seq") == F.col("first_location"), MOVED).otherwise(SAME)
+    body = body.select("seq", "doc", "url", "hash", outcome.alias("outcome"), F.lit(None).cast("string").alias("reason"))
+    answers = obs.filter("hash is null").select("seq", "doc", "url", "hash").join(known_locations(obs), ["doc", "url"], "left")
+    known = F.coalesce(F.col("first_at_url") < F.col("seq"), F.lit(False))
+    answers = answers.select("seq", "doc", "url", "hash", F.when(known, SAME).otherwise(FAILED).alias("outcome"), F.when(known, "NOT_MODIFIED").otherwise("HTTP_PERMANENT").alias("reason"))
+    return body.unionByName(answers)
 
 
 def versions(obs: DataFrame) -> DataFrame:
-    """(doc, version_no, seq, hash, previous_hash): new versions only, numbered in order of creation."""
-    new = with_firsts(obs).filter("seq = first_version")
-    order = W.partitionBy("doc").orderBy("seq")
-    return new.select("doc", F.row_number().over(order).cast("long").alias("version_no"), "seq", "hash", F.lag("hash").over(order).alias("previous_hash"), "first_hash")
+    """(doc, version_no, seq, hash, previous_hash, first_hash): new versions only, numbered in order of creation.
+
+    ``first_hash`` is the first row of any document with these bytes. A document of many versions is numbered by stretches.
+    """
+    new = first_seen(obs, ["doc", "hash"], "seq").join(first_seen(obs, ["hash"], "first_hash"), "hash")
+    out = ranks.numbered(new, ["doc"], "seq", "hash", "version_no", "previous_hash")
+    return out.select("doc", "version_no", "seq", "hash", "previous_hash", "first_hash")
 
 
 def alerts(obs: DataFrame) -> DataFrame:
@@ -68,10 +65,16 @@ def alerts(obs: DataFrame) -> DataFrame:
 
 
 def resolved_304(obs: DataFrame) -> DataFrame:
-    """(seq, doc, hash): the version a 304 stands for, the last created among those already seen at its URL."""
-    located = first_seen(obs, ["doc", "url", "hash"], "seen").join(first_seen(obs, ["doc", "hash"], "created"), ["doc", "hash"])
-    asked = obs.filter("hash is null").select("seq", "doc", "url")
-    return asked.join(located, ["doc", "url"]).filter("seen < seq").groupBy("seq", "doc").agg(F.max_by("hash", "created").alias("hash"))
+    """(seq, doc, url, hash): the version a 304 stands for, the last created among those already seen at its URL.
+
+    Places and 304 answers of a URL lie in one order, along which the last created version so far is carried; no pairs of
+    answers and versions are made, and a URL of many of both is handled by stretches.
+    """
+    located = first_seen(obs, ["doc", "url", "hash"], "seq").join(first_seen(obs, ["doc", "hash"], "created"), ["doc", "hash"])
+    located = located.select("doc", "url", "seq", F.struct("created", "hash").alias("place"))
+    asked = obs.filter("hash is null").select("doc", "url", "seq", F.lit(None).cast(located.schema["place"].dataType).alias("place"))
+    carried = ranks.running_max(located.unionByName(asked), ["doc", "url"], "seq", "place", "last")
+    return carried.filter("place is null and last is not null").select("seq", "doc", "url", F.col("last.hash").alias("hash"))
 
 
 def latest_versions(obs: DataFrame) -> DataFrame:
@@ -86,7 +89,7 @@ def hash_history(obs: DataFrame) -> DataFrame:
 def location_seen(obs: DataFrame) -> DataFrame:
     """(doc, hash, url, first_seen, last_seen): 304 answers move last_seen too; late rows never move it back."""
     full = obs.filter("hash is not null").select("seq", "doc", "hash", "url")
-    again = resolved_304(obs).join(obs.select("seq", "url"), "seq").select("seq", "doc", "hash", "url")
+    again = resolved_304(obs).select("seq", "doc", "hash", "url")
     first = full.groupBy("doc", "hash", "url").agg(F.min("seq").alias("first_seen"))
     last = full.unionByName(again).groupBy("doc", "hash", "url").agg(F.max("seq").alias("last_seen"))
     return first.join(last, ["doc", "hash", "url"])

@@ -112,7 +112,7 @@ def ledger_hash_history(spark, sf_dir):
 
 @query(f"WITH {RESOLVED} SELECT seq, doc, hash FROM resolved")
 def ledger_resolved_304(spark, sf_dir):
-    return versions.resolved_304(observations(spark, sf_dir))
+    return versions.resolved_304(observations(spark, sf_dir)).select("seq", "doc", "hash")
 
 
 @query(f"""WITH {RESOLVED}, seen AS (SELECT doc, hash, url, seq FROM body UNION ALL SELECT doc, hash, url, seq FROM resolved),
