@@ -29,16 +29,21 @@ def ingest(candidates: DataFrame, attempts: DataFrame, earlier: DataFrame) -> Da
 
     ``candidates``: document_key, scope_reason, document_url, url_reason, ref. ``attempts``: document_key, seq, status,
     failure, quarantine, rejected, hash, size (failure and quarantine as the transport reported them, rejected by the
-    response rules). ``earlier``: the observation log so far, with smaller seqs. Only admitted bodies and 304 answers
-    become observations, so quarantined bytes never reach the ledger.
+    response rules), and where it is known store_error, for which the store did not take a valid body: the candidate then
+    ends as VALIDATED. (STORED is passed through only; a candidate that the ledger refuses ends its run.) ``earlier``: the
+    observation log so far, with smaller seqs. Only stored bodies and 304 answers become observations, so quarantined bytes
+    never reach the ledger.
     """
+    if "store_error" not in attempts.columns:
+        attempts = attempts.withColumn("store_error", F.lit(None).cast("string"))
     rows = candidates.join(final_attempts(attempts), "document_key", "left")
     outcome, reason = refused(F.col("scope_reason"), F.col("document_url"), F.col("url_reason"))
     status = responses.status_outcome(F.col("status"))
     failure = F.coalesce("failure", F.when(status.isin("HTTP_TRANSIENT", "HTTP_PERMANENT"), status))
     rows = rows.withColumn("pre_outcome", outcome).withColumn("pre_reason", reason).withColumn("failed", failure)
     fetched = F.col("pre_outcome").isNull() & F.col("failed").isNull() & F.col("seq").isNotNull()
-    admitted = rows.filter(fetched & F.col("rejected").isNull())
+    unstored = F.col("rejected").isNull() & (F.col("status") == 200) & F.col("store_error").isNotNull()
+    admitted = rows.filter(fetched & F.col("rejected").isNull() & ~F.coalesce(unstored, F.lit(False)))
     log = earlier.unionByName(admitted.select("seq", F.col("document_key").alias("doc"), F.col("document_url").alias("url"), "ref", F.when(F.col("status") == 200, F.col("hash")).alias("hash"), "size"))
     known = versions.outcomes(log).select("seq", F.col("outcome").alias("ledger_outcome"), F.col("reason").alias("ledger_reason"))
     # Candidates without a response have no seq: they stay out of the join, where they would all meet in one task.
@@ -46,9 +51,9 @@ def ingest(candidates: DataFrame, attempts: DataFrame, earlier: DataFrame) -> Da
     silent = rows.filter("seq is null").withColumns({"ledger_outcome": none, "ledger_reason": none})
     rows = rows.filter("seq is not null").join(known, "seq", "left").unionByName(silent)
     routed = responses.routed(F.col("failed"), F.col("quarantine"))
-    final = F.coalesce("pre_outcome", routed, F.when(F.col("rejected").isNotNull(), "QUARANTINED"), "ledger_outcome", F.lit("FAILED_TRANSIENT"))
-    why = F.coalesce("pre_reason", F.when(routed.isNotNull(), F.coalesce("quarantine", "failed")), "rejected", "ledger_reason", F.when(F.col("seq").isNull(), "NO_RESPONSE"))
-    stage = F.when(F.col("pre_outcome").isNotNull() | F.col("seq").isNull() | routed.isNotNull(), STAGES[0]).when(F.col("rejected").isNotNull() | (F.col("status") == 304), STAGES[1]).otherwise(STAGES[4])
+    final = F.coalesce("pre_outcome", routed, F.when(F.col("rejected").isNotNull(), "QUARANTINED"), F.when(unstored, "FAILED_PERMANENT"), "ledger_outcome", F.lit("FAILED_TRANSIENT"))
+    why = F.coalesce("pre_reason", F.when(routed.isNotNull(), F.coalesce("quarantine", "failed")), "rejected", F.when(unstored, F.col("store_error")), "ledger_reason", F.when(F.col("seq").isNull(), "NO_RESPONSE"))
+    stage = F.when(F.col("pre_outcome").isNotNull() | F.col("seq").isNull() | routed.isNotNull(), STAGES[0]).when(F.col("rejected").isNotNull() | (F.col("status") == 304), STAGES[1]).when(unstored, STAGES[2]).otherwise(STAGES[4])
     sent = F.when(F.col("pre_outcome").isNull(), F.coalesce("attempts", F.lit(0))).otherwise(0)
     return rows.select("document_key", final.alias("outcome"), why.alias("reason"), stage.alias("stage"), sent.cast("long").alias("attempts"))
 

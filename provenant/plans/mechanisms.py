@@ -6,8 +6,8 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from provenant.operators import folds, fuzzy, metrics, responses, vector_index, versions
-from provenant.plans.catalogue import FIRSTS, STREAKS, observations, query, table
+from provenant.operators import discovery, folds, fuzzy, metrics, policy, responses, runs, vector_index, versions
+from provenant.plans.catalogue import FIRSTS, HOSTS, REFS, STREAKS, observations, query, table
 from provenant.session import run_dir, written
 from provenant.sources import commits
 from provenant.streaming import ordered
@@ -176,3 +176,59 @@ def latency_sketches(spark, sf_dir):
     ranks = e.join(F.broadcast(found), "event_type").groupBy("event_type", "n")  # a row for each type
     near = lambda q: (F.abs(F.count_if(F.col("value") <= F.col(f"p{round(100 * q)}")) / F.col("n") - q) <= 0.015 + 1 / F.col("n")).alias(f"p{round(100 * q)}_near")
     return ranks.agg(*(near(q) for q in (0.5, 0.95, 0.99))).select("event_type", "n", "p50_near", "p95_near", "p99_near")
+
+
+# --- whole runs -----------------------------------------------------------------------------------------------
+
+RUN_RESULTS = f"""{REFS}, c AS (SELECT page_id, page_id % 25 AS run, 1000000 - page_id AS position, CASE WHEN page_id % 13 = 0 THEN 'DOCUMENT_TYPE_NOT_IN_SCOPE' END AS scope, CASE WHEN page_id % 4 = 0 THEN 'https://docs.example/' || page_id END AS own,
+ CASE WHEN page_id % 24 = 0 THEN 'HOST_NOT_ALLOWED' END AS bad, CASE WHEN page_id % 17 = 0 THEN NULL WHEN page_id % 9 = 0 THEN 503 WHEN page_id % 9 = 1 THEN 404 WHEN page_id % 9 = 2 THEN 429 ELSE 200 END AS page_status, page_id % 19 = 0 AS page_bad,
+ CASE page_id % 7 WHEN 0 THEN 503 WHEN 1 THEN 403 ELSE 200 END AS status FROM pages),
+ fine AS (SELECT page_id, regexp_replace(resolved, '#.*$', '') AS target FROM full_refs WHERE regexp_matches(resolved, '^https://({'|'.join(HOSTS)})(/|$)') AND length(resolved) <= 200 AND NOT regexp_matches(resolved, '[\\x00-\\x20\\x7f-\\x9f\\\\]')
+ AND NOT regexp_matches(resolved, '\\?[^#]') AND NOT regexp_matches(substr(resolved, 9), '//') AND NOT regexp_matches(regexp_replace(resolved, '[?#].*$', ''), '[^\\x00-\\x7f]')),
+ ok AS (SELECT page_id, count(DISTINCT target) AS n, min(target) AS target FROM fine GROUP BY page_id),
+ d AS (SELECT c.*, coalesce(n, 0) AS n, scope IS NULL AND own IS NULL AS behind, CASE WHEN scope IS NOT NULL OR own IS NOT NULL THEN NULL WHEN page_status IS NULL THEN 'NO_RESPONSE' WHEN page_status IN (503, 429) THEN 'HTTP_TRANSIENT' WHEN page_status = 404 THEN 'HTTP_PERMANENT' WHEN page_bad THEN 'SIZE_EXCEEDED'
+ WHEN n > 1 THEN 'AMBIGUOUS_ATTACHMENT_REFERENCES' WHEN n IS NULL THEN 'NO_VALID_ATTACHMENT_REFERENCES' END AS page_reason, ok.target FROM c LEFT JOIN ok ON c.page_id = ok.page_id),
+ u AS (SELECT *, coalesce(own, CASE WHEN behind AND page_reason IS NULL THEN target END) AS url FROM d),
+ q AS (SELECT run, position, -1 AS seq, page_status AS status FROM u WHERE behind AND page_status IS NOT NULL UNION ALL SELECT run, position, page_id, status FROM u WHERE scope IS NULL AND url IS NOT NULL AND bad IS NULL),
+ i AS (SELECT *, sum(CASE WHEN status = 200 THEN 1 ELSE 0 END) OVER (PARTITION BY run ORDER BY position, seq) AS island FROM q), k AS (SELECT *, sum(CASE WHEN status IN (403, 429) THEN 1 ELSE 0 END) OVER (PARTITION BY run, island ORDER BY position, seq) AS refusals FROM i),
+ stops AS (SELECT run, min(position) AS last FROM k WHERE status IN (403, 429) AND refusals >= 2 GROUP BY run),
+ r AS (SELECT u.run, u.position, u.page_id AS document_key, u.url AS document_url,
+ CASE WHEN u.position = s.last THEN 'FAILED_TRANSIENT' WHEN page_reason IN ('NO_RESPONSE', 'HTTP_TRANSIENT') THEN 'FAILED_TRANSIENT' WHEN page_reason = 'HTTP_PERMANENT' THEN 'FAILED_PERMANENT' WHEN page_reason = 'SIZE_EXCEEDED' THEN 'QUARANTINED' WHEN page_reason IS NOT NULL THEN 'UNRESOLVED'
+ WHEN scope IS NOT NULL THEN 'OUT_OF_SCOPE' WHEN bad IS NOT NULL THEN 'QUARANTINED' WHEN status = 503 THEN 'FAILED_TRANSIENT' WHEN status = 403 THEN 'FAILED_PERMANENT' WHEN page_id % 11 = 3 THEN 'QUARANTINED' WHEN page_id % 29 = 5 THEN 'FAILED_PERMANENT' WHEN page_id % 12 = 4 THEN 'UNCHANGED_SKIPPED' ELSE 'NEW_VERSION' END AS outcome,
+ CASE WHEN u.position = s.last THEN 'CIRCUIT_OPEN' WHEN page_reason IS NOT NULL THEN page_reason WHEN scope IS NOT NULL THEN scope WHEN bad IS NOT NULL THEN bad WHEN status = 503 THEN 'HTTP_TRANSIENT' WHEN status = 403 THEN 'HTTP_PERMANENT' WHEN page_id % 11 = 3 THEN 'PDF_SANITY_FAILED' WHEN page_id % 29 = 5 THEN 'BlobStoreError' END AS reason,
+ CASE WHEN u.position = s.last OR page_reason IS NOT NULL OR scope IS NOT NULL OR bad IS NOT NULL OR status <> 200 THEN 'DISCOVERED' WHEN page_id % 11 = 3 THEN 'FETCHED' WHEN page_id % 29 = 5 THEN 'VALIDATED' ELSE 'VERSIONED' END AS stage,
+ CASE WHEN u.position = s.last THEN 1 WHEN page_reason = 'NO_RESPONSE' THEN 0 WHEN page_reason IS NOT NULL THEN 1 WHEN scope IS NOT NULL OR bad IS NOT NULL THEN 0 ELSE 1 END::BIGINT AS attempts, behind, n FROM u LEFT JOIN stops s ON u.run = s.run WHERE s.last IS NULL OR u.position <= s.last)"""
+
+
+def page_runs(spark, sf_dir):
+    """Twenty-five runs over the pages, last page first; a page in four has a document of its own, the others show theirs (chosen, found, results)."""
+    pages, k = table(spark, sf_dir, "pages"), F.col("page_id")
+    own = F.when(k % 4 == 0, F.concat(F.lit("https://docs.example/"), k.cast("string")))
+    candidates = pages.select(
+        k.alias("document_key"), F.when(k % 13 == 0, "DOCUMENT_TYPE_NOT_IN_SCOPE").alias("scope_reason"), own.alias("document_url"), F.when(k % 24 == 0, "HOST_NOT_ALLOWED").alias("url_reason"), F.lit(None).cast("string").alias("ref"), "page_id",
+    )
+    chosen = runs.selected(candidates, pages.select((k % 25).alias("run"), (1_000_000 - k).alias("position"), k.alias("document_key")))
+    status = F.when(k % 9 == 0, 503).when(k % 9 == 1, 404).when(k % 9 == 2, 429).otherwise(200)
+    captured = pages.filter(k % 17 != 0).select("page_id", status.alias("status"), F.when(k % 19 == 0, "SIZE_EXCEEDED").alias("rejected"), F.col("html").alias("text"))
+    judged = discovery.judged_references(discovery.page_references(pages), lambda url: policy.url_reason(url, HOSTS, ["/"], 200))
+    found, none, digest = discovery.attachments(pages, judged), F.lit(None).cast("string"), F.sha2("html", 256)
+    attempts = pages.select(
+        k.alias("document_key"), k.alias("seq"), F.when(k % 7 == 0, 503).when(k % 7 == 1, 403).otherwise(200).alias("status"), none.alias("failure"), none.alias("quarantine"),
+        F.when(k % 11 == 3, "PDF_SANITY_FAILED").alias("rejected"), F.when(k % 29 == 5, "BlobStoreError").alias("store_error"), digest.alias("hash"), F.length("html").cast("long").alias("size"),
+    )
+    earlier = pages.filter(k % 12 == 4).select((k - 10**9).alias("seq"), k.alias("doc"), own.alias("url"), none.alias("ref"), digest.alias("hash"), F.length("html").cast("long").alias("size"))
+    return chosen, found, runs.results(chosen, captured, found, attempts, earlier, 2)
+
+
+@query(f"WITH {RUN_RESULTS} SELECT run, position, document_key, document_url, outcome, reason, stage, attempts FROM r")
+def run_complete(spark, sf_dir):
+    return page_runs(spark, sf_dir)[2]
+
+
+@query(f"""WITH {RUN_RESULTS}, o AS (SELECT run, string_agg(outcome || '=' || n, ',' ORDER BY outcome) AS outcomes, sum(n)::BIGINT AS processed FROM (SELECT run, outcome, count(*) AS n FROM r GROUP BY 1, 2) t GROUP BY run),
+ f AS (SELECT run, string_agg(found || '=' || n, ',' ORDER BY found) AS discovery FROM (SELECT run, CASE WHEN n = 0 THEN 'UNRESOLVED' WHEN n = 1 THEN 'DISCOVERED' ELSE 'AMBIGUOUS' END AS found, count(*) AS n FROM r WHERE behind GROUP BY 1, 2) t GROUP BY run)
+ SELECT p.run, CASE WHEN bool_or(r.reason = 'CIRCUIT_OPEN') THEN 'ABORTED' WHEN bool_or(r.outcome IN ('FAILED_TRANSIENT', 'FAILED_PERMANENT', 'QUARANTINED')) THEN 'COMPLETED_WITH_FAILURES' ELSE 'COMPLETED' END AS status, CASE WHEN bool_or(r.reason = 'CIRCUIT_OPEN') THEN 'CIRCUIT_OPEN' END AS abort_reason,
+ p.planned, o.processed, o.outcomes, coalesce(any_value(f.discovery), '') AS discovery FROM (SELECT run, count(*) AS planned FROM c GROUP BY run) p JOIN o ON p.run = o.run JOIN r ON r.run = p.run LEFT JOIN f ON f.run = p.run GROUP BY p.run, p.planned, o.processed, o.outcomes""")
+def run_statistics(spark, sf_dir):
+    chosen, found, results = page_runs(spark, sf_dir)
+    return runs.statistics(chosen, written(spark, results), found)
