@@ -6,7 +6,7 @@ import unicodedata
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -83,6 +83,34 @@ def search(docs: DataFrame, vectors: DataFrame, queries: DataFrame, vector: list
     return capped(order, "item_id", "source", per_group, k).select("item_id", "doc_id", "source", "rank", "position")
 
 
+def search_all(spark: SparkSession, docs: DataFrame, vectors: DataFrame, questions: DataFrame, identifiers_of: Callable[[Column], Column], depth: int = 50, rerank: int = 30, per_group: int = 3, k: int = 8) -> DataFrame:
+    """(item_id, doc_id, source, rank, n_lists, coverage, position) for a set of questions over documents that have passed the
+    hard filters.
+
+    ``docs``: doc_id, text, source (other columns are for the filters). ``vectors``: doc_id, embedding. ``questions``: item_id,
+    text, embedding. Three lists, each ``depth`` deep, are fused: lexical and dense, from indexes of the filtered documents,
+    and by identifiers, which are looked for in the folded text. The first ``rerank`` of the fusion are ordered anew by the
+    share of the question's terms that a document has, then by rank, and ``k`` are taken, ``per_group`` of a source at most.
+    """
+    from provenant.operators import lexical_index, vector_index
+
+    words = lexical_index.topk(spark, lexical_index.build(spark, docs.select("doc_id", "text")), questions, depth)
+    held = vectors.join(docs.select("doc_id"), "doc_id", "left_semi")
+    near = vector_index.topk(spark, vector_index.build(spark, held, "doc_id"), questions, depth, query_id="item_id")
+    near = near.select(F.col("query").alias("item_id"), F.col("id").alias("doc_id"), "rank")
+    folded = lambda rows, key: rows.select(key, nfkc_folded("text").alias("text"))
+    named = ranked(identifier_hits(folded(docs, "doc_id"), folded(questions, "item_id"), identifiers_of), "item_id", "doc_id", depth)
+    fused = rrf([words, near, named], "item_id", "doc_id").withColumn("score", F.round("score", 6))
+    first = ranked(fused, "item_id", "doc_id", rerank).select("item_id", "doc_id", "rank", "n_lists")
+    texts = docs.select("doc_id", "source", F.array_distinct(terms(F.col("text"))).alias("held"))
+    asked = questions.select("item_id", F.array_distinct(terms(F.col("text"))).alias("asked"))
+    rows = first.join(texts, "doc_id").join(asked, "item_id")
+    rows = rows.withColumn("coverage", F.round(F.size(F.array_intersect("asked", "held")) / F.size("asked"), 6)).drop("asked", "held")
+    order = F.row_number().over(W.partitionBy("item_id").orderBy(F.desc("coverage"), "rank")).cast("long")
+    chosen = capped(rows.withColumn("fused_rank", F.col("rank")).withColumn("rank", order), "item_id", "source", per_group, k)
+    return chosen.select("item_id", "doc_id", "source", F.col("fused_rank").alias("rank"), "n_lists", "coverage", "position")
+
+
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Distinct texts with their first document and how many have them."""
     return docs.groupBy(F.sha2(text_col, 256).alias("hash")).agg(F.min(id_col).alias("first_doc"), F.count("*").alias("n_docs"))

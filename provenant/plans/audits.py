@@ -180,13 +180,16 @@ ADDRESSES = [
 ADDRESS_ROWS = "addresses(n, address, public) AS (VALUES " + ", ".join(f"({n}, '{a}', {str(p).lower()})" for n, (a, p) in enumerate(ADDRESSES)) + ")"
 
 
-def addresses(spark):
-    return spark.createDataFrame([(n, a) for n, (a, _) in enumerate(ADDRESSES)], "n long, address string")
+def one_of(cases, n):
+    """The case that a row's number picks, from a short list of constants."""
+    return F.get(F.array(*map(F.lit, cases)), (n % len(cases)).cast("int"))
 
 
-@query(f"WITH {ADDRESS_ROWS} SELECT n::BIGINT AS n, address, public FROM addresses")
+@query(f"WITH {ADDRESS_ROWS} SELECT c_custkey, address, public FROM customer JOIN addresses ON n = c_custkey % {len(ADDRESSES)}")
 def address_cases(spark, sf_dir):
-    return addresses(spark).select("n", "address", policy.public_address("address").alias("public"))
+    """Each customer has one of the addresses."""
+    rows = table(spark, sf_dir, "customer").select("c_custkey", one_of([a for a, _ in ADDRESSES], F.col("c_custkey")).alias("address"))
+    return rows.select("c_custkey", "address", policy.public_address("address").alias("public"))
 
 
 @query(f"WITH {ADDRESS_ROWS}, u AS (SELECT DISTINCT user_id FROM events) SELECT u.user_id, (CASE WHEN a.n = b.n THEN 1 ELSE 2 END)::BIGINT AS n_answers, a.public AND b.public AS public FROM u JOIN addresses a ON a.n = u.user_id % {len(ADDRESSES)} JOIN addresses b ON b.n = (u.user_id * 7 + 3) % {len(ADDRESSES)}")
@@ -206,9 +209,23 @@ HOST_CASES = [
 ]
 
 
-@query("SELECT * FROM (VALUES " + ", ".join(f"('{h}', {str(v).lower()}, '{a}')" for h, v, a in HOST_CASES) + ") t(host, literal, ascii)")
+HOST_ROWS = "hosts(n, host, literal, ascii) AS (VALUES " + ", ".join(f"({n}, '{h}', {str(v).lower()}, '{a}')" for n, (h, v, a) in enumerate(HOST_CASES)) + ")"
+
+
+@query(f"WITH {HOST_ROWS} SELECT page_id, host, literal, ascii FROM pages JOIN hosts ON n = page_id % {len(HOST_CASES)}")
 def host_cases(spark, sf_dir):
-    return spark.createDataFrame([(h,) for h, *_ in HOST_CASES], "host string").select("host", policy.ip_literal(F.col("host")).alias("literal"), policy.ascii_host(F.col("host")).alias("ascii"))
+    """Each page is said to come from one of the hosts."""
+    rows = table(spark, sf_dir, "pages").select("page_id", one_of([h for h, *_ in HOST_CASES], F.col("page_id")).alias("host"))
+    return rows.select("page_id", "host", policy.ip_literal(F.col("host")).alias("literal"), policy.ascii_host(F.col("host")).alias("ascii"))
+
+
+@query("""WITH h AS (SELECT page_id, page_id % 5 AS k, lower(regexp_extract(url, '^[a-z]+://([^/?#]*)', 1)) AS host FROM pages)
+ SELECT page_id, CASE k WHEN 1 THEN 'xn--bcher-kva.' WHEN 2 THEN 'xn--e1afmkfd.' WHEN 3 THEN 'strasse.' ELSE '' END || CASE WHEN k = 4 THEN '' ELSE host END AS ascii FROM h""")
+def hosts_ascii(spark, sf_dir):
+    """The hosts of the pages as they are and under names in other letters; one label of 64 letters has no ASCII form."""
+    host = policy.host_of(policy.url_parts(F.col("url"))["authority"])
+    name = one_of(["", "bücher.", "пример.", "straße.", "é" * 64 + "."], F.col("page_id"))
+    return table(spark, sf_dir, "pages").select("page_id", policy.ascii_host(F.concat(name, host)).alias("ascii"))
 
 
 @query("SELECT doc_id, CASE doc_id % 6 WHEN 1 THEN 'MAGIC_BYTES_MISMATCH' WHEN 2 THEN 'PDF_SANITY_FAILED' WHEN 3 THEN 'PDF_SANITY_FAILED' WHEN 5 THEN 'CONTENT_TYPE_MISMATCH' END AS reason FROM documents")

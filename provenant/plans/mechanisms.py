@@ -6,8 +6,8 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from provenant.operators import discovery, folds, fuzzy, metrics, policy, responses, runs, vector_index, versions
-from provenant.plans.catalogue import FIRSTS, HOSTS, REFS, STREAKS, observations, query, table
+from provenant.operators import discovery, folds, fuzzy, metrics, policy, responses, retrieval, runs, vector_index, verification, versions
+from provenant.plans.catalogue import BM25, FIRSTS, HOSTS, REFS, STREAKS, observations, query, table
 from provenant.session import run_dir, written
 from provenant.sources import commits
 from provenant.streaming import ordered
@@ -232,3 +232,27 @@ def run_complete(spark, sf_dir):
 def run_statistics(spark, sf_dir):
     chosen, found, results = page_runs(spark, sf_dir)
     return runs.statistics(chosen, written(spark, results), found)
+
+
+# --- retrieval over a set of questions ------------------------------------------------------------------------
+
+WORDS = "list_distinct(list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda x: x <> ''))"
+LONG_WORDS = "list_distinct(regexp_extract_all(replace(lower(text), 'ß', 'ss'), '[a-z]{11,}'))"
+SEARCH_ALL = f"""fdocs AS (SELECT d.* FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE toxic = 0 AND n_chars BETWEEN 100 AND 20000), {BM25.replace("FROM documents", "FROM fdocs")},
+ vec AS (SELECT b.item_id, e.vec_id AS doc_id, row_number() OVER (PARTITION BY b.item_id ORDER BY round(list_cosine_similarity(q.embedding::DOUBLE[], e.embedding::DOUBLE[]), 6) DESC, e.vec_id) AS rank FROM benchmark b JOIN embeddings q ON q.vec_id = b.item_id JOIN embeddings e ON e.vec_id IN (SELECT doc_id FROM fdocs)),
+ ids AS (SELECT a.item_id, h.doc_id, count(*) AS score FROM (SELECT item_id, unnest({LONG_WORDS}) AS w FROM benchmark) a JOIN (SELECT doc_id, unnest({LONG_WORDS}) AS w FROM fdocs) h ON a.w = h.w GROUP BY 1, 2),
+ idr AS (SELECT item_id, doc_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM ids),
+ fu AS (SELECT item_id, doc_id, round(sum(1.0 / (60 + rank))::DOUBLE, 6) AS score, count(*) AS n_lists FROM (SELECT item_id, doc_id, rank FROM lex WHERE rank <= 50 UNION ALL SELECT item_id, doc_id, rank FROM vec WHERE rank <= 50 UNION ALL SELECT item_id, doc_id, rank FROM idr WHERE rank <= 50) t GROUP BY item_id, doc_id),
+ fr AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM fu), cov AS (SELECT fr.item_id, fr.doc_id, d.source, rank, n_lists, round(len(list_intersect({WORDS.replace('text', 'b.text')}, {WORDS.replace('text', 'd.text')})) / len({WORDS.replace('text', 'b.text')})::DOUBLE, 6) AS coverage FROM fr JOIN fdocs d ON fr.doc_id = d.doc_id JOIN benchmark b ON b.item_id = fr.item_id WHERE rank <= 30),
+ ord AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY coverage DESC, rank) AS o FROM cov), own AS (SELECT *, row_number() OVER (PARTITION BY item_id, source ORDER BY o) AS n FROM ord)"""
+
+
+@query(f"WITH {SEARCH_ALL} SELECT item_id, doc_id, source, rank, n_lists, coverage, position FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY o) AS position FROM own WHERE n <= 3) t WHERE position <= 8")
+def search_all(spark, sf_dir):
+    """Every item of the benchmark asks, with the vector of its number; its long words are its identifiers."""
+    clean = table(spark, sf_dir, "labels").filter("toxic = 0").select(F.col("doc_id").alias("version_id"))
+    docs = verification.hard_filtered(table(spark, sf_dir, "documents").withColumn("version_id", F.col("doc_id")), clean, n_chars=(100, 20000)).select("doc_id", "text", "source")
+    vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
+    questions = table(spark, sf_dir, "benchmark").join(vectors.withColumnRenamed("doc_id", "item_id"), "item_id", "left")
+    long_words = lambda text: F.regexp_extract_all(text, F.lit("[a-z]{11,}"), F.lit(0))
+    return retrieval.search_all(spark, docs, vectors, questions, long_words)
