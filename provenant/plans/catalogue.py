@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from provenant.operators import constraints, discovery, graph, ingest, jobs, lexical_index, metrics, planning, policy, responses, retrieval, temporal, verification, versions
+from provenant.session import written
 
 Query = Callable[[SparkSession, str], DataFrame]
 _queries: dict[str, Query] = {}
@@ -47,7 +48,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(
+    return as_observations(table(spark, sf_dir, "documents"))
+
+
+def as_observations(documents: DataFrame) -> DataFrame:
+    return documents.select(
         F.col("doc_id").alias("seq"),
         F.col("source").alias("doc"),
         F.concat(F.lit("https://docs.example/"), "lang").alias("url"),
@@ -575,8 +580,8 @@ def overlap(spark, sf_dir):
     return q.join(d, "term").groupBy("item_id", "doc_id").agg(F.count("*").alias("score"))
 
 
-def fused(spark, sf_dir):
-    scores = overlap(spark, sf_dir)
+def fused(spark, sf_dir, scores=None):
+    scores = overlap(spark, sf_dir) if scores is None else scores
     by_score = retrieval.ranked(scores, "item_id", "doc_id", 50)
     by_id = retrieval.ranked(scores.withColumn("score", F.lit(0)), "item_id", "doc_id", 50)
     return retrieval.rrf([by_score, by_id], "item_id", "doc_id").withColumn("score", F.round("score", 6))
@@ -592,8 +597,8 @@ CAPPED = f"""{OVERLAP}, fr AS (SELECT f.item_id, f.doc_id, d.source, row_number(
  chosen AS (SELECT item_id, doc_id, source, rank, position FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY rank) AS position FROM oc WHERE own <= 3) t WHERE position <= 8)"""
 
 
-def chosen(spark, sf_dir):
-    ranks = retrieval.ranked(fused(spark, sf_dir), "item_id", "doc_id", 1 << 30)
+def chosen(spark, sf_dir, scores=None):
+    ranks = retrieval.ranked(fused(spark, sf_dir, scores), "item_id", "doc_id", 1 << 30)
     ranks = ranks.join(table(spark, sf_dir, "documents").select("doc_id", "source"), "doc_id")
     return retrieval.capped(ranks, "item_id", "source", 3, 8)
 
@@ -612,8 +617,9 @@ METRICS = f"""{CAPPED}, gr AS (SELECT q.item_id, l.doc_id, l.quality + 1 - l.tox
  FROM ideal LEFT JOIN hit ON ideal.item_id = hit.item_id""")
 def ranking_metrics(spark, sf_dir):
     labels = table(spark, sf_dir, "labels").select("doc_id", (F.col("quality") + 1 - F.col("toxic")).alias("grade"))
-    grades = overlap(spark, sf_dir).filter("score >= 12").join(labels, "doc_id").filter("grade > 0").select("item_id", "doc_id", "grade")
-    ranks = chosen(spark, sf_dir).select("item_id", "doc_id", F.col("position").alias("rank"))
+    scores = written(spark, overlap(spark, sf_dir))
+    grades = scores.filter("score >= 12").join(labels, "doc_id").filter("grade > 0").select("item_id", "doc_id", "grade")
+    ranks = chosen(spark, sf_dir, scores).select("item_id", "doc_id", F.col("position").alias("rank"))
     return metrics.at_k(ranks, grades, 8, "item_id", "doc_id")
 
 

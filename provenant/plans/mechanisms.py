@@ -6,10 +6,11 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from provenant.operators import discovery, folds, fuzzy, metrics, policy, responses, retrieval, runs, vector_index, verification, versions
-from provenant.plans.catalogue import BM25, FIRSTS, HOSTS, REFS, STREAKS, observations, query, table
+from provenant.operators import discovery, folds, fuzzy, graph, metrics, policy, responses, retrieval, runs, vector_index, verification, versions
+from provenant.plans.catalogue import BM25, FIRSTS, HOSTS, OUTCOMES, REFS, STREAKS, as_observations, observations, query, table
 from provenant.session import run_dir, written
 from provenant.sources import commits
+from provenant.streaming import ledger as streaming_ledger
 from provenant.streaming import ordered
 
 
@@ -93,11 +94,12 @@ def streamed(spark, rows, keys, when, fold):
     return spark.read.parquet(out)
 
 
-def event_stream(spark, sf_dir):
+def table_stream(spark, sf_dir, name):
     """The table's files as a stream; a table of a single file is found in its folder."""
-    folder = commits.Files(spark, f"{sf_dir}/events.parquet").names("")
-    rows = spark.readStream.schema(table(spark, sf_dir, "events").schema)
-    return rows.option("pathGlobFilter", "events.parquet").parquet(sf_dir) if folder == ["events.parquet"] else rows.parquet(f"{sf_dir}/events.parquet")
+    file = f"{name}.parquet"
+    rows = spark.readStream.schema(table(spark, sf_dir, name).schema)
+    single = commits.Files(spark, f"{sf_dir}/{file}").names("") == [file]
+    return rows.option("pathGlobFilter", file).parquet(sf_dir) if single else rows.parquet(f"{sf_dir}/{file}")
 
 
 @query(QUEUE_EVENTS)
@@ -110,12 +112,12 @@ def queue_events(spark, sf_dir):
 @query(QUEUE_EVENTS)
 def queue_events_streamed(spark, sf_dir):
     """The same from a stream, by state and timers."""
-    return streamed(spark, commands(event_stream(spark, sf_dir)), ["job_id"], "at", folds.QUEUE)
+    return streamed(spark, commands(table_stream(spark, sf_dir, "events")), ["job_id"], "at", folds.QUEUE)
 
 
 @query(f"WITH {STREAKS.replace('FROM events', f'FROM events WHERE epoch_us(ts) <= {MARK}', 1)} SELECT a.run, a.seq, a.seq = t.tripped_at AS tripped FROM attempts a LEFT JOIN trips t ON a.run = t.run WHERE t.tripped_at IS NULL OR a.seq <= t.tripped_at".replace("a.seq = t.tripped_at AS", "coalesce(a.seq = t.tripped_at, false) AS"))
 def breaker_streamed(spark, sf_dir):
-    rows = event_stream(spark, sf_dir).select("*", F.col("ts").cast("timestamp").alias("at"))
+    rows = table_stream(spark, sf_dir, "events").select("*", F.col("ts").cast("timestamp").alias("at"))
     status = F.when(F.col("event_type") == "view", 200).when(F.col("event_type") == "click", 404).when(F.col("event_type") == "error", 429).when(F.col("event_type") == "signup", 403).otherwise(500)
     rows = rows.select(F.col("user_id").alias("run"), F.col("event_id").alias("seq"), "at", status.alias("status"))
     return streamed(spark, rows, ["run"], "at", folds.breaker(4)).select("run", "seq", "tripped")
@@ -123,10 +125,19 @@ def breaker_streamed(spark, sf_dir):
 
 @query(f"WITH a AS (SELECT user_id AS host, event_id AS seq, epoch_us(ts) AS start FROM events WHERE epoch_us(ts) <= {MARK}), w AS (SELECT host, seq, start - lag(start) OVER (PARTITION BY host ORDER BY start, seq) AS since FROM a) SELECT host, seq, since FROM w WHERE since < 3600000000")
 def pacing_streamed(spark, sf_dir):
-    rows = event_stream(spark, sf_dir).select(F.col("user_id").alias("host"), F.col("event_id").alias("seq"), F.col("ts").cast("timestamp").alias("at"))
+    rows = table_stream(spark, sf_dir, "events").select(F.col("user_id").alias("host"), F.col("event_id").alias("seq"), F.col("ts").cast("timestamp").alias("at"))
     return streamed(spark, rows.withColumn("end", F.lit(None).cast("long")), ["host"], "at", folds.pacing(3_600_000_000))
 
 
+@query(f"WITH {OUTCOMES} SELECT * FROM outcomes")
+def ledger_streamed(spark, sf_dir):
+    """The observations of a stream appended to a commit log, and the outcomes that follow from the log."""
+    log = fresh_folder(spark)
+    stream = as_observations(table_stream(spark, sf_dir, "documents"))
+    streaming_ledger.run_ledger(spark, stream, log, fresh_folder(spark)).awaitTermination()
+    return streaming_ledger.ledger_outcomes(spark, log)
+
+
 # --- vector index ---------------------------------------------------------------------------------------------
 
 
@@ -256,3 +267,24 @@ def search_all(spark, sf_dir):
     questions = table(spark, sf_dir, "benchmark").join(vectors.withColumnRenamed("doc_id", "item_id"), "item_id", "left")
     long_words = lambda text: F.regexp_extract_all(text, F.lit("[a-z]{11,}"), F.lit(0))
     return retrieval.search_all(spark, docs, vectors, questions, long_words)
+
+
+# --- traversal with its cap on nodes --------------------------------------------------------------------------
+
+
+def level_sql(n: int) -> str:
+    return f"""s{n} AS (SELECT DISTINCT p.root, e.dst AS node FROM l{n - 1} p JOIN c e ON p.node = e.src WHERE NOT EXISTS (SELECT 1 FROM seen{n - 1} x WHERE x.root = p.root AND x.node = e.dst)),
+ r{n} AS (SELECT s.root, s.node, row_number() OVER (PARTITION BY s.root ORDER BY s.node) AS rn, count(*) OVER (PARTITION BY s.root) AS m, 6 - x.k AS room FROM s{n} s JOIN (SELECT root, count(*) AS k FROM seen{n - 1} GROUP BY root) x ON s.root = x.root),
+ l{n} AS (SELECT root, node FROM r{n} WHERE rn <= room), seen{n} AS (SELECT * FROM seen{n - 1} UNION ALL SELECT root, node, {n} FROM l{n})"""
+
+
+@query(f"""WITH e AS (SELECT DISTINCT l_suppkey AS src, l_suppkey + 1 + l_linenumber AS dst FROM lineitem WHERE l_returnflag = 'A'), c AS (SELECT src, dst, m > 3 AS cut FROM (SELECT *, row_number() OVER (PARTITION BY src ORDER BY dst) AS rn, count(*) OVER (PARTITION BY src) AS m FROM e) t WHERE rn <= 3),
+ l0 AS (SELECT s_suppkey AS root, s_suppkey AS node FROM supplier), seen0 AS (SELECT root, node, 0 AS depth FROM l0), {level_sql(1)}, {level_sql(2)}, {level_sql(3)},
+ flags AS (SELECT root FROM r1 WHERE m > room UNION SELECT root FROM r2 WHERE m > room UNION SELECT root FROM r3 WHERE m > room UNION SELECT l.root FROM (SELECT * FROM l1 UNION ALL SELECT * FROM l2 UNION ALL SELECT * FROM l3) l JOIN c ON c.dst = l.node AND c.cut
+ JOIN seen3 f ON f.root = l.root AND f.node = c.src JOIN seen3 t ON t.root = l.root AND t.node = l.node AND t.depth = f.depth + 1)
+ SELECT root, node, depth::BIGINT AS depth, root IN (SELECT root FROM flags) AS truncated FROM seen3""")
+def traversal_capped(spark, sf_dir):
+    """Six nodes of a root at most, however many its edges lead to."""
+    li = table(spark, sf_dir, "lineitem").filter("l_returnflag = 'A'")
+    edges = li.select(F.col("l_suppkey").alias("src"), (F.col("l_suppkey") + 1 + F.col("l_linenumber")).alias("dst"))
+    return graph.reachable(edges, table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("root")), 3, 3, False, 6)
