@@ -358,17 +358,18 @@ def viewer_urls(spark, sf_dir):
 
 
 def viewer_pages(spark, sf_dir):
-    """Pages with a direct link, one behind a viewer, two that differ, a viewer in a viewer, none."""
+    """The pages, said to lie at one URL, and behind their own links a direct link, one behind a viewer, two that differ, a
+    viewer in a viewer, or none."""
     host, k = f"https://{HOSTS[0]}", F.col("page_id") % 5
     inner = f"https%3A%2F%2F{HOSTS[0]}%2Fen%2Fa.pdf"
-    html = (
+    more = (
         F.when(k == 0, '<a href="/en/a.pdf">a</a><a href="https://other.example/en/a.pdf">no</a>')
         .when(k == 1, f'<iframe src="/web/?file={inner}"></iframe><a href="/en/a.pdf#page=2">a</a>')
         .when(k == 2, f'<a href="/web/?file={inner}">a</a><a href="/en/b.pdf">b</a>')
         .when(k == 3, f'<a href="/web/?file=https%3A%2F%2F{HOSTS[0]}%2Fweb%2F%3Ffile%3Da">a</a>')
         .otherwise("<p>none</p>")
     )
-    return table(spark, sf_dir, "pages").select("page_id", F.lit(host + "/en/page").alias("url"), html.alias("html"))
+    return table(spark, sf_dir, "pages").select("page_id", F.lit(host + "/en/page").alias("url"), F.concat("html", more).alias("html"))
 
 
 def viewer_attachments(spark, sf_dir):
@@ -377,20 +378,30 @@ def viewer_attachments(spark, sf_dir):
     return pages, judged, discovery.attachments(pages, judged)
 
 
-@query(f"""SELECT page_id, (CASE page_id % 5 WHEN 3 THEN 1 WHEN 4 THEN 0 ELSE 2 END)::BIGINT AS n_observed, (CASE page_id % 5 WHEN 2 THEN 2 WHEN 3 THEN 0 WHEN 4 THEN 0 ELSE 1 END)::BIGINT AS n_candidates,
- CASE page_id % 5 WHEN 2 THEN 'AMBIGUOUS' WHEN 3 THEN 'UNRESOLVED' WHEN 4 THEN 'UNRESOLVED' ELSE 'DISCOVERED' END AS status, CASE WHEN page_id % 5 IN (0, 1) THEN 'https://{HOSTS[0]}/en/a.pdf' END AS attachment FROM pages""")
+# The pages' own links by the policy, and what the added ones come to.
+VIEWED = f"""{REFS}, own AS (SELECT page_id, pos, CASE WHEN raw LIKE 'http%' THEN raw ELSE 'https://{HOSTS[0]}' || raw END AS resolved FROM refs),
+ cut AS (SELECT *, regexp_extract(resolved, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1) AS authority, regexp_extract(resolved, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1) AS path, regexp_extract(resolved, '^[^?#]*\\?([^#]*)', 1) AS query FROM own),
+ judged AS (SELECT page_id, pos, regexp_replace(resolved, '#.*$', '') AS target, CASE WHEN length(resolved) > 200 OR regexp_matches(resolved, '[\\x00-\\x20\\x7f-\\x9f\\\\]') THEN 'MANIFEST_SCOPE_MISMATCH' WHEN NOT starts_with(lower(resolved), 'https://') THEN 'SCHEME_NOT_HTTPS'
+ WHEN authority LIKE '%@%' OR lower(authority) NOT IN ('{"', '".join(HOSTS)}') THEN 'HOST_NOT_ALLOWED' WHEN regexp_matches(path, '[^\\x00-\\x7f]') OR path LIKE '%//%' OR regexp_matches(path, '(^|/)\\.\\.?(/|$)') OR NOT starts_with(path, '/en/') OR query <> '' THEN 'MANIFEST_SCOPE_MISMATCH' END AS reason FROM cut),
+ n AS (SELECT p.page_id, p.page_id % 5 AS k, count(j.pos) AS n_own FROM pages p LEFT JOIN judged j ON p.page_id = j.page_id GROUP BY 1, 2),
+ fit AS (SELECT page_id, target FROM judged WHERE reason IS NULL UNION SELECT page_id, 'https://{HOSTS[0]}/en/a.pdf' FROM n WHERE k < 3 UNION SELECT page_id, 'https://{HOSTS[0]}/en/b.pdf' FROM n WHERE k = 2),
+ found AS (SELECT n.page_id, n_own + CASE k WHEN 3 THEN 1 WHEN 4 THEN 0 ELSE 2 END AS n_observed, count(fit.target) AS n_candidates, CASE WHEN count(fit.target) = 1 THEN min(fit.target) END AS attachment FROM n LEFT JOIN fit ON n.page_id = fit.page_id GROUP BY n.page_id, n_own, k)"""
+
+
+@query(f"WITH {VIEWED} SELECT page_id, n_observed::BIGINT AS n_observed, n_candidates, CASE n_candidates WHEN 0 THEN 'UNRESOLVED' WHEN 1 THEN 'DISCOVERED' ELSE 'AMBIGUOUS' END AS status, attachment FROM found")
 def wrapped_discovery(spark, sf_dir):
     return viewer_attachments(spark, sf_dir)[2]
 
 
-@query("SELECT page_id, pos::BIGINT AS pos, reason, viewer AS via_viewer FROM (SELECT page_id, 1 AS pos, 'HOST_NOT_ALLOWED' AS reason, false AS viewer FROM pages WHERE page_id % 5 = 0 UNION ALL SELECT page_id, 0, 'VIEWER_WRAPPER_URL', true FROM pages WHERE page_id % 5 = 3) t")
+@query(f"""WITH {VIEWED} SELECT page_id, pos, reason, false AS via_viewer FROM judged WHERE reason IS NOT NULL
+ UNION ALL SELECT page_id, n_own + CASE k WHEN 0 THEN 1 ELSE 0 END, CASE k WHEN 0 THEN 'HOST_NOT_ALLOWED' ELSE 'VIEWER_WRAPPER_URL' END, k = 3 FROM n WHERE k IN (0, 3)""")
 def rejected_references(spark, sf_dir):
     return viewer_attachments(spark, sf_dir)[1].filter("reason is not null").select("page_id", "pos", "reason", "via_viewer")
 
 
-@query(f"""WITH k AS (SELECT page_id, page_id % 5 AS k, page_id % 7 AS s FROM pages), r AS (SELECT page_id, k, CASE WHEN s = 0 THEN 'NO_RESPONSE' WHEN s = 1 THEN 'HTTP_PERMANENT' WHEN s = 2 THEN 'HTTP_TRANSIENT' WHEN s = 3 THEN 'SIZE_EXCEEDED' WHEN s = 4 THEN 'DETAIL_PAGE_UNDECODABLE'
- WHEN k = 2 THEN 'AMBIGUOUS_ATTACHMENT_REFERENCES' WHEN k > 2 THEN 'NO_VALID_ATTACHMENT_REFERENCES' END AS reason FROM k)
- SELECT page_id AS document_key, CASE WHEN reason IS NULL THEN 'https://{HOSTS[0]}/en/a.pdf' END AS document_url, CASE WHEN reason IN ('NO_RESPONSE', 'HTTP_TRANSIENT') THEN 'FAILED_TRANSIENT' WHEN reason = 'HTTP_PERMANENT' THEN 'FAILED_PERMANENT'
+@query(f"""WITH {VIEWED}, r AS (SELECT page_id, attachment, CASE page_id % 7 WHEN 0 THEN 'NO_RESPONSE' WHEN 1 THEN 'HTTP_PERMANENT' WHEN 2 THEN 'HTTP_TRANSIENT' WHEN 3 THEN 'SIZE_EXCEEDED' WHEN 4 THEN 'DETAIL_PAGE_UNDECODABLE'
+ ELSE CASE WHEN n_candidates > 1 THEN 'AMBIGUOUS_ATTACHMENT_REFERENCES' WHEN n_candidates = 0 THEN 'NO_VALID_ATTACHMENT_REFERENCES' END END AS reason FROM found)
+ SELECT page_id AS document_key, CASE WHEN reason IS NULL THEN attachment END AS document_url, CASE WHEN reason IN ('NO_RESPONSE', 'HTTP_TRANSIENT') THEN 'FAILED_TRANSIENT' WHEN reason = 'HTTP_PERMANENT' THEN 'FAILED_PERMANENT'
  WHEN reason = 'SIZE_EXCEEDED' THEN 'QUARANTINED' WHEN reason IS NOT NULL THEN 'UNRESOLVED' END AS outcome, reason FROM r""")
 def detail_pages(spark, sf_dir):
     pages, _, found = viewer_attachments(spark, sf_dir)
@@ -518,12 +529,17 @@ def hard_filters(spark, sf_dir):
     return verification.hard_filtered(docs, good, lang="en", n_chars=(200, 2000)).select("doc_id")
 
 
-@query("SELECT b.item_id, d.doc_id, (CASE WHEN b.item_id % 7 = d.doc_id % 7 AND b.item_id % 20 = d.doc_id % 20 THEN 1 ELSE 0 END + CASE WHEN b.item_id % 50 = d.doc_id % 50 THEN 1 ELSE 0 END)::BIGINT AS score FROM benchmark b JOIN documents d ON (b.item_id % 7 = d.doc_id % 7 AND b.item_id % 20 = d.doc_id % 20) OR b.item_id % 50 = d.doc_id % 50")
+IDENTIFIERS = "unnest(list_distinct(list_transform(regexp_extract_all({0}, '\\b[A-Za-z][A-Za-z0-9]*(?:[-/][A-Za-z0-9]+)*[-/][0-9]+\\b'), lambda x: upper(x))))"
+NUMBERED = "{0} || ' see circ-a' || {1} % 7 || '/' || {1} % 20 || ', x-' || {1} % 50 || '; no 12 or y-'"
+
+
+@query(f"""WITH q AS (SELECT item_id, {IDENTIFIERS.format(NUMBERED.format("text", "item_id"))} AS identifier FROM benchmark), d AS (SELECT doc_id, {IDENTIFIERS.format(NUMBERED.format("text", "doc_id"))} AS identifier FROM documents)
+ SELECT item_id, doc_id, count(*) AS score FROM q JOIN d ON q.identifier = d.identifier GROUP BY item_id, doc_id""")
 def identifier_lists(spark, sf_dir):
-    """Numbers of circulars in queries and documents, in either case and with other words around them."""
-    name = lambda key, text: F.concat(F.lit("see "), text, (key % 7).cast("string"), F.lit("/"), (key % 20).cast("string"), F.lit(", x-"), (key % 50).cast("string"), F.lit("; no 12 or y-"))
-    queries = table(spark, sf_dir, "benchmark").select("item_id", name(F.col("item_id"), F.lit("circ-a")).alias("text"))
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.upper(name(F.col("doc_id"), F.lit("circ-a"))).alias("text"))
+    """Identifiers of queries and documents: those of their texts, and numbers of circulars put behind these, in either case."""
+    name = lambda key: F.concat(F.lit("see circ-a"), (key % 7).cast("string"), F.lit("/"), (key % 20).cast("string"), F.lit(", x-"), (key % 50).cast("string"), F.lit("; no 12 or y-"))
+    queries = table(spark, sf_dir, "benchmark").select("item_id", F.concat_ws(" ", "text", name(F.col("item_id"))).alias("text"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.concat_ws(" ", "text", F.upper(name(F.col("doc_id")))).alias("text"))
     return retrieval.identifier_hits(docs, queries, retrieval.identifiers)
 
 
