@@ -66,5 +66,5 @@ def html_text(bodies: pd.Series, content_types: pd.Series) -> pd.Series:
 
 
 def read_files(spark: SparkSession, path: str) -> DataFrame:
-    """Files of a folder as (path, body, hash)."""
+    """Files of a folder as (path, body, hash). The scan passes over files without a byte: an empty answer has no body to read."""
     return spark.read.format("binaryFile").load(path).select("path", F.col("content").alias("body"), F.sha2("content", 256).alias("hash"))
