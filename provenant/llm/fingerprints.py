@@ -29,8 +29,8 @@ from provenant.llm.minhash import BANDS, ROWS, candidate_groups, confirmed_compo
 from provenant.llm.shingles import MIX, mixed, shingle_sets, text_bytes
 
 PERMUTATIONS = 128
-#: Text of a part of the id order, about; the driver and each worker hold 12 bytes for each part (150 MB at 100 TB).
-PART_BYTES = 8 << 20
+#: Text of a part of the id order, about; the driver and each worker hold 12 bytes for each part (300 MB at 100 TB).
+PART_BYTES = 4 << 20
 _random = np.random.default_rng(12)
 _a = _random.integers(0, 1 << 31, PERMUTATIONS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _b = _random.integers(0, 1 << 32, PERMUTATIONS, dtype=np.uint32)
