@@ -32,6 +32,10 @@ from provenant.llm.shingles import CHUNK, mixed, powers
 LENGTH, ANCHOR = 50, 20
 BLOCK_BYTES = 4 << 20
 SHARDS = 4
+#: Symbols of 9 bits that a first sort of suffixes compares.
+PACKED = 7
+#: Symbols that a round of the merge takes at most.
+STRIDE = 5
 _bytes = np.random.default_rng(50).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _base = 0x9E3779B97F4A7C15
 _up, _down = powers(_base, CHUNK + 1), powers(pow(_base, -1, 1 << 64), CHUNK + 1)
@@ -83,6 +87,13 @@ def stretches(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
 # --- Burrows-Wheeler transforms -------------------------------------------------------------------------------
 
 
+def alone(new: np.ndarray) -> np.ndarray:
+    """Whether a row is the only one of its group, given which rows begin one."""
+    out = new.copy()
+    out[:-1] &= new[1:]
+    return out
+
+
 class Shard:
     """The Burrows-Wheeler transform of a set of strings: symbols (0 stands before each string), and their places.
 
@@ -100,14 +111,26 @@ class Shard:
         string = np.repeat(np.arange(len(strings)), lengths + 1)
         offset = np.arange(len(text)) - np.repeat(ends - lengths, lengths + 1)
         left = ends[string] - np.arange(len(text))  # symbols before the end mark
-        # Prefix doubling; end marks order by their string, so no two suffixes are equal.
-        rank = np.where(left == 0, string, text.astype(np.int64) + len(strings))
-        _, rank = np.unique(rank, return_inverse=True)
-        span = 1
-        while rank.max(initial=0) + 1 < len(rank):
-            after = np.where(left >= span, rank[np.minimum(np.arange(len(rank)) + span, len(rank) - 1)] + 1, 0)
-            _, rank = np.unique(rank * (len(rank) + 2) + after, return_inverse=True)
-            span *= 2
+        # Prefix doubling from PACKED symbols on; end marks order by their string, so no two suffixes stay equal.
+        rank = np.zeros(len(text), np.int64)
+        for j in range(PACKED):
+            rank, n = rank << 9, max(0, len(text) - j)
+            rank[:n] |= np.where(left[:n] >= j, text[j:], 0)
+        order = np.argsort(rank, kind="stable")
+        new = np.ones(len(text), bool)
+        new[1:] = (rank[order[1:]] != rank[order[:-1]]) | (left[order[1:]] < PACKED)
+        rank[order] = np.maximum.accumulate(np.where(new, np.arange(len(text)), 0))  # a group's rank is the row of its first
+        open_, span = order[~alone(new)], PACKED
+        while len(open_):
+            key = rank[open_] * (len(text) + 1) + rank[open_ + span]
+            by = np.argsort(key)
+            open_, key = open_[by], key[by]
+            group, at = rank[open_], np.arange(len(open_))
+            new[: len(open_)] = True
+            new, first = new[: len(open_)], np.ones(len(open_), bool)
+            new[1:], first[1:] = key[1:] != key[:-1], group[1:] != group[:-1]
+            rank[open_] = group + np.maximum.accumulate(np.where(new, at, 0)) - np.maximum.accumulate(np.where(first, at, 0))
+            open_, span = open_[~alone(new)], 2 * span
         order = np.empty(len(rank), np.int64)
         order[rank] = np.arange(len(rank))
         before = np.where(offset == 0, 0, text[np.maximum(np.arange(len(text)) - 1, 0)])
@@ -116,29 +139,58 @@ class Shard:
         self.last[np.argsort(self.symbols, kind="stable")] = np.arange(len(order))
 
 
-def merge(shards: list[Shard], depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def strides(symbols: np.ndarray, longer: np.ndarray, most: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For 1, 2, ... symbols (``most`` at most) before each row: their code in order (0: the string begins there), and the row of
+    the suffix that they make. It ends where the codes would no longer fit 16 bits, which sort by radix."""
+    size = int(symbols.max(initial=0)) + 1
+    used = np.zeros(size, bool)
+    used[symbols] = True
+    used[0] = True
+    single = (np.cumsum(used) - 1)[symbols]
+    size, out = int(used.sum()), [(symbols, longer)]
+    code, n, far = single, size, longer
+    while len(out) < most:
+        value = np.where((single == 0) | (code[longer] == 0), 0, code[longer] * size + single)
+        if n * size > 1 << 22:
+            break
+        used = np.zeros(n * size, bool)
+        used[value] = True
+        used[0] = True
+        n = int(used.sum())
+        if n > 1 << 16:
+            break
+        code, far = (np.cumsum(used) - 1)[value], far[longer]
+        out.append((code.astype(np.uint16), far))
+    return out
+
+
+def merge(shards: list[Shard], depth: int, stride: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Repeated intervals of the merged shards: (rows, interval of each row, common prefix of every row).
 
     Rows are numbered shard after shard. The interleave holds the rows in order of their first ``h`` symbols; a round
-    places them stably by the symbols before them, which orders the longer suffixes by one symbol more. An interval
-    is split where the symbol or the interval that a row came from changes. A row that is alone in its interval at
-    ``h`` shares fewer than ``h`` symbols with any other row and leaves the interleave: what precedes it is alone too.
+    places them stably by the symbols before them, which orders the longer suffixes by one symbol more, or by up to
+    ``stride`` (the common prefix is then known to the round). An interval is split where the symbols or the interval that a
+    row came from change. A row that is alone in its interval at ``h`` shares fewer than ``h`` symbols with any other row and
+    leaves the interleave: what precedes it is alone too.
     """
     starts = np.cumsum([0, *(len(s.symbols) for s in shards)])
     symbols = np.concatenate([s.symbols for s in shards])
-    longer = np.concatenate([s.last + at for s, at in zip(shards, starts, strict=False)])
+    steps = strides(symbols, np.concatenate([s.last + at for s, at in zip(shards, starts, strict=False)]), min(stride, depth))
     prefix = np.zeros(len(symbols), np.int16)
     rows, interval = np.arange(len(symbols)), np.zeros(len(symbols), np.int64)
-    for h in range(1, depth + 1):
-        marks = symbols[rows]
+    h = 0
+    while h < depth:
+        step = min(len(steps), depth - h)
+        h += step
+        code, longer = steps[step - 1]
+        marks = code[rows]
         order = np.argsort(marks, kind="stable")
         marks, came = marks[order], interval[order]
         new = np.ones(len(rows), bool)
         new[1:] = (marks[1:] != marks[:-1]) | (came[1:] != came[:-1]) | (marks[1:] == 0)
         rows = longer[rows[order]]
-        alone = new.copy()
-        alone[:-1] &= new[1:]
-        interval, rows = np.cumsum(new)[~alone] - 1, rows[~alone]
+        kept = ~alone(new)
+        interval, rows = np.cumsum(new)[kept] - 1, rows[kept]
         prefix[rows] = h
     return rows, interval, prefix
 
@@ -149,7 +201,7 @@ def repeated_windows(strings: list[bytes], shard_of: np.ndarray, values: np.ndar
     shards = [Shard([strings[i] for i in own]) for own in numbers]
     string = np.concatenate([own[s.string] for own, s in zip(numbers, shards, strict=True)])
     offset = np.concatenate([s.offset for s in shards])
-    rows, interval, _ = merge(shards, depth)
+    rows, interval, _ = merge(shards, depth, STRIDE)
     windows = np.fromiter((max(0, len(s) - depth + 1) for s in strings), np.int64, len(strings))
     begin = np.cumsum(windows) - windows
     out = np.repeat(values, windows)
@@ -198,7 +250,9 @@ def sources(requests: list[bytes]) -> list[bytes | None]:
     # Strings that meet no other string of their anchor are settled: their windows are theirs alone.
     _, inverse, counts = np.unique(np.array(anchors, np.uint64), return_inverse=True, return_counts=True)
     open_ = np.nonzero(counts[inverse] > 1)[0] if len(strings) else np.zeros(0, np.int64)
-    found: dict[int, np.ndarray] = {}
+    windows = np.fromiter(map(len, strings), np.int64, len(strings)) - LENGTH + 1
+    starts = np.cumsum(np.append(0, windows))
+    found = np.repeat(low, windows)
     if len(open_):
         # An anchor's strings are compared with each other only, so any cut between anchors bounds the memory.
         open_ = open_[np.argsort(inverse[open_], kind="stable")]
@@ -209,19 +263,25 @@ def sources(requests: list[bytes]) -> list[bytes | None]:
             while end < len(open_) and group[end] == group[end - 1]:
                 end += 1
             part = open_[at:end]
-            for i, w in zip(part.tolist(), repeated_windows([strings[i] for i in part], np.array([shard[i] for i in part]), low[part]), strict=True):
-                found[i] = w
+            least = repeated_windows([strings[i] for i in part.tolist()], np.array(shard, np.int64)[part], low[part])
+            found[flat(starts[part], windows[part])] = np.concatenate(least)
             at = end
+    smallest = np.minimum.reduceat(found, starts[:-1]) if len(strings) else found
     replies = []
-    for own, (_, _, largest, lengths, _) in zip(places, sent, strict=True):
-        windows = [found.get(i) if i in found else np.full(n - LENGTH + 1, low[i]) for i, n in zip(own, lengths.tolist(), strict=True)]
+    for own, (_, _, largest, _, _) in zip(places, sent, strict=True):
+        own = np.array(own, np.int64)
         # Where even the block's largest document is no later than the source, there is nothing to mark.
-        least = [w if (w < b).any() else w[:0] for w, b in zip(windows, largest.tolist(), strict=True)]
-        sizes = np.fromiter(map(len, least), "<u4", len(least))
-        replies.append(squeeze(sizes, np.concatenate(least).astype("<i8") if least else b"") if sizes.any() else None)
+        sizes = np.where(smallest[own] < largest, windows[own], 0)
+        replies.append(squeeze(sizes.astype("<u4"), found[flat(starts[own], sizes)].astype("<i8")) if sizes.any() else None)
     return replies
 
 
+def flat(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of ranges one after the other."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - ends + sizes, sizes) + np.arange(int(ends[-1]) if len(ends) else 0)
+
+
 def ranked(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct hashes in order, and the place of each hash among them, by one sort."""
     order = np.argsort(hashes)
@@ -247,30 +307,29 @@ def shared_stretches(block: Docs, replies: dict[int, bytes], n_buckets: int):
 
 
 def listed(block: Docs, firsts, ends, hashes, docs, n_buckets: int):
-    """Distinct strings of the shared stretches by bucket: {bucket: [(string, hash, smallest id, largest id)]}, and each stretch's place."""
-    raw, numbers, rows, place = block.data.tobytes(), {}, {}, []
-    ids = block.ids[docs].tolist()
-    for a, b, h, doc in zip(firsts.tolist(), (ends + LENGTH - 1).tolist(), hashes.tolist(), ids, strict=True):
-        s, k = raw[a:b], h % n_buckets
-        at = numbers.get(s)
-        if at is None:
-            own = rows.setdefault(k, [])
-            at = numbers[s] = (k, len(own))
-            own.append([s, h, doc, doc])
-        else:
-            row = rows[k][at[1]]
-            row[2], row[3] = min(row[2], doc), max(row[3], doc)
-        place.append(at)
-    return rows, place
-
-
-def bounds(sizes: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, list[int], list[int], list[int]]:
+    """The distinct strings of the shared stretches (strings, hashes, smallest and largest ids), their numbers in order of the
+    bucket and where each bucket begins, and each stretch's bucket and place in it."""
+    raw, numbers = block.data.tobytes(), {}
+    number = np.fromiter((numbers.setdefault(raw[a:b], len(numbers)) for a, b in zip(firsts.tolist(), (ends + LENGTH - 1).tolist(), strict=True)), np.int64, len(firsts))
+    own, ids = np.zeros(len(numbers), np.uint64), block.ids[docs]
+    least, most = np.full(len(numbers), NO_ID, np.int64), np.full(len(numbers), np.iinfo(np.int64).min, np.int64)
+    own[number] = hashes
+    np.minimum.at(least, number, ids)
+    np.maximum.at(most, number, ids)
+    bucket = (own % np.uint64(n_buckets)).astype(np.int64)
+    order, starts = by_bucket(bucket, n_buckets)
+    place = np.empty(len(numbers), np.int64)
+    place[order] = np.arange(len(numbers)) - starts[bucket[order]]
+    return (list(numbers), own, least, most), order, starts, bucket[number], place[number]
+
+
+def bounds(sizes: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """A reply's values, where each string's begin, and the smallest and largest of each; without values, NO_ID."""
     starts = np.cumsum(np.append(0, sizes.astype(np.int64)))
     least, most, full = np.full(len(sizes), NO_ID), np.full(len(sizes), NO_ID), sizes > 0
     least[full] = np.minimum.reduceat(values, starts[:-1][full])
     most[full] = np.maximum.reduceat(values, starts[:-1][full])
-    return values, starts.tolist(), least.tolist(), most.tolist()
+    return values, starts, least, most
 
 
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -308,10 +367,11 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, with_text: bool = False
         replies, rows = dict(zip(right.column("bucket").to_pylist(), right.column("reply").to_pylist(), strict=True)), []
         for number, payload in zip(left.column("block").to_pylist(), left.column("payload").to_pylist(), strict=True):
             block = unpacked_block(payload)
-            lists, _ = listed(block, *shared_stretches(block, replies, n_buckets), n_buckets)
-            for k, own in sorted(lists.items()):
-                strings, hashes, least, most = zip(*own, strict=True)
-                blob = squeeze(np.array(hashes, "<u8"), np.array(least, "<i8"), np.array(most, "<i8"), np.array(list(map(len, strings)), "<u4"), b"".join(strings), level=6)
+            (strings, hashes, least, most), order, starts, _, _ = listed(block, *shared_stretches(block, replies, n_buckets), n_buckets)
+            for k in np.flatnonzero(np.diff(starts)).tolist():
+                own = order[starts[k] : starts[k + 1]]
+                texts = [strings[i] for i in own.tolist()]
+                blob = squeeze(hashes[own], least[own], most[own], np.array(list(map(len, texts)), "<u4"), b"".join(texts))
                 rows.append({"bucket": k, "block": number, "request": blob})
         return pa.Table.from_pylist(rows, schema=REQUEST)
 
@@ -327,19 +387,21 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, with_text: bool = False
             block = unpacked_block(payload)
             found = shared_stretches(block, anchors, n_buckets)
             change = np.zeros(len(block.data) + 1, np.int32)
-            for first, doc, (k, at) in zip(found[0].tolist(), block.ids[found[3]].tolist(), listed(block, *found, n_buckets)[1], strict=True):
-                if k not in windows:
-                    continue
-                values, starts, least, most = windows[k]
-                if least[at] >= doc:
-                    continue
-                if most[at] < doc:  # every window of the stretch
-                    change[first] += 1
-                    change[first + starts[at + 1] - starts[at] - 1 + LENGTH] -= 1
-                    continue
-                for window in np.nonzero(values[starts[at] : starts[at + 1]] < doc)[0].tolist():
-                    change[first + window] += 1
-                    change[first + window + LENGTH] -= 1
+            _, _, _, bucket, place = listed(block, *found, n_buckets)
+            order, begins = by_bucket(bucket, n_buckets)
+            for k, (values, starts, least, most) in windows.items():
+                own = order[begins[k] : begins[k + 1]]
+                own = own[least[place[own]] < block.ids[found[3][own]]]
+                at, first, doc = place[own], found[0][own], block.ids[found[3][own]]
+                whole = most[at] < doc  # every window of the stretch
+                np.add.at(change, first[whole], 1)
+                np.add.at(change, (first + starts[at + 1] - starts[at] - 1 + LENGTH)[whole], -1)
+                at, first, doc = at[~whole], first[~whole], doc[~whole]
+                sizes = starts[at + 1] - starts[at]
+                places = flat(starts[at], sizes)
+                window = (np.repeat(first - starts[at], sizes) + places)[values[places] < np.repeat(doc, sizes)]
+                np.add.at(change, window, 1)
+                np.add.at(change, window + LENGTH, -1)
             gone = np.cumsum(change[:-1]) > 0
             for i, doc in enumerate(block.doc_ids()):
                 a, b = block.offsets[i], block.offsets[i + 1]

@@ -56,6 +56,19 @@ def test_merge_gives_repeated_intervals_and_common_prefixes():
             assert prefix[i] == most
 
 
+def test_rounds_of_several_symbols_give_the_same_intervals():
+    rng = random.Random(8)
+    for alphabet, count in ((b"ab\x00", 40), (bytes(range(256)), 200)):
+        pool = [bytes(rng.choices(alphabet, k=70)) for _ in range(6)]
+        strings = [p[(a := rng.randrange(30)) : a + rng.randrange(60)] for p in rng.choices(pool, k=count)]
+        shards = [Shard(strings[:9]), Shard(strings[9:])]
+        for depth in (1, 7, 50):
+            rows, interval, _ = merge(shards, depth)
+            for stride in (2, 3, 5):
+                found = merge(shards, depth, stride)
+                assert np.array_equal(found[0], rows) and np.array_equal(np.unique(found[1], return_inverse=True)[1], np.unique(interval, return_inverse=True)[1])
+
+
 @pytest.mark.parametrize(("block_bytes", "seed"), [(700, 1), (1 << 20, 2)])
 def test_equals_brute_force(spark, monkeypatch, block_bytes, seed):
     monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES", block_bytes)
