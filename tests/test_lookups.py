@@ -37,6 +37,16 @@ def test_common_trigrams_make_no_rows(spark):
         fuzzy.build(spark, names, 0)
 
 
+def test_lookup_in_blocks_makes_no_row_for_a_shared_trigram(spark, monkeypatch):
+    monkeypatch.setattr(fuzzy, "BLOCK_NAMES", 70)
+    names = spark.range(300).select("id", F.concat(F.lit("part "), F.col("id").cast("string"), F.lit(" of copies")).alias("name"))
+    rows = [(r.id, grams(r.name)) for r in names.collect()]
+    found = fuzzy.lookup(fuzzy.build(spark, names, 0.8), names.filter("id % 3 = 0").withColumnRenamed("id", "query"))
+    assert {(r["query"], r.id) for r in found.collect()} == {(q, i) for q, a in rows if q % 3 == 0 for i, b in rows if len(a & b) / len(a | b) >= 0.8 - 1e-9}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "Join" not in plan
+
+
 def test_redirect_chains(spark):
     edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("x", "y"), ("s", "s"), *((f"h{i}", f"h{i + 1}") for i in range(6)), ("n", None), (None, "n"), ("m", "z"), ("m", "x")], "src string, dst string")
     starts = spark.createDataFrame([(u,) for u in ["a", "x", "q", "s", "h0", "h3", "n", "m", None, "a"]], "url string")
