@@ -5,12 +5,13 @@ from __future__ import annotations
 import unicodedata
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from provenant.operators.slices import by_slices
+
 
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
@@ -165,6 +166,6 @@ def visible(text: Column) -> Column:
     return F.regexp_replace(text, r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x9f\u200b-\u200f\u202a-\u202e\u2060-\u2064\ufeff]", "")
 
 
-@F.pandas_udf(T.StringType())
-def nfkc_folded(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: unicodedata.normalize("NFKC", t).casefold(), na_action="ignore")
+@by_slices(T.StringType())
+def nfkc_folded(texts: list) -> list:
+    return [None if t is None else unicodedata.normalize("NFKC", t).casefold() for t in texts]

@@ -6,11 +6,12 @@ import hashlib
 import re
 import zlib
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from provenant.operators.slices import by_slices
+
 CHARSET = re.compile(r"charset\s*=\s*[\"']?([A-Za-z0-9._:-]{1,40})", re.IGNORECASE)
 DECODED = T.StructType([T.StructField("body", T.BinaryType()), T.StructField("hash", T.StringType()), T.StructField("problem", T.StringType())])
 
@@ -43,16 +44,16 @@ def decoded(encoding: str | None, wire: bytes | None, max_bytes: int) -> tuple[b
 def decoded_bodies(responses: DataFrame, max_bytes: int) -> DataFrame:
     """``responses`` (encoding, wire) with body, hash and problem."""
 
-    @F.pandas_udf(DECODED)
-    def decode(encodings: pd.Series, wires: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([decoded(e, w, max_bytes) for e, w in zip(encodings, wires, strict=True)], columns=DECODED.names)
+    @by_slices(DECODED)
+    def decode(encodings: list, wires: list) -> list:
+        return [dict(zip(DECODED.names, decoded(e, w, max_bytes), strict=True)) for e, w in zip(encodings, wires, strict=True)]
 
     out = responses.withColumn("_decoded", decode("encoding", "wire"))
     return out.select(*responses.columns, "_decoded.*")
 
 
-@F.pandas_udf(T.StringType())
-def html_text(bodies: pd.Series, content_types: pd.Series) -> pd.Series:
+@by_slices(T.StringType())
+def html_text(bodies: list, content_types: list) -> list:
     """Text of a page in its declared charset, UTF-8 if none; null where it cannot be decoded strictly."""
 
     def one(body, kind):
@@ -62,7 +63,7 @@ def html_text(bodies: pd.Series, content_types: pd.Series) -> pd.Series:
         except (LookupError, UnicodeDecodeError):
             return None
 
-    return pd.Series([one(b, k) for b, k in zip(bodies, content_types, strict=True)], dtype=object)
+    return [one(b, k) for b, k in zip(bodies, content_types, strict=True)]
 
 
 def read_files(spark: SparkSession, path: str) -> DataFrame:
