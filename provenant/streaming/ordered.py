@@ -38,31 +38,34 @@ class Ordered(StatefulProcessor):
         self.waiting = handle.getListState("waiting", self.rows)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802, N803
-        due = set()
-        for row in rows:
-            self.waiting.appendValue(tuple(row[f] for f in self.rows.names))
-            due.add(millis(row[AT]))
-        for at in due:
-            self.handle.registerTimer(at)
+        # Every call to a state is an exchange with the executor's JVM, so a key makes the same few however many rows it has.
+        new = [tuple(row[f] for f in self.rows.names) for row in rows]
+        if new:
+            self.waiting.appendList(new)
+            at = self.rows.names.index(AT)
+            self.handle.registerTimer(millis(min(r[at] for r in new)))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803
         upto = timerValues.getCurrentWatermarkInMs() * 1000
-        waiting = [dict(zip(self.rows.names, r, strict=True)) for r in self.waiting.get()] if self.waiting.exists() else []
+        waiting = [dict(zip(self.rows.names, r, strict=True)) for r in self.waiting.get()]
         due = sorted((r for r in waiting if r[AT] <= upto), key=lambda r: [(r[c] is not None, r[c]) for c in (AT, *self.order)])
-        later = [tuple(r.values()) for r in waiting if r[AT] > upto]
-        state = tuple(self.state.get()) if self.state.exists() else None
+        later = [r for r in waiting if r[AT] > upto]
+        before = self.state.get()
+        before = state = None if before is None else tuple(before)
         state, out = self.fold.run(state, due)
         state, last = self.fold.tick(state, upto)
-        if later:
-            self.waiting.put(later)
-        elif waiting:
+        if due and later:
+            self.waiting.put([tuple(r.values()) for r in later])
+        elif due:
             self.waiting.clear()
-        if state is not None:
+        if state is not None and state != before:
             self.state.update(state)
+        # One timer: for the first row that still waits, or for what the state does by itself before that.
         wake = self.fold.wake(state)
-        if wake is not None and wake > upto:
-            self.handle.registerTimer(millis(wake))
+        wakes = [r[AT] for r in later] + ([wake] if wake is not None and wake > upto else [])
+        if wakes:
+            self.handle.registerTimer(millis(min(wakes)))
         for row in out + last:
             yield Row(**dict(zip(self.names, (*key, *row), strict=True)))
 
