@@ -7,9 +7,9 @@ Suffix structures over a whole corpus do not distribute, so the corpus is first
 1. Each block of documents sends the hashes of its anchors; buckets answer which ones other documents hold too.
 2. The block sends the stretches of those, each distinct string once with the smallest doc_id in the block. In its
    bucket, the stretches of one set of blocks are a shard with a Burrows-Wheeler transform of its own. The shards
-   are merged by refining their interleave one symbol at a time (:func:`merge`): after ``h`` rounds the suffixes
-   are ordered by their first ``h`` bytes, the round in which a suffix parts from all others is its common prefix,
-   and after 50 rounds each interval holds the places of one 50-byte string. No suffix is sorted again.
+   are merged by refining their interleave by up to ``STRIDE`` symbols a round (:func:`merge`): after ``h`` symbols the suffixes
+   are ordered by their first ``h`` bytes, a suffix that parts from all others leaves,
+   and after 50 symbols each interval holds the places of one 50-byte string. No suffix is sorted again.
 3. The smallest doc_id of each interval goes back to the blocks, which mark and cut their texts.
 
 A stretch that all blocks hold in the same form (most copies) has one distinct string and needs no rounds.
