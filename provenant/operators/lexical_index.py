@@ -2,7 +2,7 @@
 
 A document belongs to one block, and a term's postings in that block are one row of arrays, so a stop word makes a row for
 each block and never one for each document. Blocks hold about ``BLOCK_DOCS`` documents however large the corpus; their
-number grows. With ``cluster``, documents of one value share blocks, and questions of another value pass these by.
+number grows, and that of the tasks with it, each of which handles one block at a time. With ``cluster``, documents of one value share blocks, and questions of another value pass these by.
 
 Search is exact. The sum of the largest weights of a question's terms bounds every score in a block. Each question first
 scores the few blocks of the highest bounds; its k-th best score so far is then a threshold that the bounds of all other
@@ -15,14 +15,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from provenant.operators.retrieval import terms
 from provenant.session import written
 
 BLOCK_DOCS = 1024
+#: Characters of a block, about, where its documents are long, and blocks that a task holds, about.
+BLOCK_CHARS, BLOCKS_A_TASK = 8 << 20, 4
 #: Blocks of each question that are scored for its threshold.
 FIRST_BLOCKS = 2
 #: Scores are ranked by six digits, so a score that lies below a threshold by less may still tie with it.
@@ -49,19 +53,57 @@ class Index:
     postings: DataFrame
     n_docs: int
     weight: Weight
+    n_blocks: int
 
+    @property
+    def tasks(self) -> int:
+        return -(-self.n_blocks // BLOCKS_A_TASK)
 
-def blocked(docs: DataFrame, cluster: list[str], block_docs: int) -> DataFrame:
-    """``docs`` with ``block``: each value of ``cluster`` has blocks of its own, as many as its documents need."""
-    counts = docs.groupBy(*cluster).agg(F.ceil(F.count("*") / block_docs).alias("_blocks"))
+
+def blocked(spark: SparkSession, docs: DataFrame, cluster: list[str], block_docs: int, block_chars: int) -> tuple[DataFrame, int]:
+    """``docs`` (_id, _text and ``cluster``) with ``block``, and about how many blocks there are: each value of ``cluster`` has
+    blocks of its own, as many as its documents need by number and by length."""
+    counts = docs.groupBy(*cluster).agg(F.ceil(F.greatest(F.count("*") / block_docs, F.sum(F.length("_text")) / block_chars)).alias("_blocks"))
+    counts = written(spark, counts)
+    n_blocks = max(1, counts.agg(F.sum("_blocks")).first()[0] or 0)
     if cluster:
         out = docs.join(counts, [docs[c].eqNullSafe(counts[c]) for c in cluster], "left").drop(*(counts[c] for c in cluster))
     else:
-        out = docs.withColumn("_blocks", F.lit(max(1, counts.first()[0])))
-    return out.withColumn("block", F.xxhash64(*cluster, F.pmod(F.xxhash64("_id"), F.col("_blocks")))).drop("_blocks")
-
-
-def build(spark: SparkSession, docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", cluster: tuple[str, ...] = (), block_docs: int = BLOCK_DOCS, k1: float = 1.2, b: float = 0.75) -> Index:
+        out = docs.withColumn("_blocks", F.lit(n_blocks))
+    return out.withColumn("block", F.xxhash64(*cluster, F.pmod(F.xxhash64("_id"), F.col("_blocks")))).drop("_blocks"), n_blocks
+
+
+def numbered(ids: pa.ChunkedArray) -> tuple[pa.Array, np.ndarray]:
+    """The distinct ids in order, null first, and the place of each row's id among them."""
+    found = ids.combine_chunks().dictionary_encode(null_encoding="encode")
+    order = pc.array_sort_indices(found.dictionary, null_placement="at_start").to_numpy()
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    return found.dictionary.take(pa.array(order)), place[found.indices.to_numpy()]
+
+
+def inverted(docs: pa.Table, weight: Weight, schema: pa.Schema) -> pa.Table:
+    """The postings of a block of documents (block, doc, words), their words joined by spaces."""
+    docs = docs.filter(pc.not_equal(docs.column("words"), ""))
+    if not len(docs):
+        return schema.empty_table()
+    words = pc.split_pattern(docs.column("words").combine_chunks(), " ")
+    n_words = words.value_lengths().to_numpy().astype(np.int64)
+    vocabulary, word = numbered(pa.chunked_array([words.flatten()]))
+    ids, doc = numbered(docs.column("doc"))
+    # Rows of one document that are of one size count together.
+    entries, entry = np.unique(np.stack([doc, n_words], 1), axis=0, return_inverse=True)
+    key, tf = np.unique(word * len(entries) + np.repeat(entry.reshape(-1), n_words), return_counts=True)
+    word, (doc, size) = key // len(entries), entries[key % len(entries)].T
+    begin = np.searchsorted(word, np.arange(len(vocabulary)))
+    offsets = pa.array(np.append(begin, len(word)).astype(np.int32))
+    lists = [pa.ListArray.from_arrays(offsets, v) for v in (ids.take(pa.array(doc)), pa.array(tf.astype(np.int32)), pa.array(size.astype(np.int32)))]
+    top = np.maximum.reduceat(weight(tf.astype(float), size.astype(float)), begin)
+    block = np.full(len(vocabulary), docs.column("block")[0].as_py(), np.int64)
+    return pa.table([pa.array(block), vocabulary, pa.array(top), *lists], names=schema.names).cast(schema)
+
+
+def build(spark: SparkSession, docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", cluster: tuple[str, ...] = (), block_docs: int = BLOCK_DOCS, k1: float = 1.2, b: float = 0.75, block_chars: int = BLOCK_CHARS) -> Index:
     """The index of ``docs``, written to ``path`` (or the scratch folder) in one shuffle of the texts by block.
 
     A null text has no terms but counts as a document; rows that share an id are one document each time they occur.
@@ -69,13 +111,14 @@ def build(spark: SparkSession, docs: DataFrame, path: str | None = None, id_col:
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), *cluster)
     stats = rows.agg(F.count("*").alias("n"), F.avg(F.greatest(F.size(terms(F.col("_text"))), F.lit(0))).alias("size")).first()
     weight = Weight(float(stats["size"] or 1.0), k1, b)
-    dealt = blocked(rows, list(cluster), block_docs).select("block", "_id", "_text").repartition("block")
-    found = dealt.withColumn("_terms", terms(F.col("_text"))).select("block", F.col("_id").alias("doc"), F.size("_terms").alias("size"), F.explode("_terms").alias("term"))
-    # Both groupings are inside a block, so they follow its partitioning.
-    tfs = found.groupBy("block", "term", "doc", "size").agg(F.count("*").cast("int").alias("tf"))
-    lists = tfs.groupBy("block", "term").agg(F.max(weight(F.col("tf"), F.col("size"))).alias("top"), F.array_sort(F.collect_list(F.struct("doc", "tf", "size"))).alias("p"))
-    postings = lists.select("block", "term", "top", F.col("p.doc").alias("docs"), F.col("p.tf").alias("tfs"), F.col("p.size").alias("sizes"))
-    return Index(written(spark, postings.sortWithinPartitions("term", "block"), path), stats["n"], weight)
+    dealt, n_blocks = blocked(spark, rows, list(cluster), block_docs, block_chars)
+    index = Index(rows, stats["n"], weight, n_blocks)
+    dealt = dealt.select("block", F.col("_id").alias("doc"), F.concat_ws(" ", terms(F.col("_text"))).alias("words")).repartition(index.tasks, "block")
+    kind = rows.schema["_id"].dataType
+    schema = f"block long, term string, top double, docs array<{kind.simpleString()}>, tfs array<int>, sizes array<int>"
+    arrow = pa.schema([("block", pa.int64()), ("term", pa.string()), ("top", pa.float64()), ("docs", pa.list_(to_arrow_type(kind))), ("tfs", pa.list_(pa.int32())), ("sizes", pa.list_(pa.int32()))])
+    index.postings = written(spark, dealt.groupBy("block").applyInArrow(lambda table: inverted(table, weight, arrow), schema), path)
+    return index
 
 
 def asked(index: Index, queries: DataFrame, query_id: str, text_col: str) -> tuple[DataFrame, DataFrame]:
@@ -124,29 +167,33 @@ def scored(index: Index, pairs: DataFrame, k: int) -> DataFrame:
     weight = index.weight
     words = pairs.select(F.explode("terms").alias("term")).distinct()
     wanted = index.postings.join(words, "term", "left_semi").join(pairs.select("block").distinct(), "block", "left_semi").select("block", "term", "docs", "tfs", "sizes")
-    return pairs.groupBy(pairs["block"]).cogroup(wanted.groupBy(wanted["block"])).applyInArrow(score, schema)
+    asking, wanted = (rows.repartition(index.tasks, "block") for rows in (pairs, wanted))
+    return asking.groupBy(asking["block"]).cogroup(wanted.groupBy(wanted["block"])).applyInArrow(score, schema)
+
+
+def limits(spark: SparkSession, words: DataFrame, heads: DataFrame) -> DataFrame:
+    """(query, block, bound): what no score of a block exceeds."""
+    return written(spark, words.join(heads, "term").groupBy("query", "block").agg(F.sum(F.col("idf") * F.col("top")).alias("bound")))
 
 
 def bounds(spark: SparkSession, index: Index, queries: DataFrame, query_id: str, text_col: str) -> DataFrame:
-    """(query, block, bound, terms, idfs): what no score of a block exceeds, and the question's terms."""
-    words, heads = asked(index, queries, query_id, text_col)
-    words = written(spark, words)
-    bound = words.join(heads, "term").groupBy("query", "block").agg(F.sum(F.col("idf") * F.col("top")).alias("bound"))
-    lists = words.groupBy("query").agg(F.collect_list("term").alias("terms"), F.collect_list("idf").alias("idfs"))  # a question's words
-    return written(spark, bound.join(lists, "query"))
+    return limits(spark, *asked(index, queries, query_id, text_col))
 
 
 def candidates(spark: SparkSession, index: Index, queries: DataFrame, k: int, query_id: str = "item_id", text_col: str = "text", first_blocks: int = FIRST_BLOCKS) -> DataFrame:
     """(query, doc, score) of all documents that may be among a question's first ``k``."""
-    pairs = bounds(spark, index, queries, query_id, text_col)
+    words, heads = asked(index, queries, query_id, text_col)
+    words = written(spark, words)
+    pairs = limits(spark, words, heads)
+    lists = words.groupBy("query").agg(F.collect_list("term").alias("terms"), F.collect_list("idf").alias("idfs"))  # a question's words
     order = F.row_number().over(W.partitionBy("query").orderBy(F.desc("bound"), "block"))
     first = pairs.withColumn("place", order).filter(F.col("place") <= first_blocks)
-    begun = written(spark, scored(index, first.select("block", "query", F.lit(0.0).alias("least"), "terms", "idfs"), k))
+    begun = written(spark, scored(index, first.select("block", "query", F.lit(0.0).alias("least")).join(lists, "query"), k))
     best = F.row_number().over(W.partitionBy("query").orderBy(F.desc("score")))
     least = begun.withColumn("place", best).filter(F.col("place") == k).select("query", (F.col("score") - MARGIN).alias("least"))
     rest = pairs.join(first.select("query", "block"), ["query", "block"], "left_anti").join(least, "query", "left")
     rest = rest.withColumn("least", F.coalesce("least", F.lit(0.0))).filter(F.col("bound") * (1 + 1e-9) >= F.col("least"))
-    return begun.unionByName(scored(index, rest.select("block", "query", "least", "terms", "idfs"), k))
+    return begun.unionByName(scored(index, rest.select("block", "query", "least").join(lists, "query"), k))
 
 
 def topk(spark: SparkSession, index: Index, queries: DataFrame, k: int, query_id: str = "item_id", text_col: str = "text") -> DataFrame:
