@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from provenant.operators.slices import by_slices
+from provenant.session import written
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -102,11 +103,12 @@ def search_all(spark: SparkSession, docs: DataFrame, vectors: DataFrame, questio
     folded = lambda rows, key: rows.select(key, nfkc_folded("text").alias("text"))
     named = ranked(identifier_hits(folded(docs, "doc_id"), folded(questions, "item_id"), identifiers_of), "item_id", "doc_id", depth)
     fused = rrf([words, near, named], "item_id", "doc_id").withColumn("score", F.round("score", 6))
-    first = ranked(fused, "item_id", "doc_id", rerank).select("item_id", "doc_id", "rank", "n_lists")
-    texts = docs.select("doc_id", "source", F.array_distinct(terms(F.col("text"))).alias("held"))
+    # Written, so that its size is known: the corpus is then not shuffled for a few rows, and only their terms are made.
+    first = written(spark, ranked(fused, "item_id", "doc_id", rerank).select("item_id", "doc_id", "rank", "n_lists"))
     asked = questions.select("item_id", F.array_distinct(terms(F.col("text"))).alias("asked"))
-    rows = first.join(texts, "doc_id").join(asked, "item_id")
-    rows = rows.withColumn("coverage", F.round(F.size(F.array_intersect("asked", "held")) / F.size("asked"), 6)).drop("asked", "held")
+    rows = first.join(docs.select("doc_id", "source", "text"), "doc_id").join(asked, "item_id")
+    held = F.array_distinct(terms(F.col("text")))
+    rows = rows.withColumn("coverage", F.round(F.size(F.array_intersect("asked", held)) / F.size("asked"), 6)).drop("asked", "text")
     order = F.row_number().over(W.partitionBy("item_id").orderBy(F.desc("coverage"), "rank")).cast("long")
     chosen = capped(rows.withColumn("fused_rank", F.col("rank")).withColumn("rank", order), "item_id", "source", per_group, k)
     return chosen.select("item_id", "doc_id", "source", F.col("fused_rank").alias("rank"), "n_lists", "coverage", "position")
