@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from provenant.llm.blocks import NO_ID, squeeze, unsqueeze
 from provenant.llm.common import documents, drop_written, few, written
-from provenant.llm.minhash import BANDS, ROWS, candidate_groups, confirmed_components, packed
+from provenant.llm.minhash import BANDS, ROWS, candidate_groups, confirmed_components, distinct_sets, packed
 from provenant.llm.shingles import MIX, mixed, shingle_sets, text_bytes
 
 PERMUTATIONS = 128
@@ -126,10 +126,7 @@ def near_classes(spark: SparkSession, docs: DataFrame, signed: DataFrame, shingl
     full sets. Documents without words or id are in no class.
     """
     real = signed.filter("n_shingles > 0 and doc_id is not null")
-    ids = written(spark, real.groupBy("digest").agg(F.min("doc_id").alias("node")))
-    own = ids.select("digest", F.col("node").alias("doc_id"))
-    classes = real.select("digest", "doc_id", "signature", "bands").join(own, ["digest", "doc_id"]).select(F.col("doc_id").alias("node"), "signature", "bands")
-    classes = written(spark, classes)
+    classes = written(spark, distinct_sets(real, "digest"))
     groups = candidate_groups(spark, classes)
 
     def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,9 +137,9 @@ def near_classes(spark: SparkSession, docs: DataFrame, signed: DataFrame, shingl
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(few(groups), "node").select("node", "label", "text")
     sets = written(spark, texts.mapInArrow(to_sets, "node long, label long, shingles binary").filter(F.octet_length("shingles") > 0))
     labels = confirmed_components(spark, sets, percent)
-    found = ids.join(labels, "node", "left").select("digest", F.coalesce("label", "node").alias("class_id"))
+    found = classes.select("digest", "node").join(labels, "node", "left").select("digest", F.coalesce("label", "node").alias("class_id"))
     found = written(spark, real.select("doc_id", "digest").distinct().join(found, "digest").filter("class_id <> doc_id"))
-    drop_written(spark, ids, classes, sets)
+    drop_written(spark, classes, sets)
     return found
 
 

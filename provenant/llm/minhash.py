@@ -20,6 +20,7 @@ With 32 bands of 4, a link of similarity 0.8 shares no band with probability 5e-
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 
@@ -97,32 +98,40 @@ def signatures(docs: DataFrame, shingle_words: int, with_text_digest: bool = Fal
     return docs.select("doc_id", "text", *[F.md5("text").alias("text_digest")] * with_text_digest).mapInArrow(sign, schema)
 
 
+def distinct_sets(real: DataFrame, *keys: str) -> DataFrame:
+    """(keys, node, signature, bands) of each set of ``real``: node is the smallest doc_id that has it. Equal ``keys`` are
+    equal sets, and so are their signatures and bands."""
+    return real.groupBy(*keys).agg(F.min("doc_id").alias("node"), *[F.first(c).alias(c) for c in ("signature", "bands")])
+
+
 def candidate_groups(spark: SparkSession, classes: DataFrame) -> DataFrame:
-    """(node, label): candidate groups of ``classes`` (node, signature, bands)."""
+    """(node, label): candidate groups of ``classes`` (node, signature, bands), a written table.
+
+    A level is one written table: a row for each pair of a class and a hub, with the keys that they share (one of each
+    band at most), which the next level takes up again.
+    """
     members = classes.select("node", F.explode("bands").alias("key"))
     sigs = classes.select("node", "signature")
-    near = []
+    levels, near = [], []
     for level in range(LEVELS + 1):
         hubs = members.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("n")).filter("n > 1").drop("n")
-        pairs = written(spark, members.join(hubs, "key").filter("node <> hub"))
+        pairs = members.join(hubs, "key").filter("node <> hub")
+        if level < LEVELS:
+            pairs = pairs.groupBy("node", "hub").agg(F.collect_set("key").alias("keys")).join(sigs, "node")
+            pairs = pairs.join(sigs.select(F.col("node").alias("hub"), F.col("signature").alias("other")), "hub")
+            pairs = pairs.select("node", "hub", "keys", estimate("signature", "other").alias("similar"))
+        else:
+            pairs = pairs.select("node", "hub").distinct()
+        pairs = written(spark, pairs)
+        levels.append(pairs)
         if not pairs.limit(1).count():
-            drop_written(spark, pairs)
-            break
-        if level == LEVELS:
-            near.append(pairs.select(F.col("node").alias("a"), F.col("hub").alias("b")))
             break
-        measured = pairs.select("node", "hub").distinct().join(sigs, "node")
-        measured = measured.join(sigs.select(F.col("node").alias("hub"), F.col("signature").alias("other")), "hub")
-        measured = written(spark, measured.select("node", "hub", estimate("signature", "other").alias("similar")))
-        near.append(measured.filter(F.col("similar") >= NEAR).select(F.col("node").alias("a"), F.col("hub").alias("b")))
-        members = written(spark, pairs.join(measured.filter(F.col("similar") < FAR).select("node", "hub"), ["node", "hub"], "left_semi").select("node", "key"))
-        drop_written(spark, pairs)
-    if not near:
-        return spark.createDataFrame([], "node long, label long")
-    edges = near[0]
-    for more in near[1:]:
-        edges = edges.unionByName(more)
-    return connected(spark, edges)
+        near.append((pairs.filter(F.col("similar") >= NEAR) if level < LEVELS else pairs).select(F.col("node").alias("a"), F.col("hub").alias("b")))
+        if level < LEVELS:
+            members = pairs.filter(F.col("similar") < FAR).select("node", F.explode("keys").alias("key"))
+    groups = connected(spark, functools.reduce(DataFrame.unionByName, near)) if near else spark.createDataFrame([], "node long, label long")
+    drop_written(spark, *levels)
+    return groups
 
 
 class Union:
@@ -185,47 +194,59 @@ def forest(left: pa.Table, right: pa.Table, percent: int) -> list[tuple[int, int
     return edges
 
 
-def exact_links(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
-    """Edges (a, b) that connect what is linked between the rows of both tables of the same job."""
+def exact_links(left: DataFrame, right: DataFrame | None, percent: int) -> DataFrame:
+    """Edges (a, b) that connect what is linked between the rows of both tables of the same job, or within ``left`` alone."""
 
-    def compare(key, x: pa.Table, y: pa.Table) -> pa.Table:
+    def compare(x: pa.Table, y: pa.Table) -> pa.Table:
         found = forest(x, y, percent) if len(x) and len(y) else []
         return pa.table({"a": pa.array([p for p, _ in found], pa.int64()), "b": pa.array([q for _, q in found], pa.int64())})
 
-    left, right = (t.select("job", "node", "label", "shingles").toDF("job", "node", "label", "shingles") for t in (left, right))
+    def within(x: pa.Table) -> pa.Table:
+        return compare(x, x)
+
+    left, right = (t and t.select("job", "node", "label", "shingles").toDF("job", "node", "label", "shingles") for t in (left, right))
+    if right is None:
+        return left.groupBy("job").applyInArrow(within, "a long, b long")
     return left.groupBy(left["job"]).cogroup(right.groupBy(right["job"])).applyInArrow(compare, "a long, b long")
 
 
 def confirmed_components(spark: SparkSession, sets: DataFrame, percent: int) -> DataFrame:
-    """(node, label) of ``sets`` (node, label, shingles), where label is the candidate group at first."""
+    """(node, label) of the linked ones of ``sets`` (node, label, shingles), where label is the candidate group at first.
+
+    A node that no link confirms is in no row.
+    """
     # Only the sizes of groups of several blocks are joined: they are few, and a hot group's sets stay where they are.
     sizes = sets.groupBy(F.col("label").alias("grp")).agg(F.count("*").alias("m")).filter(F.col("m") > BLOCK)
     sizes = written(spark, sizes.withColumn("blocks", F.ceil(F.col("m") / BLOCK)))
-    blocked = sets.withColumnRenamed("label", "grp").join(few(sizes), "grp", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    blocked = blocked.withColumn("blk", F.pmod(F.xxhash64("node"), "blocks")).withColumn("label", F.col("node"))
+    several = sizes.limit(1).count() > 0
+    blocked = sets.withColumnRenamed("label", "grp").withColumn("label", F.col("node"))
+    blocked = blocked.join(few(sizes), "grp", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))) if several else blocked.withColumn("blocks", F.lit(1))
+    blocked = blocked.withColumn("blk", F.pmod(F.xxhash64("node"), "blocks"))
     cols = ["node", "label", "shingles"]
     job = F.xxhash64("grp", "blk").alias("job")
-    own = blocked.select(job, *cols)
-    pivot = F.pmod(F.xxhash64("node", F.lit(1)), "m") < PIVOTS
-    pivots = blocked.filter((F.col("blocks") > 1) & pivot).withColumn("blk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    edges = exact_links(own, own.unionByName(pivots.select(job, *cols)), percent)
-    self_edges = sets.select(F.col("node").alias("a"), F.col("node").alias("b"))
-    edges = written(spark, edges.unionByName(self_edges))
+    own, right = blocked.select(job, *cols), None
+    if several:
+        pivot = F.pmod(F.xxhash64("node", F.lit(1)), "m") < PIVOTS
+        pivots = blocked.filter((F.col("blocks") > 1) & pivot).withColumn("blk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        right = own.unionByName(pivots.select(job, *cols))
+    edges = written(spark, exact_links(own, right, percent))
     labels = connected(spark, edges)
 
+    if not several:
+        drop_written(spark, edges, sizes)
+        return labels
+
     # Groups of several blocks: compare what is not connected yet. A block holds sets of about one size (a band is as
     # wide as the sizes of a link may differ), of one large label or of many small ones.
     size = F.expr("octet_length(shingles) div 8")
     band = F.floor(F.log(size) / max(math.log(100 / percent), 0.05))
-    big = blocked.filter("blocks > 1").select("grp", "node", "shingles", band.alias("band")).join(labels, "node")
-    if not big.limit(1).count():
-        drop_written(spark, edges)
-        return labels
+    big = blocked.filter("blocks > 1").select("grp", "node", "shingles", band.alias("band"))
+    big = big.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     counts = big.groupBy("grp", "band", "label").agg(F.count("*").alias("m"))
     counts = written(spark, counts)
     large = counts.filter(F.col("m") > BLOCK // 2).select("grp", "band", "label", F.col("label").alias("large"), F.ceil(F.col("m") / BLOCK).alias("parts"))
     rest = counts.filter(F.col("m") <= BLOCK // 2).groupBy("grp", "band").agg(F.sum("m").alias("rest"))
-    big = big.join(few(written(spark, large)), ["grp", "band", "label"], "left").join(few(written(spark, rest)), ["grp", "band"], "left")
+    big = big.join(few(large), ["grp", "band", "label"], "left").join(few(rest), ["grp", "band"], "left")
     place = F.when(F.col("large").isNull(), F.pmod(F.xxhash64("label"), F.ceil((F.col("rest") + 1) / BLOCK))).otherwise(F.lit(-1))
     part = F.when(F.col("large").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("node", F.lit(2)), "parts"))
     big = written(spark, big.withColumn("blk", F.xxhash64("large", "band", place, part)).select("grp", "node", "shingles", "label", "large", "blk"))
@@ -237,8 +258,10 @@ def confirmed_components(spark: SparkSession, sets: DataFrame, percent: int) ->
     left = big.join(jobs.select("grp", "blk", "job"), ["grp", "blk"]).select("job", *cols)
     right = big.join(jobs.select("grp", F.col("blk2").alias("blk"), "job"), ["grp", "blk"]).select("job", *cols)
     more = written(spark, exact_links(left, right, percent).unionByName(edges))
-    drop_written(spark, edges, big, labels)
-    return connected(spark, more)
+    drop_written(spark, edges, sizes, counts, big, labels)
+    found = connected(spark, more)
+    drop_written(spark, more)
+    return found
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, shingle_words: int = 5, percent: int = 80, with_text_digest: bool = False) -> DataFrame:
@@ -252,13 +275,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, shingle_words: int = 5
     """
     signed = written(spark, signatures(docs, shingle_words, with_text_digest))
     real = signed.filter("n_shingles > 0 and doc_id is not null")
-    ids = real.groupBy("digest", "n_shingles").agg(F.min("doc_id").alias("node"))
-    ids = written(spark, ids)
-    classes = real.select("digest", "doc_id", "n_shingles", "signature", "bands").join(
-        ids.select("digest", "n_shingles", F.col("node").alias("doc_id")), ["digest", "n_shingles", "doc_id"]
-    )
-    classes = classes.select(F.col("doc_id").alias("node"), "signature", "bands")
-    classes = written(spark, classes)
+    classes = written(spark, distinct_sets(real, "digest", "n_shingles"))
     groups = candidate_groups(spark, classes)
 
     def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -269,8 +286,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, shingle_words: int = 5
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(groups, "node").select("node", "label", "text")
     sets = written(spark, texts.mapInArrow(to_sets, "node long, label long, shingles binary").filter(F.octet_length("shingles") > 0))
     labels = confirmed_components(spark, sets, percent)
-    drop_written(spark, sets, classes)
-    found = ids.join(labels, "node", "left").select("digest", "n_shingles", F.coalesce("label", "node").alias("component_id"))
+    drop_written(spark, sets)
+    found = classes.select("digest", "n_shingles", "node").join(labels, "node", "left").select("digest", "n_shingles", F.coalesce("label", "node").alias("component_id"))
     more = ["text_digest"] * with_text_digest
     out = signed.select("doc_id", "n_shingles", "digest", *more).join(found, ["digest", "n_shingles"], "left")
     component = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id"))
