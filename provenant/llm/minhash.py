@@ -224,12 +224,12 @@ def confirmed_components(spark: SparkSession, sets: DataFrame, percent: int) ->
     blocked = blocked.withColumn("blk", F.pmod(F.xxhash64("node"), "blocks"))
     cols = ["node", "label", "shingles"]
     job = F.xxhash64("grp", "blk").alias("job")
-    own, right = blocked.select(job, *cols), None
+    edges = exact_links(blocked.select(job, *cols), None, percent)
     if several:
-        pivot = F.pmod(F.xxhash64("node", F.lit(1)), "m") < PIVOTS
-        pivots = blocked.filter((F.col("blocks") > 1) & pivot).withColumn("blk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-        right = own.unionByName(pivots.select(job, *cols))
-    edges = written(spark, exact_links(own, right, percent))
+        parts = blocked.filter("blocks > 1")
+        pivots = parts.filter(F.pmod(F.xxhash64("node", F.lit(1)), "m") < PIVOTS).withColumn("blk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        edges = edges.unionByName(exact_links(parts.select(job, *cols), pivots.select(job, *cols), percent))
+    edges = written(spark, edges)
     labels = connected(spark, edges)
 
     if not several:
