@@ -58,9 +58,12 @@ def html_text(bodies: list, content_types: list) -> list:
 
     def one(body, kind):
         declared = CHARSET.search(kind or "")
+        charset = declared[1] if declared else "utf-8"
         try:
-            return body.decode(declared[1] if declared else "utf-8") if body is not None else None
-        except (LookupError, UnicodeDecodeError):
+            if body == b"":
+                "".encode(charset)  # bytes.decode does not look up the charset of an empty body
+            return body.decode(charset) if body is not None else None
+        except (LookupError, UnicodeError):
             return None
 
     return [one(b, k) for b, k in zip(bodies, content_types, strict=True)]
